@@ -13,7 +13,7 @@ from tillstream.operators import audit, merge
 from tillstream.operators.decode import decode_cdc
 from tillstream.session import run_dir
 from tillstream.sources.current import merge_into, read_current
-from tillstream.sources.tables import batch_append
+from tillstream.sources.tables import batch_append, spread
 from tillstream.specs import AUDIT_SILVER, AUDIT_SOURCES, SPECS
 from tillstream.streaming.flows import bronze_replay, silver_load, silver_stream
 
@@ -93,14 +93,14 @@ def _hashed(df):
 def _stored(spark, sf_dir):
     """Orders of the years before 2000, all still pending."""
     o = entity(spark, sf_dir, "orders").filter("order_date < timestamp '2000-01-01'")
-    return (_hashed(o.withColumn("payment_status", F.lit("pending")))
+    return (_hashed(spread(o).withColumn("payment_status", F.lit("pending")))
             .withColumn("ingestion_time", F.lit(LOADED).cast("timestamp")))
 
 
 def _incoming(spark, sf_dir):
     """Orders since 1999 as they are now: some stored already, some new."""
     o = entity(spark, sf_dir, "orders").filter("order_date >= timestamp '1999-01-01'")
-    return _hashed(o).withColumn("ingestion_time", F.lit(MERGED).cast("timestamp"))
+    return _hashed(spread(o)).withColumn("ingestion_time", F.lit(MERGED).cast("timestamp"))
 
 
 def _merged(spark, sf_dir):
@@ -165,9 +165,9 @@ def merge_idempotent(spark, sf_dir):
                 else 'keep' end as action
     from incoming i full outer join stored s on s.order_id = i.order_id""")
 def merge_actions(spark, sf_dir):
-    """By the full outer join, the way taken by large batches."""
+    """By the broadcast of the batch, the way taken for a large target."""
     return merge.merge_upsert(_stored(spark, sf_dir), _incoming(spark, sf_dir), ORDERS, MERGED,
-                              limit=-1).actions
+                              way="broadcast").actions
 
 
 @CATALOG.query("merge_deletes", f"""{log_sql("orders")}

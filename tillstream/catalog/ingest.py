@@ -13,7 +13,7 @@ from tillstream.catalog.registry import Catalog
 from tillstream.functions.scalars import decode_decimal, encode_decimal, line_amount, row_hash
 from tillstream.operators import decode, latest
 from tillstream.session import run_dir
-from tillstream.sources.tables import extract_full, to_drop
+from tillstream.sources.tables import extract_full, spread, to_drop
 from tillstream.specs import SPECS
 from tillstream.streaming.flows import bronze_files, bronze_replay, bronze_stream
 
@@ -147,10 +147,10 @@ def row_hash_cdc(spark, sf_dir):
 
 @CATALOG.query("row_hash_wire", f"""{ctes("accounts")}
     select account_id, sha256(concat_ws('|', cast(account_id as varchar), account_name,
-        account_type, strftime(updated_at, '%Y-%m-%dT%H:%M:%S.%fZ'))) as hash from accounts
+        account_type, strftime(updated_at, '%Y-%m-%dT%H:%M:%SZ'))) as hash from accounts
     union
     select account_id, sha256(concat_ws('|', cast(account_id as varchar), account_name,
-        account_type, strftime(updated_at + interval 1 day, '%Y-%m-%dT%H:%M:%S.%fZ'))) as hash
+        account_type, strftime(updated_at + interval 1 day, '%Y-%m-%dT%H:%M:%SZ'))) as hash
     from accounts where account_type = 'asset'""")
 def row_hash_wire(spark, sf_dir):
     rows = decode.decode_cdc(messages(spark, sf_dir, "accounts"), SPECS["accounts"],
@@ -179,7 +179,7 @@ def recent_lookback(spark, sf_dir):
 @CATALOG.query("dedup_key_hash", f"""{ctes("order_items")}
     select distinct order_item_id, {hash_sql("order_items")} as hash from order_items""")
 def dedup_key_hash(spark, sf_dir):
-    items = entity(spark, sf_dir, "order_items")
+    items = spread(entity(spark, sf_dir, "order_items"))
     hashed = items.select("order_item_id", row_hash(items, items.columns).alias("hash"))
     return latest.dedup_batch(hashed, "order_item_id")
 
@@ -187,7 +187,7 @@ def dedup_key_hash(spark, sf_dir):
 @CATALOG.query("dedup_hash", f"""{ctes("order_items")}
     select distinct {hash_sql("order_items")} as hash from order_items""")
 def dedup_by_hash(spark, sf_dir):
-    items = entity(spark, sf_dir, "order_items")
+    items = spread(entity(spark, sf_dir, "order_items"))
     return latest.dedup_hash(items.select(row_hash(items, items.columns).alias("hash")))
 
 
@@ -199,7 +199,7 @@ def dedup_by_hash(spark, sf_dir):
                                        order by updated_at desc, hash desc) as rn from h)
     where rn = 1""")
 def latest_per_key(spark, sf_dir):
-    items = entity(spark, sf_dir, "order_items")
+    items = spread(entity(spark, sf_dir, "order_items"))
     hashed = items.withColumn("hash", row_hash(items, items.columns))
     return latest.latest_per_key(hashed, "order_item_id", "updated_at")
 

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tillstream.catalog.mapping import BINARY, MAPPED, entity, entity_sql, hash_sql
 from tillstream.functions.scalars import encode_decimal
+from tillstream.sources.tables import spread
 from tillstream.specs import SPECS, TableSpec
 
 SNAPSHOT_AT = "2024-01-01 00:00:00.250"
@@ -40,7 +41,7 @@ def _wire(name: str, spec: TableSpec) -> Column:
     if name in spec.micros:
         return F.unix_micros(col).cast("string")
     if isinstance(kind, T.TimestampType):
-        return F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+        return F.concat(F.translate(col.cast("string"), " ", "T"), F.lit("Z"))
     return col
 
 
@@ -54,13 +55,14 @@ def second_version(spec: TableSpec) -> dict[str, str]:
 def messages(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The change log of an entity, one JSON text per message, in column ``value``."""
     spec = SPECS[name]
-    rows = entity(spark, sf_dir, name).withColumn("_changed", F.expr(MAPPED[name].changed))
+    rows = spread(entity(spark, sf_dir, name)).withColumn("_changed", F.expr(MAPPED[name].changed))
     kinds = F.when(F.col("_changed"), F.array(*[F.lit(k) for k in ("r", "u", "u", "d", "t")]))
     rows = rows.withColumn("_kind", F.explode(kinds.otherwise(F.array(F.lit("r")))))
     for col, expr in second_version(spec).items():
         rows = rows.withColumn(col, F.when(F.col("_kind") == "u", F.expr(expr))
                                .otherwise(F.col(col)))
-    at = F.when(F.col("_kind") == "r", F.lit(SNAPSHOT_AT)).otherwise(F.lit(UPDATE_AT))
+    at = (F.when(F.col("_kind") == "r", F.lit(SNAPSHOT_AT).cast("timestamp"))
+          .otherwise(F.lit(UPDATE_AT).cast("timestamp")))
     gone = F.col("_kind") == "d"
     payload = F.struct(
         F.col("_kind").alias("op"),
@@ -69,7 +71,7 @@ def messages(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         F.struct(F.lit(CONNECTOR).alias("connector"), F.lit(server(spec)).alias("name"),
                  F.lit(f"{spec.database}_database").alias("db"), F.lit("public").alias("schema"),
                  F.lit(wire_table(spec)).alias("table")).alias("source"),
-        F.unix_millis(at.cast("timestamp")).cast("string").alias("ts_ms"))
+        F.unix_millis(at).cast("string").alias("ts_ms"))
     body = F.to_json(F.struct(payload.alias("payload")))
     return rows.select(F.when(F.col("_kind") != "t", body).alias("value"))
 

@@ -11,6 +11,7 @@ from tillstream.catalog.mapping import ctes, entity, hash_sql
 from tillstream.catalog.registry import Catalog
 from tillstream.functions.scalars import row_hash
 from tillstream.operators import quality, reconcile
+from tillstream.sources.tables import spread
 from tillstream.specs import SPECS, TableSpec
 
 CATALOG = Catalog()
@@ -147,7 +148,7 @@ ORDERS = SPECS["orders"]
 
 def _layers(spark, sf_dir):
     """Orders as they should be, and a copy that lost, gained and changed rows."""
-    o = entity(spark, sf_dir, "orders")
+    o = spread(entity(spark, sf_dir, "orders"))
     expected = o.filter("payment_type_id <> 5").withColumn("hash", row_hash(o, o.columns))
     copy = o.filter("payment_type_id <> 1").withColumn(
         "payment_status", F.when(F.col("payment_type_id") == 2, "pending")

@@ -2,7 +2,8 @@
 
 The rule for every equi-join of a large table with a table that is unique on the join key:
 broadcast the unique side only if the optimizer's own size estimate is below a limit; else
-salt the hot keys, so that no single task receives a whole hot group.
+salt the hot keys, so that no single task receives a whole hot group. A large table of less
+than ``SALT_FLOOR`` bytes needs neither: one task can hold all of it.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 10 * 1024 * 1024
+SALT_FLOOR = 512 * 1024 * 1024
 HOT_SHARE = 1 / 256          # a key above this share of the rows counts as hot
 SALTS = 64                   # pieces a hot key is split into
 
@@ -30,6 +32,25 @@ def is_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return size is not None and size <= limit
 
 
+def input_bytes(df: DataFrame) -> int | None:
+    """Size of all tables ``df`` reads.
+
+    A guide to cost, not a bound: unlike :func:`planned_bytes` it does not grow with every
+    join, which suits frames joined on unique keys.
+    """
+    try:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        return sum(int(str(leaves.apply(i).stats().sizeInBytes()))
+                   for i in range(leaves.size()))
+    except AttributeError:
+        return None
+
+
+def reads_little(df: DataFrame, limit: int) -> bool:
+    size = input_bytes(df)
+    return size is not None and size <= limit
+
+
 def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
     """Keys holding more than ``share`` of the rows: never more than ``1 / share`` rows.
 
@@ -48,15 +69,19 @@ def salted_join(
     spread: Sequence[str],
     share: float = HOT_SHARE,
     salts: int = SALTS,
+    basis: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``left`` with ``right``, splitting the hot keys of ``left`` into ``salts`` pieces.
 
+    Hot keys are found in ``basis``, by default ``left`` itself. Where ``left`` is a join
+    result, name its largest base table: that costs one scan of the key columns.
+
     Rows of a hot key are spread by the hash of ``spread``; the matching right rows are copied
     once per piece. Inner, left, semi and anti joins keep their exact result. Null keys, which
     never match, are spread as well.
     """
     on = list(on)
-    hot = F.broadcast(hot_keys(left.select(*on), on, share).withColumn("_hot", F.lit(True)))
+    hot = F.broadcast(hot_keys(left if basis is None else basis, on, share).withColumn("_hot", F.lit(True)))
     null_key = F.lit(False)
     for c in on:
         null_key = null_key | F.col(c).isNull()
@@ -78,16 +103,20 @@ def lookup_join(
     how: str = "inner",
     spread: Sequence[str] | None = None,
     limit: int = BROADCAST_BYTES,
+    basis: DataFrame | None = None,
 ) -> DataFrame:
     """Join a large ``left`` with a ``right`` that is unique on ``on``.
 
     ``spread`` names left columns that differ between rows of one key; without it all columns
-    of ``left`` are used.
+    of ``left`` are used. ``basis`` is the base table ``left`` was made of, if that is a join:
+    its size and its keys stand for those of ``left``.
     """
     on = [on] if isinstance(on, str) else list(on)
     if is_small(right, limit):
         return left.join(F.broadcast(right), on, how)
-    return salted_join(left, right, on, how, spread or left.columns)
+    if reads_little(left if basis is None else basis, SALT_FLOOR):
+        return left.join(right, on, how)
+    return salted_join(left, right, on, how, spread or left.columns, basis=basis)
 
 
 def keyed_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str,

@@ -7,11 +7,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.operators.joins import BROADCAST_BYTES, is_small, lookup_join
+from tillstream.operators.joins import is_small, lookup_join, reads_little
 from tillstream.operators.latest import latest_per_key
+from tillstream.session import empty_frame
 from tillstream.specs import TableSpec
 
 
+# A target below this size is simply joined; a larger one is not moved for a small batch.
+MOVE_LIMIT = 256 * 1024 * 1024
+
+
 @dataclass(frozen=True)
 class MergeResult:
     """``plan`` holds the old row, the new row and the action for every key."""
@@ -55,16 +60,20 @@ def feed_rows(changed: DataFrame, columns: list[str]) -> DataFrame:
     return changed.select(F.explode(images).alias("c")).select("c.*")
 
 
-def _paired(target: DataFrame, source: DataFrame, key: list[str], limit: int) -> DataFrame:
+def _paired(target: DataFrame, source: DataFrame, key: list[str], way: str) -> DataFrame:
     """Every key once, with its ``t`` and ``s`` structs.
 
-    A batch below the broadcast limit is joined to the target without moving the target; its
-    unmatched rows are found by a second, key-only pass. A larger batch takes one full outer
-    join. Both give the same rows, and both sides hold each key once, so no key can be hot.
+    ``way="broadcast"`` joins a small batch to the target without moving the target; unmatched
+    rows are found by a second, key-only pass. ``"shuffle"`` is one full outer join. ``"auto"``
+    broadcasts a batch of checked size to a large target, and joins otherwise. Both ways give
+    the same rows, and both sides hold each key once, so no key can be hot.
     """
+    if way == "auto":
+        way = ("broadcast" if is_small(source) and not reads_little(target, MOVE_LIMIT)
+               else "shuffle")
     t = target.select(*key, F.struct(*target.columns).alias("t"))
     s = source.select(*key, F.struct(*source.columns).alias("s"))
-    if not is_small(source, limit):
+    if way == "shuffle":
         return t.join(s, key, "full_outer")
     known = target.select(*key).join(F.broadcast(source.select(*key)), key, "left_semi")
     fresh = s.join(known, key, "left_anti")
@@ -80,7 +89,7 @@ def merge_upsert(
     now,
     guard: bool = True,
     on_delete: str = "ignore",
-    limit: int = BROADCAST_BYTES,
+    way: str = "auto",
 ) -> MergeResult:
     """Insert new keys, update keys whose hash differs, keep the rest.
 
@@ -98,7 +107,7 @@ def merge_upsert(
                            is_delete.alias("_gone"))
     if on_delete != "delete":
         newest = newest.filter(~F.col("_gone"))
-    pairs = _paired(target.select(*columns), newest, key, limit)
+    pairs = _paired(target.select(*columns), newest, key, way)
 
     matched = F.col("t").isNotNull() & F.col("s").isNotNull()
     gone = F.coalesce(F.col("s._gone"), F.lit(False))
@@ -131,7 +140,7 @@ def merge_upsert(
 
 
 def empty_silver(spark, spec: TableSpec) -> DataFrame:
-    return spark.createDataFrame([], spec.silver_schema())
+    return empty_frame(spark, spec.silver_schema())
 
 
 def stale_rows(source: DataFrame, target: DataFrame, spec: TableSpec) -> DataFrame:

@@ -51,7 +51,7 @@ def revenue_by_category(items: DataFrame, products: DataFrame,
                    .agg(F.sum(line_amount()).alias("amount"),
                         F.sum("quantity").alias("units")))
     with_cat = lookup_join(per_product, products.select("product_id", "category_id"),
-                           "product_id", spread=["month"])
+                           "product_id", spread=["month"], basis=items)
     by_cat = with_cat.groupBy("month", "category_id").agg(
         F.sum("amount").cast("decimal(28,2)").alias("revenue"), F.sum("units").alias("units"))
     return lookup_join(by_cat, categories.select("category_id", F.col("name").alias("category")),
@@ -77,7 +77,7 @@ def delivery_leadtime(orders: DataFrame, shipments: DataFrame, tracking: DataFra
     sent = shipments.select("shipment_id", "order_id", "shipment_date")
     done = sent.join(arrived, "shipment_id", "left")
     joined = lookup_join(done, orders.select("order_id", "order_date"), "order_id",
-                         spread=["shipment_id"])
+                         spread=["shipment_id"], basis=shipments)
 
     def hours(a: str, b: str):
         return F.floor((F.unix_timestamp(b) - F.unix_timestamp(a)) / 3600).cast("bigint")

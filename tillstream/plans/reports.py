@@ -35,7 +35,7 @@ def sales_report_view(orders: DataFrame, customers: DataFrame, items: DataFrame,
     lines = lookup_join(lines, skus.select("sku_id", "sku"), "sku_id",
                         spread=["order_item_id"])
     lines = lookup_join(lines, products.select("product_id", F.col("name").alias("product_name")),
-                        "product_id", spread=["order_item_id"])
+                        "product_id", spread=["order_item_id"], basis=items)
     counts = lines.groupBy("order_id").agg(F.count("order_item_id").alias("item_count"))
 
     buyers = customers.filter(F.col("created_at").isNotNull()).select(
@@ -45,9 +45,9 @@ def sales_report_view(orders: DataFrame, customers: DataFrame, items: DataFrame,
                       "shipping_address", "payment_status", "payment_type_id"),
         payment_types.select("payment_type_id", F.col("name").alias("payment_types")),
         "payment_type_id", spread=["order_id"])
-    heads = lookup_join(heads, buyers, "customer_id", spread=["order_id"])
+    heads = lookup_join(heads, buyers, "customer_id", spread=["order_id"], basis=orders)
     heads = heads.join(counts, "order_id")
-    report = lookup_join(lines, heads, "order_id", spread=["order_item_id"]).select(
+    report = lookup_join(lines, heads, "order_id", spread=["order_item_id"], basis=items).select(
         "order_id", "order_date", "customer_id", "customer_name", "total_amount",
         "shipping_address", "payment_status", "payment_types", "sku", "product_name", "price",
         "quantity", "item_count")
@@ -65,7 +65,7 @@ def shipping_report_view(shipments: DataFrame, warehouses: DataFrame,
     # A left join could not split the checkpoints of a hot shipment, so the two cases of the
     # left join are built apart: checkpoints with their shipment, shipments without any.
     tracked = lookup_join(stops, sent, "shipment_id",
-                          spread=["checkpoint_time", "checkpoint_location"])
+                          spread=["checkpoint_time", "checkpoint_location"], basis=tracking)
     bare = without_children(sent, stops, "shipment_id")
     return tracked.unionByName(bare, allowMissingColumns=True).select(
         "shipment_id", "order_id", "warehouse_id", "warehouse_name", "location",

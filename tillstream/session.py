@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Runtime SQL settings every operator here relies on.
 RUNTIME_CONF = {
@@ -37,6 +39,12 @@ def build(app: str = "tillstream", master: str | None = None, **conf: str) -> Sp
     return configure(builder.getOrCreate())
 
 
+def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows; known to be empty by the optimizer, which then drops joins with it."""
+    return spark.range(1).filter(F.lit(False)).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 

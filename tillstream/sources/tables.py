@@ -18,6 +18,15 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(name) if "/" in name else spark.read.table(name)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of an input with too few splits (a lone small file) dealt out to all cores, ahead
+    of work that is heavy per row. An input with splits enough is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df._jdf.rdd().getNumPartitions() * 2 > cores:
+        return df
+    return df.repartition(cores)
+
+
 def batch_append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
