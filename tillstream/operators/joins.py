@@ -61,6 +61,15 @@ def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> Data
     return counts.filter(F.col("_rows") > total * F.lit(share)).select(*on)
 
 
+_HALF = ("left_semi", "left_anti")
+
+
+def _join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """Equi-join by name. A semi or anti join keeps the columns of ``left`` as they stand."""
+    joined = left.join(right, list(on), how)
+    return joined.select(*left.columns) if how in _HALF else joined
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
@@ -93,7 +102,7 @@ def salted_join(
     copied = (right.join(hot, on, "left")
               .withColumn("_salt", F.explode(copies.otherwise(F.array(F.lit(0)))))
               .drop("_hot"))
-    return salted.join(copied, [*on, "_salt"], how).drop("_salt")
+    return _join(salted, copied, [*on, "_salt"], how).drop("_salt")
 
 
 def lookup_join(
@@ -113,16 +122,17 @@ def lookup_join(
     """
     on = [on] if isinstance(on, str) else list(on)
     if is_small(right, limit):
-        return left.join(F.broadcast(right), on, how)
+        return _join(left, F.broadcast(right), on, how)
     if reads_little(left if basis is None else basis, SALT_FLOOR):
-        return left.join(right, on, how)
+        return _join(left, right, on, how)
     return salted_join(left, right, on, how, spread or left.columns, basis=basis)
 
 
 def keyed_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str,
                limit: int = BROADCAST_BYTES) -> DataFrame:
     """Join of two sides that are both unique on ``on``: no key can be hot."""
-    return left.join(F.broadcast(right) if is_small(right, limit) else right, on, how)
+    on = [on] if isinstance(on, str) else list(on)
+    return _join(left, F.broadcast(right) if is_small(right, limit) else right, on, how)
 
 
 def children_of(child: DataFrame, parents: DataFrame, on: str | Sequence[str]) -> DataFrame:
@@ -143,12 +153,12 @@ def without_children(parent: DataFrame, child: DataFrame, on: str | Sequence[str
     then reuses the same partitioning.
     """
     on = [on] if isinstance(on, str) else list(on)
-    return parent.join(child.select(*on).distinct(), on, "left_anti")
+    return _join(parent, child.select(*on).distinct(), on, "left_anti")
 
 
 def with_children(parent: DataFrame, child: DataFrame, on: str | Sequence[str]) -> DataFrame:
     on = [on] if isinstance(on, str) else list(on)
-    return parent.join(child.select(*on).distinct(), on, "left_semi")
+    return _join(parent, child.select(*on).distinct(), on, "left_semi")
 
 
 def orphans(

@@ -9,7 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.operators.joins import children_of, not_children_of, without_children
+from tillstream.operators.joins import (
+    children_of, not_children_of, with_children, without_children)
 from tillstream.session import checkpoint
 from tillstream.sources.tables import by_month
 
@@ -46,9 +47,8 @@ def purge_childless(parent: DataFrame, child: DataFrame, on: str, ts: str, as_of
                     months: int = RETENTION_MONTHS) -> Purge:
     """Old parents without any child row go."""
     aged = purge_older(parent, ts, as_of, months)
-    keys = child.select(on).distinct()
-    kept_old = aged.purged.join(keys, on, "left_semi")
-    return Purge(aged.keep.unionByName(kept_old), aged.purged.join(keys, on, "left_anti"))
+    return Purge(aged.keep.unionByName(with_children(aged.purged, child, on)),
+                 without_children(aged.purged, child, on))
 
 
 def purge_expired_childless(parent: DataFrame, child: DataFrame, on: str, as_of,
@@ -72,7 +72,7 @@ def purge_products(products: DataFrame, skus: DataFrame, items: DataFrame, as_of
     """
     expired = purge_expired(products, as_of, months).purged.select("product_id")
     doomed = without_children(children_of(skus, expired, "product_id"), items, "sku_id")
-    sku_purge = Purge(skus.join(doomed.select("sku_id").distinct(), "sku_id", "left_anti"), doomed)
+    sku_purge = Purge(without_children(skus, doomed, "sku_id"), doomed)
     return purge_expired_childless(products, sku_purge.keep, "product_id", as_of, months), sku_purge
 
 

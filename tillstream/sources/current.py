@@ -2,24 +2,32 @@
 
 Month-partitioned tables are merged month by month: only months that hold a changed key are
 read and rewritten. Other tables are rewritten as numbered versions. Either way the result is
-written completely before anything old is replaced.
+written completely before anything old is replaced, and a run that dies is finished or redone
+by the next one.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.operators.joins import is_small
 from tillstream.operators.latest import latest_per_key
-from tillstream.operators.merge import MergeResult, empty_silver, merge_upsert
-from tillstream.session import run_dir
-from tillstream.sources.tables import by_month, with_month_partition
+from tillstream.operators.merge import empty_silver, merge_upsert
+from tillstream.sources.tables import batch_append, by_month, with_month_partition
 from tillstream.specs import TableSpec
 
 MAX_MONTHS = 12_000      # a thousand years; more means the time column is wrong
 
 
+class MergeCounts(NamedTuple):
+    rows_inserted: int
+    rows_updated: int
+    rows_deleted: int
+
+
 def _fs(spark: SparkSession, path: str):
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
@@ -59,26 +67,29 @@ def read_current(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
 
 
 def merge_into(spark: SparkSession, path: str, source: DataFrame, spec: TableSpec, now,
-               version: int | None = None, **options) -> MergeResult:
-    """Merge ``source`` into the table below ``path``.
+               version: int | None = None, feed: str | None = None, **options) -> MergeCounts:
+    """Merge ``source`` into the table below ``path``; ``feed`` also keeps its change feed.
 
     Repeating a call is harmless: unchanged hashes are kept, and a given ``version`` is
     always built from the version before it.
     """
     if spec.partition_col:
-        return _merge_months(spark, path, source, spec, now, **options)
+        return _merge_months(spark, path, source, spec, now, feed, **options)
     done = [n for n in versions(spark, path) if version is None or n < version]
     target = (spark.read.parquet(f"{path}/version={done[-1]}") if done
               else empty_silver(spark, spec))
     result = merge_upsert(target, source, spec, now, **options)
     number = version if version is not None else (done[-1] + 1 if done else 0)
+    if feed:
+        batch_append(result.changes(), feed)
     result.df.write.mode("overwrite").parquet(f"{path}/version={number}")
-    return result
+    return MergeCounts(*result.metrics().first())
 
 
 def _merge_months(spark: SparkSession, path: str, source: DataFrame, spec: TableSpec, now,
-                  **options) -> MergeResult:
+                  feed: str | None, **options) -> MergeCounts:
     key, ts = list(spec.key), spec.partition_col
+    _publish(spark, path)                # finish a run that died while publishing
     newest = latest_per_key(source, key, spec.order_col)
     fresh = not exists(spark, path)
     months = with_month_partition(newest.select(ts), ts).select("month")
@@ -97,14 +108,33 @@ def _merge_months(spark: SparkSession, path: str, source: DataFrame, spec: Table
         target = (spark.read.parquet(path)
                   .filter(F.col("month").cast("string").isin(touched)))
     result = merge_upsert(target, newest, spec, now, **options)
-    staged_at = run_dir(spark, f"merge-{spec.name}")
-    (by_month(result.df, ts).write.partitionBy("month").parquet(staged_at))
-    staged = spark.read.option("basePath", staged_at).parquet(staged_at)
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("month").parquet(path))
-    if not fresh:
-        filled = {str(r["month"]) for r in staged.select("month").distinct().collect()}
-        for month in set(touched) - filled:       # every row moved away or was deleted
-            _delete(spark, f"{path}/month={month}")
-    _delete(spark, staged_at)
-    return result
+    if feed:
+        batch_append(result.changes(), feed)
+    pending = _pending(path)
+    rows = result.plan.select("new.*", "_action")
+    by_month(rows, ts).write.mode("overwrite").partitionBy("month").parquet(pending)
+    spark.createDataFrame([(m,) for m in touched], "month string").coalesce(1).write.parquet(
+        f"{pending}/_touched")
+    counts = {r["_action"]: r["count"] for r in
+              spark.read.parquet(pending).groupBy("_action").count().collect()}
+    _publish(spark, path)
+    return MergeCounts(*[counts.get(a, 0) for a in ("insert", "update", "delete")])
+
+
+def _pending(path: str) -> str:
+    return path.rstrip("/") + "_pending"
+
+
+def _publish(spark: SparkSession, path: str) -> None:
+    """Move a completely staged merge into the table. Safe to repeat after a failure."""
+    pending = _pending(path)
+    if not exists(spark, f"{pending}/_touched/_SUCCESS"):
+        return
+    staged = (spark.read.parquet(pending).filter(F.col("_action") != "delete").drop("_action"))
+    (staged.hint("rebalance", "month").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path))
+    filled = {str(r["month"]) for r in staged.select("month").distinct().collect()}
+    touched = {r["month"] for r in spark.read.parquet(f"{pending}/_touched").collect()}
+    for month in touched - filled:       # every row moved away or was deleted
+        _delete(spark, f"{path}/month={month}")
+    _delete(spark, pending)

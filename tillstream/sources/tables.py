@@ -32,7 +32,8 @@ def batch_append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 def with_month_partition(df: DataFrame, ts: str, name: str = "month") -> DataFrame:
-    return df.withColumn(name, month_label(ts))
+    """Adds the month label; rows without a time share the label ``none``."""
+    return df.withColumn(name, F.coalesce(month_label(ts), F.lit("none")))
 
 
 def next_month_bounds(as_of: date) -> tuple[str, date, date]:
