@@ -102,7 +102,8 @@ def salted_join(
     copied = (right.join(hot, on, "left")
               .withColumn("_salt", F.explode(copies.otherwise(F.array(F.lit(0)))))
               .drop("_hot"))
-    return _join(salted, copied, [*on, "_salt"], how).drop("_salt")
+    joined = salted.join(copied, [*on, "_salt"], how).drop("_salt")
+    return joined.select(*left.columns) if how in _HALF else joined
 
 
 def lookup_join(
