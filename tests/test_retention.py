@@ -95,3 +95,20 @@ def test_stock_of_expired_parents(spark):
     split = r.purge_stock(t, AS_OF)
     assert ids(split.purged, "inventory_id") == [1, 5, 7]
     assert ids(split.keep, "inventory_id") == [2, 3, 4, 6, 8]
+
+
+def test_purge_of_a_month_table(spark, tmp_path):
+    from tillstream.sources.current import purge_table
+    from tillstream.sources.tables import write_partitioned
+    path, cold = str(tmp_path / "t"), str(tmp_path / "cold")
+    df = spark.createDataFrame(
+        [(1, datetime(2025, 1, 5)), (2, datetime(2025, 2, 28)), (3, datetime(2025, 3, 9)),
+         (4, datetime(2025, 3, 10)), (5, datetime(2025, 5, 1)), (6, None)], "id int, ts timestamp")
+    write_partitioned(df, path, "ts")
+    done = purge_table(spark, path, "ts", datetime(2025, 6, 10), archive_to=cold)
+    assert done == (2, 3)
+    assert ids(spark.read.parquet(path), "id") == [4, 5, 6]
+    assert ids(spark.read.parquet(cold), "id") == [1, 2, 3]
+    assert purge_table(spark, path, "ts", datetime(2025, 6, 10)) == (0, 0)
+    assert purge_table(spark, path, "ts", datetime(2025, 7, 1)) == (1, 1)
+    assert ids(spark.read.parquet(path), "id") == [5, 6]

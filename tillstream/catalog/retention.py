@@ -11,6 +11,8 @@ from tillstream.catalog.mapping import ctes, entity
 from tillstream.catalog.registry import Catalog
 from tillstream.operators import retention
 from tillstream.session import run_dir
+from tillstream.sources.current import purge_table
+from tillstream.sources.tables import write_partitioned
 
 CATALOG = Catalog()
 
@@ -178,7 +180,7 @@ def run_retention(spark, sf_dir):
         ("purchase_order_items", "q8"), ("purchase_orders", "r9"), ("suppliers", "u10"),
         ("financial_transactions", "f11"), ("employees", "e12"))))
 def run_retention_remaining(spark, sf_dir):
-    """What is left, with every step's result written to a reliable checkpoint."""
+    """What is left, with every step's result written to a table."""
     tables = {n: entity(spark, sf_dir, n) for n in TABLES[:12]}
     left = retention.run_retention(tables, AS_OF, materialize=True).tables
     return reduce(DataFrame.unionByName, [
@@ -198,3 +200,13 @@ def archive_split(spark, sf_dir):
     return cold.groupBy(F.col("month").cast("string").alias("month")).agg(
         F.count(F.lit(1)).alias("archived_rows"),
         F.sum("total_amount").cast("decimal(28,2)").alias("archived_amount"))
+
+
+@CATALOG.query("purge_months", f"""{ctes("orders")}
+    select order_id, order_date from orders where order_date >= {CUT}""")
+def purge_months(spark, sf_dir):
+    """The purge of a stored table: old months go as folders, one month is rewritten."""
+    path = run_dir(spark, "purge-months")
+    write_partitioned(entity(spark, sf_dir, "orders"), path, "order_date")
+    purge_table(spark, path, "order_date", AS_OF)
+    return spark.read.parquet(path).select("order_id", "order_date")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.session import checkpoint
+from tillstream.session import settle
 
 _ROW_BITS = 33       # monotonically_increasing_id: partition above, row below
 
@@ -23,16 +23,16 @@ def assign_sequence(df: DataFrame, column: str, order_by: Sequence[str], start:
     """Number the rows ``start, start+1, …`` in the order of ``order_by``.
 
     The rows are range-partitioned on all order columns, so equal leading values still spread.
-    The partitioned rows go to a reliable checkpoint, because range bounds come from a sample
-    and may differ when computed again. Only one count per partition reaches the driver.
+    The partitioned rows are written to a table, because range bounds come from a sample and
+    may differ when computed again. Only one count per partition reaches the driver.
     """
     spark = df.sparkSession
     if partitions is None:
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = checkpoint(
+    ranged = settle(
         df.repartitionByRange(partitions, *[F.col(c) for c in order_by])
         .sortWithinPartitions(*order_by)
-        .withColumn("_at", F.monotonically_increasing_id()))
+        .withColumn("_at", F.monotonically_increasing_id()), "sequence")
     part = F.shiftright("_at", _ROW_BITS).cast("int")
     sizes = {r["p"]: r["n"] for r in
              ranged.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}

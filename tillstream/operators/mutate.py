@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tillstream.functions.ids import assign_business_id, assign_sequence, business_id
 from tillstream.operators.joins import (
-    children_of, keyed_join, lookup_join, not_children_of, with_children, without_children)
+    keyed_join, lookup_join, with_children, without_children)
 from tillstream.operators.quality import Rule, apply_rules
 
 
@@ -147,21 +147,24 @@ def validated_insert(
 ) -> Mutation:
     """Check requests, give the good ones keys and append them.
 
-    Requests are first tested by row rules, then against other tables. The first reason found
-    is the one reported.
+    Requests are first tested by row rules, then against other tables, all in one plan. The
+    first reason found is the one reported.
     """
-    checked = apply_rules(requests, rules)
-    good = checked.valid
-    rejected = checked.rejected.withColumn("reason", F.element_at("violations", 1)).drop("violations")
+    first = F.when(F.size("violations") > 0, F.element_at("violations", 1))
+    tested = apply_rules(requests, rules).flagged.withColumn("reason", first).drop("violations")
     for test in lookups:
         def norm(c):
             return F.lower(c) if test.ignore_case else c
-        keys = test.table.select(norm(F.col(test.table_column)).alias("_probe"))
-        probed = good.withColumn("_probe", norm(F.col(test.column)))
-        inside = children_of(probed, keys, "_probe").drop("_probe")
-        outside = not_children_of(probed, keys, "_probe").drop("_probe")
-        good, bad = (inside, outside) if test.present else (outside, inside)
-        rejected = rejected.unionByName(_reject(bad, test.reason))
+        keys = test.table.select(norm(F.col(test.table_column)).alias("_probe")).distinct()
+        probed = tested.withColumn("_probe", norm(F.col(test.column)))
+        found = lookup_join(probed, keys.withColumn("_found", F.lit(True)), "_probe", "left",
+                            requests.columns, basis=requests.withColumn(
+                                "_probe", norm(F.col(test.column))))
+        bad = F.col("_found").isNull() if test.present else F.col("_found").isNotNull()
+        tested = found.withColumn("reason", F.coalesce(
+            F.col("reason"), F.when(bad, F.lit(test.reason)))).drop("_probe", "_found")
+    good = tested.filter(F.col("reason").isNull()).select(*requests.columns)
+    rejected = tested.filter(F.col("reason").isNotNull()).select(*requests.columns, "reason")
     if key.prefix is None:
         keyed = assign_sequence(good, key.column, key.order_by, key.start)
     else:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tillstream.operators.joins import (
     children_of, not_children_of, with_children, without_children)
-from tillstream.session import checkpoint
+from tillstream.session import settle
 from tillstream.sources.tables import by_month
 
 RETENTION_MONTHS = 3
@@ -145,15 +145,15 @@ def run_retention(tables: Tables, as_of, months: int = RETENTION_MONTHS,
                   materialize: bool = False) -> RetentionRun:
     """All purges in order; a step that fails leaves its tables alone and the run goes on.
 
-    ``materialize`` writes each step's result to a reliable checkpoint, which cuts the lineage
-    and lets a step's run-time failure be caught as well.
+    ``materialize`` writes each step's result to a table, which cuts the lineage and lets a
+    step's run-time failure be caught as well.
     """
     state, purged, failures, counts = dict(tables), {}, {}, []
     for number, (name, step) in enumerate(steps, 1):
         try:
             result = step(state, as_of, months)
             if materialize:
-                result = {n: Purge(checkpoint(p.keep), checkpoint(p.purged))
+                result = {n: Purge(settle(p.keep, n), settle(p.purged, f"{n}-purged"))
                           for n, p in result.items()}
         except Exception as exc:
             failures[name] = f"{type(exc).__name__}: {exc}"

@@ -15,6 +15,8 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # Zone-free Parquet times are read as instants (in UTC), so that filters still reach the scan.
     "spark.sql.parquet.inferTimestampNTZ.enabled": "false",
+    # Written times keep min/max statistics, so that readers can skip row groups.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.sql.adaptive.enabled": "true",
     # Split a hot join partition even if a later stage must shuffle again.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
@@ -61,16 +63,18 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def checkpoint(df):
-    """Reliable checkpoint: survives the loss of any executor."""
-    spark = df.sparkSession
-    folder = shared_dir(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
-
-
 def run_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder for one run below the shared folder."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """Compute ``df`` once into a table below the shared folder and read that.
+
+    Cuts the lineage, fixes results that depend on sampling or arrival, and survives the loss
+    of any executor.
+    """
+    path = run_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -13,9 +13,12 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillstream.functions.scalars import month_label
 from tillstream.operators.joins import is_small
 from tillstream.operators.latest import latest_per_key
 from tillstream.operators.merge import empty_silver, merge_upsert
+from tillstream.operators.retention import RETENTION_MONTHS, archive, cutoff, purge_older
+from tillstream.session import settle
 from tillstream.sources.tables import batch_append, by_month, with_month_partition
 from tillstream.specs import TableSpec
 
@@ -131,10 +134,43 @@ def _publish(spark: SparkSession, path: str) -> None:
     if not exists(spark, f"{pending}/_touched/_SUCCESS"):
         return
     staged = (spark.read.parquet(pending).filter(F.col("_action") != "delete").drop("_action"))
-    (staged.hint("rebalance", "month").write.mode("overwrite")
+    (staged.hint("rebalance", "month").sortWithinPartitions("month").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path))
     filled = {str(r["month"]) for r in staged.select("month").distinct().collect()}
     touched = {r["month"] for r in spark.read.parquet(f"{pending}/_touched").collect()}
     for month in touched - filled:       # every row moved away or was deleted
         _delete(spark, f"{path}/month={month}")
     _delete(spark, pending)
+
+
+class PurgeCounts(NamedTuple):
+    months_dropped: int
+    rows_purged: int
+
+
+def purge_table(spark: SparkSession, path: str, ts: str, as_of,
+                months: int = RETENTION_MONTHS, archive_to: str | None = None) -> PurgeCounts:
+    """Purge a table laid out by month of ``ts``, reading little of it.
+
+    Months wholly before the cut-off are dropped as folders; only the month holding the
+    cut-off is read and rewritten. ``archive_to`` first copies what goes to the cold path.
+    """
+    label = spark.range(1).select(month_label(cutoff(as_of, months))).first()[0]
+    month = F.col("month").cast("string")
+    dated = spark.read.parquet(path).filter(month <= label)
+    split = purge_older(dated, ts, as_of, months)
+    gone = {str(r["month"]): r["count"]
+            for r in split.purged.groupBy("month").count().collect()}
+    if archive_to and gone:
+        archive(split.purged.drop("month"), archive_to, ts)
+    whole = [m for m in gone if m < label]
+    if label in gone:
+        edge = settle(split.keep.filter(month == label), "purge-edge")
+        if edge.isEmpty():
+            whole.append(label)
+        else:
+            (edge.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("month").parquet(path))
+    for m in whole:
+        _delete(spark, f"{path}/month={m}")
+    return PurgeCounts(len(whole), sum(gone.values()))
