@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillstream.catalog.mapping import ctes, entity
+from tillstream.catalog.mapping import ctes, entity, table
 from tillstream.catalog.registry import Catalog
 from tillstream.functions.ids import assign_business_id, assign_sequence
 from tillstream.operators import mutate, quality
@@ -167,7 +167,7 @@ _SKU_START = 10_000_001
 
 def _sku_insert(spark, sf_dir):
     skus, products = entity(spark, sf_dir, "products_sku"), entity(spark, sf_dir, "products")
-    requests = spark.sql(_SKU_REQUESTS, part=spark.read.parquet(f"{sf_dir}/part.parquet"))
+    requests = spark.sql(_SKU_REQUESTS, part=table(spark, sf_dir, "part"))
     live = "deleted_at is null"
     return mutate.validated_insert(
         skus, requests,
@@ -220,7 +220,7 @@ def validated_insert_rejected(spark, sf_dir):
 def validated_insert_names(spark, sf_dir):
     """New categories; a name taken by an active one is refused whatever its case."""
     cats = entity(spark, sf_dir, "categories")
-    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    part = table(spark, sf_dir, "part")
     names = part.select(F.lower("p_name").alias("name")).distinct().unionByName(
         part.select(F.lower("p_type").alias("name")).distinct())
     done = mutate.validated_insert(
@@ -277,7 +277,7 @@ def insert_employees(spark, sf_dir):
     requests = rows.withColumnRenamed("employee_id", "_request")
     done = mutate.validated_insert(
         rows, requests, [*quality.not_blank("name"),
-                         quality.Rule("chk_salary_minimum", F.col("salary") > 1000)],
+                         quality.Rule("chk_salary_minimum", "salary > 1000")],
         mutate.KeyRule("employee_id", ["_request"], 501, "EMP_", 4))
     return done.inserted.select("employee_id", "name", "salary")
 
@@ -287,7 +287,7 @@ def insert_employees(spark, sf_dir):
         order by c_acctbal desc, c_custkey) + 41 as varchar), 6, '0')) as customer_id
     from customer""")
 def business_ids(spark, sf_dir):
-    c = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+    c = table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", (-F.col("c_acctbal")).alias("_order"))
     return assign_business_id(c, "customer_id", "CUST_", 6, ["_order", "c_custkey"], 42).drop(
         "_order")
@@ -317,7 +317,7 @@ _PRODUCT_REQUESTS = """select p_partkey as n, p_name as name, cast(p_size as big
            category_id, i + 90000 as sku_id, sku, price, color, size
     from k""")
 def insert_product_with_sku(spark, sf_dir):
-    requests = spark.sql(_PRODUCT_REQUESTS, part=spark.read.parquet(f"{sf_dir}/part.parquet"))
+    requests = spark.sql(_PRODUCT_REQUESTS, part=table(spark, sf_dir, "part"))
     products, skus = mutate.insert_product_with_sku(
         entity(spark, sf_dir, "products"), entity(spark, sf_dir, "products_sku"), requests,
         ["n"], 7001, 90001, NOW)

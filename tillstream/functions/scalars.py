@@ -17,8 +17,8 @@ def decode_decimal(col: Column, precision: int, scale: int) -> Column:
     """
     raw = F.try_to_binary(col, F.lit("base64"))
     digits = F.hex(raw)
-    sign = F.when(F.substring(digits, 1, 1) >= "8", F.lit("F")).otherwise(F.lit("0"))
-    unscaled = F.conv(F.lpad(digits, F.lit(16), sign), 16, -10).cast("decimal(20,0)")
+    sign = F.when(digits >= "8", "F").otherwise("0")     # text order: first digit 8 to F
+    unscaled = F.conv(F.lpad(digits, 16, sign), 16, -10).cast("decimal(20,0)")
     value = unscaled * F.lit(Decimal(1).scaleb(-scale))
     return F.when(F.length(raw) <= 8, value.try_cast(T.DecimalType(precision, scale)))
 
@@ -35,10 +35,6 @@ def event_time(millis: Column, truncate: str | None = None) -> Column:
     return F.date_trunc(truncate, ts) if truncate else ts
 
 
-def micros_time(micros: Column) -> Column:
-    return F.timestamp_micros(micros.try_cast("bigint"))
-
-
 def row_hash(
     df: DataFrame,
     cols: Sequence[str],
@@ -53,10 +49,10 @@ def row_hash(
     types = {f.name: f.dataType for f in df.schema.fields}
     parts = []
     for name in cols:
-        col = F.col(name)
-        text = F.hex(col) if isinstance(types[name], T.BinaryType) else col.cast("string")
-        parts.append(text if null_mode == "skip" else F.coalesce(text, F.lit("")))
-    return F.sha2(F.concat_ws(sep, *parts), 256)
+        text = (f"hex(`{name}`)" if isinstance(types[name], T.BinaryType)
+                else f"cast(`{name}` as string)")
+        parts.append(text if null_mode == "skip" else f"coalesce({text}, '')")
+    return F.expr(f"sha2(concat_ws('{sep}', {', '.join(parts)}), 256)")
 
 
 def month_label(ts: str | Column) -> Column:

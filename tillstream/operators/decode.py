@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillstream.functions.scalars import decode_decimal, event_time, micros_time, row_hash
+from tillstream.functions.scalars import decode_decimal, event_time, row_hash
 from tillstream.specs import TableSpec
 
 KEPT_OPS = ("r", "c", "u")       # snapshot, create, update
@@ -38,39 +38,34 @@ def rejects(df: DataFrame, spec: TableSpec) -> DataFrame:
             .select("value", F.lit("malformed message").alias("reason")))
 
 
-def _typed(col: Column, name: str, spec: TableSpec) -> Column:
+def _typed(field: str, name: str, spec: TableSpec) -> Column:
     kind = spec.type_of(name)
     if isinstance(kind, T.DecimalType):
-        return decode_decimal(col, kind.precision, kind.scale)
+        return decode_decimal(F.col(field), kind.precision, kind.scale)
     if name in spec.micros:
-        return micros_time(col)
+        return F.expr(f"timestamp_micros(try_cast({field} as bigint))")
     if isinstance(kind, T.TimestampType):
-        return col.try_cast(kind)
-    return col
+        return F.expr(f"try_cast({field} as timestamp)")
+    if name in spec.key:
+        return F.expr(f"coalesce({field}, payload.before.`{name}`)")
+    return F.col(field)
 
 
 def flatten_after(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Typed business columns. A delete carries its key only, from the ``before`` image."""
-    payload = "payload"
-    cols = []
-    for name in spec.columns:
-        col = F.col(f"{payload}.after.{name}")
-        if name in spec.key:
-            col = F.coalesce(col, F.col(f"{payload}.before.{name}"))
-        cols.append(_typed(col, name, spec).alias(name))
-    return df.select(*cols, F.col("payload"))
+    return df.select(*[_typed(f"payload.after.`{n}`", n, spec).alias(n) for n in spec.columns],
+                     "payload")
 
 
 def with_lineage_cdc(df: DataFrame, truncate: str | None = None) -> DataFrame:
-    src = "payload.source"
     return df.select(
         *[c for c in df.columns if c != "payload"],
         event_time(F.col("payload.ts_ms"), truncate).alias("ingestion_time"),
         F.col("payload.op").alias("transaction_type"),
-        F.concat_ws("_", F.col(f"{src}.connector"), F.col(f"{src}.name")).alias("connector"),
-        F.concat_ws(".", F.col(f"{src}.db"), F.col(f"{src}.schema"),
-                    F.col(f"{src}.table")).alias("source"),
-    )
+        F.expr("concat_ws('_', payload.source.connector, payload.source.name)")
+        .alias("connector"),
+        F.expr("concat_ws('.', payload.source.db, payload.source.schema, payload.source.table)")
+        .alias("source"))
 
 
 def decode_cdc(

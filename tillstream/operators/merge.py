@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstream.operators.joins import is_small, lookup_join, reads_little
@@ -27,21 +27,18 @@ class MergeResult:
     @property
     def df(self) -> DataFrame:
         """The table after the merge."""
-        return (self.plan.filter(F.col("_action") != "delete")
-                .select("new.*").select(*self.columns))
+        return self.plan.filter("_action <> 'delete'").select("new.*")
 
     @property
     def actions(self) -> DataFrame:
-        key = [F.coalesce(F.col(f"new.{k}"), F.col(f"old.{k}")).alias(k) for k in self.spec.key]
-        return self.plan.select(*key, F.col("_action").alias("action"))
+        key = [f"coalesce(new.{k}, old.{k}) as {k}" for k in self.spec.key]
+        return self.plan.selectExpr(*key, "_action as action")
 
     def metrics(self) -> DataFrame:
         """One row: how many target rows were inserted, updated and deleted."""
-        def hits(action: str) -> Column:
-            return F.count(F.when(F.col("_action") == action, 1))
-        return self.plan.agg(hits("insert").alias("rows_inserted"),
-                             hits("update").alias("rows_updated"),
-                             hits("delete").alias("rows_deleted"))
+        return self.plan.selectExpr("count_if(_action = 'insert') as rows_inserted",
+                                    "count_if(_action = 'update') as rows_updated",
+                                    "count_if(_action = 'delete') as rows_deleted")
 
     def changes(self) -> DataFrame:
         """Change feed of this merge, without a second comparison of old and new."""
@@ -50,14 +47,13 @@ class MergeResult:
 
 def feed_rows(changed: DataFrame, columns: list[str]) -> DataFrame:
     """Rows (``_change_type`` + columns) from a frame of ``old``, ``new`` and ``_action``."""
-    def image(kind: str, side: str) -> Column:
-        return F.struct(F.lit(kind).alias("_change_type"),
-                        *[F.col(f"{side}.{c}").alias(c) for c in columns])
-    images = (F.when(F.col("_action") == "insert", F.array(image("insert", "new")))
-              .when(F.col("_action") == "delete", F.array(image("delete", "old")))
-              .otherwise(F.array(image("update_preimage", "old"),
-                                 image("update_postimage", "new"))))
-    return changed.select(F.explode(images).alias("c")).select("c.*")
+    def image(kind: str, side: str) -> str:
+        values = ", ".join(f"'{c}', {side}.`{c}`" for c in columns)
+        return f"named_struct('_change_type', '{kind}', {values})"
+    return changed.selectExpr(f"""inline(case _action
+        when 'insert' then array({image("insert", "new")})
+        when 'delete' then array({image("delete", "old")})
+        else array({image("update_preimage", "old")}, {image("update_postimage", "new")}) end)""")
 
 
 def _paired(target: DataFrame, source: DataFrame, key: list[str], way: str) -> DataFrame:
@@ -99,43 +95,38 @@ def merge_upsert(
     """
     key = list(spec.key)
     columns = spec.silver_schema().names
-    stamp = F.lit(now).cast("timestamp")
-    is_delete = (F.col("transaction_type") == "d" if "transaction_type" in source.columns
-                 else F.lit(False))
+    given = set(source.columns)
+    gone = "transaction_type <=> 'd'" if "transaction_type" in given else "false"
     newest = latest_per_key(source, key, spec.order_col)
-    newest = newest.select(*[c for c in columns if c in source.columns],
-                           is_delete.alias("_gone"))
     if on_delete != "delete":
-        newest = newest.filter(~F.col("_gone"))
+        newest = newest.filter(f"not ({gone})")
+    newest = newest.selectExpr(*[f"`{c}`" for c in columns if c in given], f"{gone} as _gone")
     pairs = _paired(target.select(*columns), newest, key, way)
 
-    matched = F.col("t").isNotNull() & F.col("s").isNotNull()
-    gone = F.coalesce(F.col("s._gone"), F.lit(False))
-    differs = ~F.col("t.hash").eqNullSafe(F.col("s.hash"))
+    differs = "not (t.hash <=> s.hash)"
     # The guard compares source times, so it is off where the merge itself stamps the column.
     if guard and dict(spec.on_update).get(spec.order_col) != "now":
-        differs = differs & F.coalesce(
-            F.col(f"s.{spec.order_col}") >= F.col(f"t.{spec.order_col}"), F.lit(True))
-    action = (F.when(matched & gone, "delete")
-              .when(matched & differs, "update")
-              .when(F.col("t").isNull() & ~gone, "insert")
-              .when(F.col("t").isNull(), "skip")
-              .otherwise("keep"))
-
-    def value(column: str) -> Column:
-        def side(rule: dict[str, str]) -> Column:
-            given = rule.get(column, "source")
-            if given == "now":
-                return stamp
-            return (F.col(f"s.{column}") if column in newest.columns
-                    else F.lit(None).cast(spec.silver_schema()[column].dataType))
-        return (F.when(F.col("_action") == "insert", side(dict(spec.on_insert)))
-                .when(F.col("_action") == "update", side(dict(spec.on_update)))
-                .otherwise(F.col(f"t.{column}")).alias(column))
-
-    plan = (pairs.withColumn("_action", action).filter(F.col("_action") != "skip")
-            .select(F.col("t").alias("old"), F.struct(*[value(c) for c in columns]).alias("new"),
-                    "_action"))
+        differs += f" and coalesce(s.{spec.order_col} >= t.{spec.order_col}, true)"
+    action = f"""case when s is null then 'keep'
+        when t is null and s._gone then 'skip' when t is null then 'insert'
+        when s._gone then 'delete' when {differs} then 'update' else 'keep' end"""
+
+    types = {f.name: f.dataType.simpleString() for f in spec.silver_schema().fields}
+    on_insert, on_update = dict(spec.on_insert), dict(spec.on_update)
+
+    def value(c: str) -> str:
+        def side(rule: dict[str, str]) -> str:
+            if rule.get(c) == "now":
+                return "_now"
+            return f"s.`{c}`" if c in given else f"cast(null as {types[c]})"
+        return (f"'{c}', case _action when 'insert' then {side(on_insert)} "
+                f"when 'update' then {side(on_update)} else t.`{c}` end")
+
+    plan = (pairs.select("t", "s", F.expr(action).alias("_action"),
+                         F.lit(now).cast("timestamp").alias("_now"))
+            .filter("_action <> 'skip'")
+            .selectExpr("t as old", f"named_struct({', '.join(map(value, columns))}) as new",
+                        "_action"))
     return MergeResult(plan, spec, columns)
 
 

@@ -17,56 +17,59 @@ PHONE_PATTERN = r"^[0-9]{8,15}$"
 
 @dataclass(frozen=True)
 class Rule:
-    """``holds`` is true, or null where the rule does not apply to the row."""
+    """``holds`` is an SQL condition: true, or null where the rule does not apply to the row."""
     name: str
-    holds: Column
+    holds: str
 
     @property
-    def broken(self) -> Column:
-        return F.coalesce(~self.holds, F.lit(False))
+    def broken(self) -> str:
+        return f"coalesce(not ({self.holds}), false)"
+
+
+def _text(value) -> str:
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def not_null(*cols: str) -> list[Rule]:
-    return [Rule(f"{c}_not_null", F.col(c).isNotNull()) for c in cols]
+    return [Rule(f"{c}_not_null", f"{c} is not null") for c in cols]
 
 
 def positive(*cols: str) -> list[Rule]:
-    return [Rule(f"chk_{c}_positive", F.col(c) > 0) for c in cols]
+    return [Rule(f"chk_{c}_positive", f"{c} > 0") for c in cols]
 
 
 def non_negative(*cols: str) -> list[Rule]:
-    return [Rule(f"chk_{c}_non_negative", F.col(c) >= 0) for c in cols]
+    return [Rule(f"chk_{c}_non_negative", f"{c} >= 0") for c in cols]
 
 
 def non_empty(*cols: str) -> list[Rule]:
-    return [Rule(f"chk_{c}_length", F.length(c) > 0) for c in cols]
+    return [Rule(f"chk_{c}_length", f"length({c}) > 0") for c in cols]
 
 
 def not_blank(*cols: str) -> list[Rule]:
     """Present and more than blanks."""
-    return [Rule(f"chk_{c}_not_blank", F.length(F.trim(F.coalesce(F.col(c), F.lit("")))) > 0)
-            for c in cols]
+    return [Rule(f"chk_{c}_not_blank", f"length(trim(coalesce({c}, ''))) > 0") for c in cols]
 
 
 def not_future(now, *cols: str) -> list[Rule]:
-    bound = F.lit(now).cast("timestamp")
-    return [Rule(f"chk_{c}", F.col(c) <= bound) for c in cols]
+    return [Rule(f"chk_{c}", f"{c} <= timestamp '{now}'") for c in cols]
 
 
 def after(later: str, earlier: str) -> Rule:
-    return Rule(f"chk_{later}_after_{earlier}", F.col(later) > F.col(earlier))
+    return Rule(f"chk_{later}_after_{earlier}", f"{later} > {earlier}")
 
 
-def one_of(col: str, values: Iterable[str]) -> Rule:
-    return Rule(f"chk_{col}_allowed", F.col(col).isin(*values))
+def one_of(col: str, values: Iterable) -> Rule:
+    listed = ", ".join(_text(v) if isinstance(v, str) else str(v) for v in values)
+    return Rule(f"chk_{col}_allowed", f"{col} in ({listed})")
 
 
 def matches(col: str, pattern: str, name: str | None = None) -> Rule:
-    return Rule(name or f"chk_{col}_format", F.col(col).rlike(pattern))
+    return Rule(name or f"chk_{col}_format", f"{col} rlike {_text(pattern)}")
 
 
 def max_length(col: str, n: int) -> Rule:
-    return Rule(f"chk_{col}_max_length", F.length(col) <= n)
+    return Rule(f"chk_{col}_max_length", f"length({col}) <= {n}")
 
 
 def table_rules(spec: TableSpec, now, columns: Sequence[str] | None = None,
@@ -105,17 +108,17 @@ class Checked:
 
 def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> Checked:
     """Flag every row with the names of the rules it breaks."""
-    names = [F.when(r.broken, F.lit(r.name)) for r in rules] or [F.lit(None).cast("string")]
-    return Checked(df.withColumn("violations", F.array_compact(F.array(*names))))
+    flags = ", ".join(f"case when {r.broken} then '{r.name}' end" for r in rules)
+    return Checked(df.withColumn("violations", F.expr(
+        f"array_compact(array({flags or 'cast(null as string)'}))")))
 
 
 def rule_counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Broken rows per rule: one aggregation over the table, then one row per rule."""
-    sums = [F.count(F.when(r.broken, 1)).alias(r.name) for r in rules]
-    wide = df.agg(*sums)
-    pairs = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.col(r.name).alias("violations"))
-                      for r in rules])
-    return wide.select(F.explode(pairs).alias("p")).select("p.rule", "p.violations")
+    wide = df.selectExpr(*[f"count_if({r.broken}) as `{r.name}`" for r in rules])
+    pairs = ", ".join(f"named_struct('rule', '{r.name}', 'violations', `{r.name}`)"
+                      for r in rules)
+    return wide.selectExpr(f"inline(array({pairs}))")
 
 
 def duplicates(df: DataFrame, key) -> DataFrame:
