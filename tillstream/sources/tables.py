@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstream.functions.scalars import month_label
+from tillstream.operators.joins import is_small
 from tillstream.specs import TableSpec
 
 
@@ -18,11 +19,14 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(name) if "/" in name else spark.read.table(name)
 
 
+SPREAD_FLOOR = 256 * 1024     # below this one task is as good as many
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rows of an input with too few splits (a lone small file) dealt out to all cores, ahead
     of work that is heavy per row. An input with splits enough is left as it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df._jdf.rdd().getNumPartitions() * 2 > cores:
+    if is_small(df, SPREAD_FLOOR) or df._jdf.rdd().getNumPartitions() * 2 > cores:
         return df
     return df.repartition(cores)
 
