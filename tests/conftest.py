@@ -24,3 +24,18 @@ def make_session():
 @pytest.fixture(scope="session")
 def spark():
     return make_session()
+
+
+_SEED: dict[str, str] = {}
+
+
+def stored_seed(spark):
+    """The sample rows as stored tables, written once per test run."""
+    from tillstream.sources.seed import load_seed
+    from tillstream.specs import spec
+    if not _SEED:
+        base = session.run_dir(spark, "seed")
+        for name, df in load_seed(spark).items():
+            df.coalesce(1).write.parquet(f"{base}/{name}")
+            _SEED[name] = f"{base}/{name}"
+    return {n: spark.read.schema(spec(n).schema()).parquet(p) for n, p in _SEED.items()}

@@ -3,9 +3,9 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import stored_seed
 from tillstream.operators import joins
 from tillstream.plans.reports import sales_report_view, shipping_report_view
-from tillstream.sources.seed import load_seed
 
 
 @pytest.fixture(scope="module")
@@ -82,7 +82,7 @@ def test_join_values_checks_its_rows(spark):
 
 
 def test_sales_report_of_the_sample(spark):
-    t = load_seed(spark)
+    t = stored_seed(spark)
     args = [t[n] for n in ("orders", "customers", "order_items", "products_sku", "products",
                            "payment_types")]
     rows = sales_report_view(*args, ordered=True).collect()
@@ -93,7 +93,7 @@ def test_sales_report_of_the_sample(spark):
 
 
 def test_shipping_report_keeps_untracked_shipments(spark):
-    t = load_seed(spark)
+    t = stored_seed(spark)
     rows = shipping_report_view(t["shipments"], t["warehouses"], t["delivery_tracking"]).collect()
     assert sorted((r.shipment_id, r.checkpoint_location) for r in rows if r.checkpoint_location) == [
         (1, "Hai Phong"), (1, "Hanoi"), (2, "Da Nang"), (3, "Ho Chi Minh"), (5, "Can Tho")]

@@ -4,10 +4,10 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from tests.conftest import stored_seed
 from tillstream.functions import pii
 from tillstream.functions.ids import assign_business_id, assign_sequence, business_id
-from tillstream.operators import mutate, quality
-from tillstream.sources.seed import load_seed
+from tillstream.operators import entity_ops, mutate, quality
 from tillstream.specs import SPECS, spec
 
 NOW = datetime(2026, 1, 1)
@@ -24,7 +24,7 @@ def test_patch_modes(spark):
 
 
 def test_soft_delete_guard(spark):
-    t = load_seed(spark)
+    t = stored_seed(spark)
     products = t["products"].withColumn(
         "deleted_at", F.when(F.col("product_id") == "PROD_00002", F.lit(datetime(2025, 12, 1))))
     skus = t["products_sku"].filter("product_id <> 'PROD_00001'")
@@ -38,7 +38,7 @@ def test_soft_delete_guard(spark):
 
 
 def test_stock_by_sku(spark):
-    inv = load_seed(spark)["inventory"]
+    inv = stored_seed(spark)["inventory"]
     req = spark.createDataFrame([(6, 5), (7, -1), (99, 1)], "sku_id long, stock_quantity int")
     done = mutate.set_stock_by_sku(inv, req, NOW)
     rows = done.df.collect()
@@ -49,7 +49,7 @@ def test_stock_by_sku(spark):
 
 
 def test_customer_insert(spark):
-    customers = load_seed(spark)["customers"]
+    customers = stored_seed(spark)["customers"]
     req = spark.createDataFrame([
         (1, "A", "a@x.vn", "0123456789", "here"), (2, "B", "not-mail", "0123456789", "there"),
         (3, "C", "c@x.vn", "+84901111111", "there"), (4, "D", "D.D@X.COM", "12345678", "far"),
@@ -101,7 +101,7 @@ def test_time_rules_allow_equality(spark):
 
 
 def test_sample_rows_obey_the_table_rules(spark):
-    for name, df in load_seed(spark).items():
+    for name, df in stored_seed(spark).items():
         rules = quality.table_rules(spec(name), NOW, df.columns)
         assert quality.apply_rules(df, rules).rejected.count() == 0, name
     assert len(SPECS) == 21
@@ -140,3 +140,78 @@ def test_masks(spark):
     policy = {"email": pii.Mask("email"), "phone": pii.Mask("last4", frozenset({"support"}))}
     assert tuple(pii.mask(df, policy, "analyst").first()) == ("a***@x.vn", "******6789")
     assert pii.mask(df, policy, "support").first().phone == "0123456789"
+
+
+def _request(spark, entity, **override):
+    """The first sample row as an insert request, with some values changed."""
+    s = spec(entity)
+    df = stored_seed(spark)[entity].limit(1).drop(s.key[0]).withColumn("n", F.lit(1))
+    for c, v in override.items():
+        df = df.withColumn(c, F.lit(v))
+    for c in ("email", "phone"):
+        if c in df.columns and c not in override:
+            df = df.withColumn(c, F.lit({"email": "a@b.vn", "phone": "0123456789"}[c]))
+    return df
+
+
+BAD = {
+    "payment_types": {"name": " "}, "accounts": {"account_type": ""}, "departments": {"name": ""},
+    "employees": {"salary": 0}, "suppliers": {"contact_name": " "},
+    "purchase_orders": {"status": "lost"}, "purchase_order_items": {"quantity": 0},
+    "financial_transactions": {"type": "gift"}, "warehouses": {"location": ""},
+    "inventory": {"stock_quantity": -1}, "shipments": {"shipment_date": datetime(2030, 1, 1)},
+    "delivery_tracking": {"status": "pending"}, "customers": {"email": "nobody"},
+    "categories": {"name": "bOOks"}, "products_sku": {"product_id": "PROD_00099"},
+}
+
+
+def test_every_insert_checks_its_requests(spark):
+    tables = stored_seed(spark)
+    assert set(BAD) == set(entity_ops.INSERTS)
+    for name, bad in BAD.items():
+        fine = {"categories": {"name": "Toys"}, "products_sku": {"sku": "NEW"}}.get(name, {})
+        good = _request(spark, name, **fine)
+        both = good.unionByName(_request(spark, name, **{**fine, **bad}).withColumn("n", F.lit(2)))
+        both = both.select(*[F.col(f.name).cast(good.schema[f.name].dataType).alias(f.name)
+                             for f in both.schema.fields])
+        done = entity_ops.insert_rows(name, tables, both, ["n"], 50, NOW)
+        assert [r.n for r in done.rejected.collect()] == [2], name
+        assert done.inserted.count() == 1, name
+
+
+def test_insert_encrypts_once(spark):
+    tables = stored_seed(spark)
+    done = entity_ops.insert_rows("customers", tables, _request(spark, "customers"), ["n"], 50,
+                                  NOW, secret="k")
+    assert pii.decrypt(done.inserted, ["email"], "k").first().email == "a@b.vn"
+    assert done.df.count() == 6
+
+
+def test_every_patch_and_soft_delete_runs(spark):
+    tables = stored_seed(spark)
+    for name, how in entity_ops.PATCHES.items():
+        one = tables[name].limit(1)
+        done = entity_ops.patch_rows(name, tables, one.select(*how.key, *how.columns), NOW)
+        assert done.df.filter(F.col(how.stamp) == F.lit(NOW)).count() == 1, name
+        assert done.rejected.count() == 0, name
+    for name in entity_ops.SOFT_DELETES:
+        key = spec(name).key[0]
+        done = entity_ops.soft_delete_rows(name, tables, tables[name].select(key), NOW)
+        left = done.df.filter("deleted_at is null").count()
+        assert left == (5 if name == "products" else 0), name
+
+
+def test_patch_refusals(spark):
+    tables = stored_seed(spark)
+    req = spark.createDataFrame([(1, " "), (2, "bOOKS"), (4, "BOOKS"), (5, None)],
+                                "category_id long, name string")
+    done = entity_ops.patch_rows("categories", tables, req, NOW)
+    assert {r.category_id: r.reason for r in done.rejected.collect()} == {
+        1: "chk_name_not_blank", 2: "name already exists"}
+    names = {r.category_id: r.name for r in done.df.collect()}
+    assert names[4] == "BOOKS" and names[5] == "Sports" and names[2] == "Clothing"
+    lost = spark.createDataFrame([("PROD_00001", None, 77), ("PROD_00002", "Shirt", None)],
+                                 "product_id string, name string, category_id long")
+    done = entity_ops.patch_rows("products", tables, lost, NOW)
+    assert [r.reason for r in done.rejected.collect()] == ["category_id not found"]
+    assert done.df.filter("name = 'Shirt' and category_id = 2").count() == 1

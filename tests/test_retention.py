@@ -5,8 +5,8 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import stored_seed
 from tillstream.operators import retention as r
-from tillstream.sources.seed import load_seed
 
 AS_OF = datetime(2025, 6, 1)
 CUT = datetime(2025, 3, 1)
@@ -45,7 +45,7 @@ def test_cascade_takes_the_children(spark):
 
 
 def _tables(spark):
-    t = load_seed(spark)
+    t = stored_seed(spark)
     t["order_items"] = t["order_items"].withColumn(
         "order_date", F.when(F.col("order_item_id") < 4, F.lit(OLD)).otherwise(F.lit(AS_OF)))
     t["orders"] = t["orders"].withColumn("order_date", F.lit(OLD))
@@ -87,7 +87,7 @@ def test_archive_adds_up(spark, tmp_path):
 
 
 def test_stock_of_expired_parents(spark):
-    t = load_seed(spark)
+    t = stored_seed(spark)
     t["warehouses"] = t["warehouses"].withColumn(
         "deleted_at", F.when(F.col("warehouse_id") == 1, F.lit(OLD)))
     t["products"] = t["products"].withColumn(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tillstream.catalog.mapping import ctes, entity, table
 from tillstream.catalog.registry import Catalog
 from tillstream.functions.ids import assign_business_id, assign_sequence
-from tillstream.operators import mutate, quality
+from tillstream.operators import entity_ops, mutate, quality
 from tillstream.specs import LEDGER_SIDES, ORDER_STATES, SHIPMENT_STATES, TRACKING_STATES
 
 CATALOG = Catalog()
@@ -323,3 +323,80 @@ def insert_product_with_sku(spark, sf_dir):
         ["n"], 7001, 90001, NOW)
     return products.select("product_id", "name", "category_id").join(
         skus.select("product_id", "sku_id", "sku", "price", "color", "size"), "product_id")
+
+
+_MAIL_OK = "regexp_matches(email, '^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{2,}$')"
+_CUSTOMER_REQUESTS = """
+    select c_custkey as n, c_name as name,
+           case when c_nationkey = 3 then c_name
+                else concat('New', cast(c_custkey as string), '@Example.COM') end as email,
+           case when c_mktsegment = 'MACHINERY' then concat('+', cast(c_custkey as string))
+                else concat('09', lpad(cast(c_custkey as string), 8, '0')) end as phone,
+           concat('Nation ', cast(c_nationkey as string)) as address
+    from {customer}"""
+
+
+@CATALOG.query("insert_customers", f"""with r as ({_CUSTOMER_REQUESTS.format(customer="customer")}),
+    k as (select *, row_number() over (order by n) + 99999 as i from r
+          where {_MAIL_OK} and regexp_matches(phone, '^[0-9]{{8,15}}$'))
+    select concat('CUST_', lpad(cast(i as varchar),
+               cast(greatest(6, length(cast(i as varchar))) as int), '0')) as customer_id, name,
+           hex(email) as email, hex(phone) as phone, address, timestamp '{NOW}' as created_at
+    from k""")
+def insert_customers(spark, sf_dir):
+    requests = spark.sql(_CUSTOMER_REQUESTS, customer=table(spark, sf_dir, "customer"))
+    done = entity_ops.insert_rows("customers", {"customers": entity(spark, sf_dir, "customers")},
+                                  requests, ["n"], 100_000, NOW)
+    return done.inserted.select("customer_id", "name", F.hex("email").alias("email"),
+                                F.hex("phone").alias("phone"), "address", "created_at")
+
+
+_SKU_PATCH = """
+    select sku_id, case when size = '7' then 'SKU_1' else concat(sku, '_v2') end as sku,
+           color, cast(null as string) as size,
+           cast(case when color = 'red' then 0 else price + 1 end as decimal(10,2)) as price
+    from {products_sku} where price > 920
+    union all
+    select -sku_id, concat('NONE_', sku), color, size, price from {products_sku}
+    where price > 990"""
+
+
+def _sku_patch(spark, sf_dir):
+    skus = entity(spark, sf_dir, "products_sku")
+    return entity_ops.patch_rows("products_sku", {"products_sku": skus},
+                                 spark.sql(_SKU_PATCH, products_sku=skus), NOW)
+
+
+_SKU_PATCH_CTE = f"""{ctes("products_sku")},
+    req as ({_SKU_PATCH.format(products_sku="products_sku")}),
+    checked as (select r.*, case when r.price <= 0 then 'chk_price_positive'
+        when exists (select 1 from products_sku s where s.deleted_at is null and s.sku = r.sku
+                     and s.sku_id <> r.sku_id) then 'sku already exists'
+        when not exists (select 1 from products_sku s where s.deleted_at is null
+                         and s.sku_id = r.sku_id) then 'not found' end as reason from req r)"""
+
+
+@CATALOG.query("patch_skus_checked", f"""{_SKU_PATCH_CTE}
+    select s.sku_id, case when c.sku_id is null then s.sku else c.sku end as sku,
+           case when c.sku_id is null then s.size else c.size end as size,
+           case when c.sku_id is null then s.price else c.price end as price,
+           case when c.sku_id is null then s.updated_at else timestamp '{NOW}' end as updated_at
+    from products_sku s left join checked c on c.sku_id = s.sku_id and c.reason is null""")
+def patch_skus_checked(spark, sf_dir):
+    return _sku_patch(spark, sf_dir).df.select("sku_id", "sku", "size", "price", "updated_at")
+
+
+@CATALOG.query("patch_skus_refused", f"""{_SKU_PATCH_CTE}
+    select sku_id, sku, reason from checked where reason is not null""")
+def patch_skus_refused(spark, sf_dir):
+    return _sku_patch(spark, sf_dir).rejected.select("sku_id", "sku", "reason")
+
+
+@CATALOG.query("soft_delete_products", f"""{_GUARD}
+    select product_id, case when deleted_at is null and product_id not in (
+        select product_id from busy) then timestamp '{NOW}' else deleted_at end as deleted_at
+    from products""")
+def soft_delete_products(spark, sf_dir):
+    t = {n: entity(spark, sf_dir, n) for n in ("products", "products_sku")}
+    return entity_ops.soft_delete_rows("products", t, t["products"].select("product_id"),
+                                       NOW).df.select("product_id", "deleted_at")
