@@ -28,7 +28,7 @@ def shortest(amount: str) -> str:
 
 def message(op="c", ts="1704067200250", table="orders", **after) -> str:
     body = {"op": op, "after": after or None, "ts_ms": ts,
-            "source": {"connector": "postgresql", "name": "posdbserver", "db": "pos",
+            "source": {"connector": "postgresql", "name": "pos_server", "db": "pos",
                        "schema": "public", "table": table}}
     return json.dumps({"payload": body})
 
@@ -64,7 +64,7 @@ def test_order_message(spark):
     assert row.updated_at == datetime(2025, 8, 30, 9, 30, 0, 123456)
     assert row.ingestion_time == datetime(2024, 1, 1, 0, 0, 0, 250000)
     assert (row.transaction_type, row.connector, row.source) == (
-        "c", "postgresql_posdbserver", "pos.public.orders")
+        "c", "postgresql_pos_server", "pos.public.orders")
 
 
 def test_bytes_and_truncated_time(spark):

@@ -21,7 +21,7 @@ CONNECTOR = "postgresql"
 
 
 def server(spec: TableSpec) -> str:
-    return f"{spec.database}dbserver"
+    return f"{spec.database}_server"
 
 
 def wire_table(spec: TableSpec) -> str:

@@ -12,6 +12,7 @@ from tillstream.functions.scalars import decode_decimal, event_time, row_hash
 from tillstream.specs import TableSpec
 
 KEPT_OPS = ("r", "c", "u")       # snapshot, create, update
+# Fixed value: the connector name of file loads.
 BATCH_CONNECTOR = "airflow_batch_load"
 
 
