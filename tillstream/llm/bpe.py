@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from array import array
+from collections import Counter
 from pathlib import Path
 
 import ahocorasick
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 from tillstream.llm.batches import list_column, map_pieces, row_bytes
 
 # Distinct words whose tokens one Python process remembers, and the longest word remembered.
-REMEMBERED, REMEMBERED_LENGTH = 400_000, 64
+REMEMBERED, REMEMBERED_LENGTH = 500_000, 64
 # Compatible and incompatible token pairs one Python process remembers.
 REMEMBERED_PAIRS = 2_000_000
 
@@ -73,7 +75,9 @@ class Vocabulary:
                   if len(s) == 1 or (i in self.parts and self.merged(s) == [i])}
         self.shorter = {}
         self.automaton = ahocorasick.Automaton()
-        for s, i in usable.items():
+        # The automaton looks through a node's branches in the order they were added in.
+        common = Counter(c for s in usable for c in s)
+        for s, i in sorted(usable.items(), key=lambda x: -common[x[0][0]]):
             self.automaton.add_word(s, (i, len(s)))
             self.shorter[i] = next((usable[s[:k]] for k in range(len(s) - 1, 0, -1)
                                     if s[:k] in usable), None)
@@ -84,7 +88,9 @@ class Vocabulary:
         pieces = [(self.names.get(i, "") + " ").encode() for i in range(size)]
         self.bytes = np.frombuffer(b"".join(pieces), np.uint8)
         self.offsets = np.cumsum([0, *map(len, pieces)])
+        # Tokens of chunks seen: a full younger part takes the place of the older one.
         self.remembered: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def merged(self, symbols: str) -> list[int]:
         """The tokens of a word by applying the lowest merge first; for short words only."""
@@ -153,25 +159,26 @@ class Vocabulary:
 
     def chunk(self, chunk: str) -> bytes:
         """Tokens (as 4-byte integers) of text without white space."""
-        chunk = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
-        ids = []
-        for word in WORDS.findall(chunk):
-            own = word.encode().decode("latin-1")
-            ids += self.word(own[:-1] + chr(ord(own[-1]) + 256) if self.end else own)
-        return np.array(ids, np.int32).tobytes()
+        if not chunk.isascii():
+            chunk = unicodedata.normalize("NFC", chunk).replace("Σ", "σ")
+        ids = array("i")
+        for word in WORDS.findall(chunk.lower()):
+            own = word if word.isascii() else word.encode().decode("latin-1")
+            ids.extend(self.word(own[:-1] + chr(ord(own[-1]) + 256) if self.end else own))
+        return ids.tobytes()
 
     def remember(self, chunk: str) -> bytes:
-        ids = self.chunk(chunk)
+        ids = self.older.get(chunk) or self.chunk(chunk)
         if len(chunk) <= REMEMBERED_LENGTH:
             if len(self.remembered) >= REMEMBERED:
-                self.remembered.clear()
+                self.remembered, self.older = {}, self.remembered
             self.remembered[chunk] = ids
         return ids
 
     def plain(self, text: str) -> bytes:
         chunks = [c for c in SPACE.split(text) if c] if NOT_SPACE.search(text) else text.split()
-        known, new = self.remembered.get, self.remember
-        return b"".join([known(c) or new(c) for c in chunks])
+        known = self.remembered.get
+        return b"".join([known(c) or self.remember(c) for c in chunks])
 
     def encode(self, text: str) -> np.ndarray:
         if any(s in text for s in self.special):
