@@ -66,11 +66,15 @@ def row_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0]:at[-1]], at - at[0]
 
 
+def _times(a: np.uint64, b: np.uint64) -> np.uint64:
+    return np.uint64(int(a) * int(b) % (1 << 64))
+
+
 def powers(n: int) -> np.ndarray:
     """The first ``n`` or more powers of the multiplier, modulo 2**64."""
     global _powers
     while len(_powers) < n:
-        _powers = np.concatenate([_powers, _powers * (_powers[-1] * _MULTIPLIER)])
+        _powers = np.concatenate([_powers, _powers * _times(_powers[-1], _MULTIPLIER)])
     return _powers
 
 
@@ -103,7 +107,7 @@ _inverses = np.ones(1, np.uint64)
 def _inverse_powers(n: int) -> np.ndarray:
     global _inverses
     while len(_inverses) < n:
-        _inverses = np.concatenate([_inverses, _inverses * (_inverses[-1] * _INVERSE)])
+        _inverses = np.concatenate([_inverses, _inverses * _times(_inverses[-1], _INVERSE)])
     return _inverses
 
 

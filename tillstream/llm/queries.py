@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstream.llm import bpe
+from tillstream.llm import bpe, contamination, langid, lines, toxicity
 
 
 @dataclass(frozen=True)
@@ -25,11 +25,31 @@ def word_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_language_id(spark, sf_dir):
+    return langid.predictions(table(spark, sf_dir, "documents"))
+
+
 def op3_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), word_vocabulary())
 
 
+def op6_decontamination(spark, sf_dir):
+    return contamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_line_dedup(spark, sf_dir):
+    return lines.report(table(spark, sf_dir, "documents"))
+
+
+def op10_toxicity(spark, sf_dir):
+    return toxicity.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def entries() -> dict[str, Entry]:
     return {
+        "op2_language_id": Entry(op2_language_id),
         "op3_bpe": Entry(op3_bpe),
+        "op6_decontamination": Entry(op6_decontamination, contamination.REPORT_SQL),
+        "op8_line_dedup": Entry(op8_line_dedup, lines.REPORT_SQL),
+        "op10_toxicity": Entry(op10_toxicity),
     }
