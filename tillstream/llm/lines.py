@@ -104,18 +104,18 @@ def report(docs: DataFrame) -> DataFrame:
 REPORT_SQL = f"""
 with l as (
   select doc_id, text, source, unnest(string_split(text, chr(10))) as raw,
-         unnest(range(len(string_split(text, chr(10))))) as at
+         unnest(range(len(string_split(text, chr(10))))) as pos
   from documents where text is not null),
 t as (select *, trim(raw, ' ' || chr(9) || chr(13)) as line from l),
 wide as (select line from t where line <> '' and source is not null
          group by line having count(distinct source) >= {SITES}),
 j as (select t.*, wide.line is not null as hit from t left join wide on t.line = wide.line),
 d as (
-  select doc_id, text, count(distinct at) as n_lines,
+  select doc_id, text, count(distinct pos) as n_lines,
          coalesce(sum(length(line)) filter (where hit), 0) <= {MOST} * sum(length(line)) as page,
-         count(distinct at) filter (where hit) as n_hit,
-         string_agg(raw, chr(10) order by at) filter (where not hit) as rest
-  from (select distinct doc_id, text, at, raw, line, hit from j) group by doc_id, text)
+         count(distinct pos) filter (where hit) as n_hit,
+         string_agg(raw, chr(10) order by pos) filter (where not hit) as rest
+  from (select distinct doc_id, text, pos, raw, line, hit from j) group by doc_id, text)
 select x.doc_id, coalesce(d.n_lines, 0) as n_lines,
        case when page then n_hit else 0 end as n_removed,
        sha256(case when page and n_hit > 0 then coalesce(rest, '') else coalesce(x.text, '') end)
