@@ -15,7 +15,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.llm.lines import row_key
+from tillstream.llm.lines import computed, row_key
 from tillstream.session import settle
 
 WINDOW = 10
@@ -39,8 +39,8 @@ def _hashes(of: Column, size: int) -> Column:
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """One row per distinct window: its hash, its words, and the ids of the items that hold it."""
-    items = benchmark.select(F.col("item_id").cast("string").alias("item"),
-                             words("text").alias("words")).filter(F.size("words") > 0)
+    items = computed(benchmark.select(F.col("item_id").cast("string").alias("item"), "text"),
+                     "words", words("text")).filter(F.size("words") > 0)
     size = F.least(F.size("words"), F.lit(window))
     starts = items.select("item", "words", size.alias("size"),
                           F.explode(F.sequence(F.lit(1), F.size("words") - size + 1)).alias("at"))
@@ -59,25 +59,17 @@ def mark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
         grams = F.broadcast(grams)
     keyed = docs.select("*", *row_key("doc_id", "text"))
     keys = ["_row1", "_row2"]
-    hits = None
-    if sizes:
-        cut = docs.select(*row_key("doc_id", "text"), words("text").alias("_words"))
-        found = cut.select(*keys, F.explode(F.array(*[
-            F.struct(F.lit(n).alias("size"), _hashes(F.col("_words"), n).alias("hashes"))
-            for n in sizes])).alias("w")) if len(sizes) > 1 else cut.select(
-                *keys, F.struct(F.lit(sizes[0]).alias("size"),
-                                _hashes(F.col("_words"), sizes[0]).alias("hashes")).alias("w"))
-        hits = (found.select(*keys, F.posexplode("w.hashes").alias("start", "hash"))
-                .join(grams, "hash")
-                .groupBy(*keys).agg(F.collect_set(F.struct("start", "gram", "items")).alias("_hits")))
-    rows = keyed.withColumn("_words", words("text"))
-    if hits is None:
-        none = F.array().cast("array<struct<start:int,gram:array<string>,items:array<string>>>")
-        return rows.withColumn("_hits", none).drop(*keys)
-    rows = keyed.join(hits, keys, "left").drop(*keys).withColumn("_words", words("text"))
-    verified = F.filter("_hits", lambda h: F.slice("_words", h.start + 1, F.size(h.gram)) == h.gram)
-    return rows.withColumn("_hits", F.when(F.col("_hits").isNotNull(), verified)
-                           .otherwise(F.array()))
+    cut = computed(docs.select(*row_key("doc_id", "text"), "text"), "_words", words("text"))
+    # Window hashes, one array for each size; none at all if the benchmark has no window.
+    hashes = F.array(*[_hashes(F.col("_words"), n) for n in sizes or [window]])
+    hits = (cut.select(*keys, F.explode(hashes).alias("hashes"))
+            .select(*keys, F.posexplode("hashes").alias("start", "hash"))
+            .join(grams, "hash")
+            .groupBy(*keys).agg(F.collect_set(F.struct("start", "gram", "items")).alias("_hits")))
+    rows = computed(keyed.join(hits, keys, "left").drop(*keys), "_words", words("text"))
+    return computed(rows.withColumnRenamed("_hits", "_found"), "_hits",
+                    F.coalesce(F.filter("_found", lambda h: F.slice(
+                        "_words", h.start + 1, F.size(h.gram)) == h.gram), F.array())).drop("_found")
 
 
 def _hit_words() -> Column:
@@ -104,9 +96,9 @@ def remove_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def remove_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """All rows; hit words are cut out of ``text``, with what stands between two hit words."""
     rows = mark(docs, benchmark)
-    rows = (rows.withColumn("_hit", _hit_words())
-            .withColumn("_own", F.regexp_extract_all("text", F.lit(ANY_CASE_WORD), F.lit(0)))
-            .withColumn("_gaps", F.split("text", ANY_CASE_WORD, -1)))
+    rows = computed(rows, "_hit", _hit_words())
+    rows = computed(rows, "_own", F.regexp_extract_all("text", F.lit(ANY_CASE_WORD), F.lit(0)))
+    rows = computed(rows, "_gaps", F.split("text", ANY_CASE_WORD, -1))
     hit = lambda i: F.array_contains("_hit", i)
     piece = lambda i: F.concat(
         F.when(hit(i - 1) & hit(i), "").otherwise(F.get("_gaps", i)),

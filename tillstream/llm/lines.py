@@ -32,6 +32,12 @@ def row_key(*columns: str) -> list[Column]:
     return [F.xxhash64(*columns).alias("_row1"), F.xxhash64(F.lit(1), *columns).alias("_row2")]
 
 
+def computed(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is worked out once per row, also where a lambda reads it for each element
+    (the optimizer would otherwise put its expression there)."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def _lines(docs: DataFrame) -> DataFrame:
     exploded = docs.select(*row_key("doc_id", "text"), F.col("source").cast("string").alias("site"),
                            F.posexplode(F.split("text", "\n")).alias("at", "line"))
@@ -65,13 +71,11 @@ def mark(docs: DataFrame, sites: int = SITES, most: float = MOST) -> DataFrame:
             .groupBy("_row1", "_row2").agg(F.collect_set("at").alias("_hit")))
     keyed = docs.select("*", *row_key("doc_id", "text"))
     joined = keyed.join(hits, ["_row1", "_row2"], "left").drop("_row1", "_row2")
-    rows = joined.withColumn("_lines", F.split("text", "\n"))
-    size = F.transform("_lines", lambda x: F.length(F.trim(x, F.lit(BLANKS))))
-    total = F.aggregate(size, F.lit(0), lambda a, b: a + b)
+    rows = computed(joined, "_lines", F.split("text", "\n"))
+    rows = computed(rows, "_size", F.transform("_lines", lambda x: F.length(F.trim(x, F.lit(BLANKS)))))
+    total = F.aggregate("_size", F.lit(0), lambda a, b: a + b)
     hit = F.aggregate("_hit", F.lit(0), lambda a, i: a + F.get("_size", i))
-    rows = rows.withColumn("_size", size).withColumn("_total", total)
-    return rows.withColumn("_drop", F.when(hit <= F.col("_total") * most, F.col("_hit"))).drop(
-        "_hit", "_size", "_total")
+    return computed(rows, "_drop", F.when(hit <= total * most, F.col("_hit"))).drop("_hit", "_size")
 
 
 def _kept() -> Column:
