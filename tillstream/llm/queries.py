@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstream.llm import bpe, contamination, langid, lines, toxicity
+from tillstream.llm import bpe, contamination, langid, lattice, lines, toxicity
 
 
 @dataclass(frozen=True)
@@ -33,6 +33,11 @@ def op3_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), word_vocabulary())
 
 
+def op4_lattice_scores(spark, sf_dir):
+    return lattice.scores(table(spark, sf_dir, "documents"),
+                          public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op6_decontamination(spark, sf_dir):
     return contamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -49,6 +54,7 @@ def entries() -> dict[str, Entry]:
     return {
         "op2_language_id": Entry(op2_language_id),
         "op3_bpe": Entry(op3_bpe),
+        "op4_lattice_scores": Entry(op4_lattice_scores),
         "op6_decontamination": Entry(op6_decontamination, contamination.REPORT_SQL),
         "op8_line_dedup": Entry(op8_line_dedup, lines.REPORT_SQL),
         "op10_toxicity": Entry(op10_toxicity),
