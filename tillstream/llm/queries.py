@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstream.llm import bpe, contamination, langid, lattice, lines, toxicity
+from tillstream.llm import bpe, contamination, langid, lattice, lines, neardup, toxicity
 
 
 @dataclass(frozen=True)
@@ -25,6 +25,10 @@ def word_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_near_dedup(spark, sf_dir):
+    return neardup.groups(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
 def op2_language_id(spark, sf_dir):
     return langid.predictions(table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ def op10_toxicity(spark, sf_dir):
 
 def entries() -> dict[str, Entry]:
     return {
+        "op1_near_dedup": Entry(op1_near_dedup),
         "op2_language_id": Entry(op2_language_id),
         "op3_bpe": Entry(op3_bpe),
         "op4_lattice_scores": Entry(op4_lattice_scores),
