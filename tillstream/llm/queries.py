@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstream.llm import bpe, contamination, langid, lattice, lines, neardup, toxicity
+from tillstream.llm import ann, bpe, contamination, langid, lattice, lines, neardup, pii, toxicity
 
 
 @dataclass(frozen=True)
@@ -42,10 +42,18 @@ def op4_lattice_scores(spark, sf_dir):
                           public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op5_nearest(spark, sf_dir):
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op6_decontamination(spark, sf_dir):
     return contamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_pii(spark, sf_dir):
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op8_line_dedup(spark, sf_dir):
     return lines.report(table(spark, sf_dir, "documents"))
 
@@ -60,7 +68,9 @@ def entries() -> dict[str, Entry]:
         "op2_language_id": Entry(op2_language_id),
         "op3_bpe": Entry(op3_bpe),
         "op4_lattice_scores": Entry(op4_lattice_scores),
+        "op5_nearest": Entry(op5_nearest),
         "op6_decontamination": Entry(op6_decontamination, contamination.REPORT_SQL),
+        "op7_pii": Entry(op7_pii),
         "op8_line_dedup": Entry(op8_line_dedup, lines.REPORT_SQL),
         "op10_toxicity": Entry(op10_toxicity),
     }
