@@ -18,6 +18,8 @@ RUNTIME_CONF = {
     # Written times keep min/max statistics, so that readers can skip row groups.
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.sql.adaptive.enabled": "true",
+    # Shuffle files go as soon as their query is done, not when the driver collects its garbage.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     # Split a hot join partition even if a later stage must shuffle again.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Keep streaming state off the heap: dedup state grows with an hour of keys.
