@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstream.llm import ann, bpe, contamination, langid, lattice, lines, neardup, pii, toxicity
+from tillstream.llm import ann, bpe, contamination, langid, lattice, lines, neardup, pii, repeats, toxicity
 
 
 @dataclass(frozen=True)
@@ -58,6 +58,10 @@ def op8_line_dedup(spark, sf_dir):
     return lines.report(table(spark, sf_dir, "documents"))
 
 
+def op9_repeats(spark, sf_dir):
+    return repeats.report(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark, sf_dir):
     return toxicity.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -72,5 +76,6 @@ def entries() -> dict[str, Entry]:
         "op6_decontamination": Entry(op6_decontamination, contamination.REPORT_SQL),
         "op7_pii": Entry(op7_pii),
         "op8_line_dedup": Entry(op8_line_dedup, lines.REPORT_SQL),
+        "op9_repeats": Entry(op9_repeats),
         "op10_toxicity": Entry(op10_toxicity),
     }
