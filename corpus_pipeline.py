@@ -34,8 +34,13 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json"), decoded="decoded")
 
 
-STAGES = [("language_id", language), ("line_dedup", line_dedup), ("near_dedup", near_dedup),
-          ("decontamination", decontaminate), ("bpe", encode)]
+def _configured(stage):
+    return lambda spark, docs, sf_dir: stage(session.configure(spark), docs, sf_dir)
+
+
+STAGES = [(name, _configured(stage)) for name, stage in (
+    ("language_id", language), ("line_dedup", line_dedup), ("near_dedup", near_dedup),
+    ("decontamination", decontaminate), ("bpe", encode))]
 
 # Mixtures, near-duplicates and merges are beyond SQL: tested against brute force.
 ORACLE_SQL = None
