@@ -15,7 +15,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.llm.lines import computed, row_key
+from tillstream.llm.lines import apart, back, computed, row_key
 from tillstream.session import settle
 
 WINDOW = 10
@@ -50,38 +50,37 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def mark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """All rows and columns, with ``_words`` and ``_hits``: start (from 0), words and items of every
-    benchmark window in the document."""
+    """All rows and columns (as ``own_`` and the name), ``words``, and ``hits``: start (from 0), words
+    and items of every benchmark window in the document."""
     grams = settle(benchmark_windows(benchmark, window), "windows")
     # At most ``window`` different sizes.
     sizes = sorted(r[0] for r in grams.select(F.size("gram")).distinct().collect())
     if grams.count() <= BROADCAST_WINDOWS:
         grams = F.broadcast(grams)
-    keyed = docs.select("*", *row_key("doc_id", "text"))
     keys = ["_row1", "_row2"]
-    cut = computed(docs.select(*row_key("doc_id", "text"), "text"), "_words", words("text"))
-    # Window hashes, one array for each size; none at all if the benchmark has no window.
-    hashes = F.array(*[_hashes(F.col("_words"), n) for n in sizes or [window]])
-    hits = (cut.select(*keys, F.explode(hashes).alias("hashes"))
-            .select(*keys, F.posexplode("hashes").alias("start", "hash"))
-            .join(grams, "hash")
-            .groupBy(*keys).agg(F.collect_set(F.struct("start", "gram", "items")).alias("_hits")))
-    rows = computed(keyed.join(hits, keys, "left").drop(*keys), "_words", words("text"))
-    return computed(rows.withColumnRenamed("_hits", "_found"), "_hits",
-                    F.coalesce(F.filter("_found", lambda h: F.slice(
-                        "_words", h.start + 1, F.size(h.gram)) == h.gram), F.array())).drop("_found")
+    cut = computed(docs.select(*row_key("doc_id", "text"), "text"), "words", words("text"))
+    # Window hashes, one array for each size; a benchmark without windows matches none.
+    hashes = F.array(*[_hashes(F.col("words"), n) for n in sizes or [window]])
+    found = (cut.select(*keys, F.explode(hashes).alias("hashes"))
+             .select(*keys, F.posexplode("hashes").alias("start", "hash"))
+             .join(grams, "hash")
+             .groupBy(*keys).agg(F.collect_set(F.struct("start", "gram", "items")).alias("found")))
+    rows = docs.select(*apart(docs), *row_key("doc_id", "text")).join(found, keys, "left")
+    rows = computed(rows.drop(*keys), "words", words("own_text"))
+    verified = F.filter("found", lambda h: F.slice("words", h.start + 1, F.size(h.gram)) == h.gram)
+    return computed(rows, "hits", F.coalesce(verified, F.array())).drop("found")
 
 
 def _hit_words() -> Column:
     return F.array_distinct(F.flatten(F.transform(
-        "_hits", lambda h: F.sequence(h.start, h.start + F.size(h.gram) - 1))))
+        "hits", lambda h: F.sequence(h.start, h.start + F.size(h.gram) - 1))))
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows = mark(docs.select("doc_id", "text"), benchmark)
-    rows = rows.select("doc_id", F.size("_words").cast("long").alias("n_words"),
+    rows = rows.select(F.col("own_doc_id").alias("doc_id"), F.size("words").cast("long").alias("n_words"),
                        F.size(_hit_words()).cast("long").alias("n_hit"),
-                       F.array_distinct(F.flatten(F.transform("_hits", lambda h: h.items))).alias("items"))
+                       F.array_distinct(F.flatten(F.transform("hits", lambda h: h.items))).alias("items"))
     return rows.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
@@ -90,22 +89,21 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows in which no benchmark window occurs."""
-    return mark(docs, benchmark).filter(F.size("_hits") == 0).select(*docs.columns)
+    return mark(docs, benchmark).filter(F.size("hits") == 0).select(*back(docs))
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """All rows; hit words are cut out of ``text``, with what stands between two hit words."""
-    rows = mark(docs, benchmark)
-    rows = computed(rows, "_hit", _hit_words())
-    rows = computed(rows, "_own", F.regexp_extract_all("text", F.lit(ANY_CASE_WORD), F.lit(0)))
-    rows = computed(rows, "_gaps", F.split("text", ANY_CASE_WORD, -1))
-    hit = lambda i: F.array_contains("_hit", i)
+    rows = computed(mark(docs, benchmark), "hit", _hit_words())
+    rows = computed(rows, "own", F.regexp_extract_all("own_text", F.lit(ANY_CASE_WORD), F.lit(0)))
+    rows = computed(rows, "gaps", F.split("own_text", ANY_CASE_WORD, -1))
+    hit = lambda i: F.array_contains("hit", i)
     piece = lambda i: F.concat(
-        F.when(hit(i - 1) & hit(i), "").otherwise(F.get("_gaps", i)),
-        F.when(hit(i), "").otherwise(F.coalesce(F.get("_own", i), F.lit(""))))
-    text = F.array_join(F.transform(F.sequence(F.lit(0), F.size("_own")), piece), "")
-    return rows.withColumn("text", F.when(F.size("_hit") > 0, text).otherwise(F.col("text"))).select(
-        *docs.columns)
+        F.when(hit(i - 1) & hit(i), "").otherwise(F.get("gaps", i)),
+        F.when(hit(i), "").otherwise(F.coalesce(F.get("own", i), F.lit(""))))
+    left = F.array_join(F.transform(F.sequence(F.lit(0), F.size("own")), piece), "")
+    text = F.when(F.size("hit") > 0, left).otherwise(F.col("own_text"))
+    return rows.select(*back(docs, text=text))
 
 
 REPORT_SQL = r"""

@@ -134,10 +134,12 @@ def identify(df: DataFrame, model: Model, text: str = "text",
     new = ["lang_pred", "score", "languages"]
     keep = [c for c in (df.columns if keep is None else keep) if c not in new]
     shared = df.sparkSession.sparkContext.broadcast(model)
+    # A name that no column has.
+    letter = "_".join(["letter", *df.columns])
 
     def work(piece):
         names, log_p = shared.value.names, shared.value.log_p
-        told = piece.column("__letter").to_numpy(zero_copy_only=False)
+        told = piece.column(letter).to_numpy(zero_copy_only=False)
         share = np.zeros((piece.num_rows, len(names)))
         if names:
             share = _mixtures(*trigrams(*row_bytes(piece.column(text))), piece.num_rows, log_p)
@@ -156,7 +158,7 @@ def identify(df: DataFrame, model: Model, text: str = "text",
 
     own = "".join(f"`{c.replace('`', '``')}` {df.schema[c].dataType.simpleString()}, " for c in keep)
     read = df.select(*dict.fromkeys([*keep, text]),
-                     F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("__letter"))
+                     F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias(letter))
     return map_pieces(read, work, own + "lang_pred string, score double, languages map<string,double>",
                       text)
 

@@ -363,7 +363,7 @@ def score(docs: DataFrame, training: str, model: Model) -> DataFrame:
         rows = piece.num_rows
 
         def summed(value):
-            return np.bincount(row[done], (value[at] * times)[done], rows)
+            return np.bincount(row[done], (value[at] * times)[done], rows).astype(float)
 
         total = np.bincount(row, times, rows)
         yield batch(piece, np.arange(rows), None, np.zeros(rows), np.zeros(rows),

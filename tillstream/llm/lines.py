@@ -38,6 +38,20 @@ def computed(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(value)).alias(name))
 
 
+def quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def apart(docs: DataFrame) -> list[Column]:
+    """The columns under names that no column made here has."""
+    return [quoted(c).alias("own_" + c) for c in docs.columns]
+
+
+def back(docs: DataFrame, **new: Column) -> list[Column]:
+    """The columns of ``docs`` under their names again, some of them new."""
+    return [new.get(c, quoted("own_" + c)).alias(c) for c in docs.columns]
+
+
 def _lines(docs: DataFrame) -> DataFrame:
     exploded = docs.select(*row_key("doc_id", "text"), F.col("source").cast("string").alias("site"),
                            F.posexplode(F.split("text", "\n")).alias("at", "line"))
@@ -63,23 +77,23 @@ def spread_lines(docs: DataFrame, sites: int = SITES) -> DataFrame:
 
 
 def mark(docs: DataFrame, sites: int = SITES, most: float = MOST) -> DataFrame:
-    """All rows and columns, with ``_lines`` (the lines as they are) and ``_drop`` (the indexes of
-    those to remove, null or empty for none)."""
+    """All rows and columns (as ``own_`` and the name), ``lines`` (the lines as they are) and ``drop``
+    (the indexes of those to remove, null or empty for none)."""
     spread = settle(spread_lines(docs, sites), "spread-lines")
     hits = (_lines(docs).select("_row1", "_row2", "at", "line1", "line2")
             .join(spread, ["line1", "line2"], "left_semi")
-            .groupBy("_row1", "_row2").agg(F.collect_set("at").alias("_hit")))
-    keyed = docs.select("*", *row_key("doc_id", "text"))
-    joined = keyed.join(hits, ["_row1", "_row2"], "left").drop("_row1", "_row2")
-    rows = computed(joined, "_lines", F.split("text", "\n"))
-    rows = computed(rows, "_size", F.transform("_lines", lambda x: F.length(F.trim(x, F.lit(BLANKS)))))
-    total = F.aggregate("_size", F.lit(0), lambda a, b: a + b)
-    hit = F.aggregate("_hit", F.lit(0), lambda a, i: a + F.get("_size", i))
-    return computed(rows, "_drop", F.when(hit <= total * most, F.col("_hit"))).drop("_hit", "_size")
+            .groupBy("_row1", "_row2").agg(F.collect_set("at").alias("hit")))
+    joined = docs.select(*apart(docs), *row_key("doc_id", "text")).join(
+        hits, ["_row1", "_row2"], "left").drop("_row1", "_row2")
+    rows = computed(joined, "lines", F.split("own_text", "\n"))
+    rows = computed(rows, "sizes", F.transform("lines", lambda x: F.length(F.trim(x, F.lit(BLANKS)))))
+    total = F.aggregate("sizes", F.lit(0), lambda a, b: a + b)
+    hit = F.aggregate("hit", F.lit(0), lambda a, i: a + F.get("sizes", i))
+    return computed(rows, "drop", F.when(hit <= total * most, F.col("hit"))).drop("hit", "sizes")
 
 
 def _kept() -> Column:
-    return F.filter("_lines", lambda _, i: ~F.array_contains("_drop", i))
+    return F.array_join(F.filter("lines", lambda _, i: ~F.array_contains("drop", i)), "\n")
 
 
 def remove(docs: DataFrame, sites: int = SITES, most: float = MOST) -> DataFrame:
@@ -88,19 +102,20 @@ def remove(docs: DataFrame, sites: int = SITES, most: float = MOST) -> DataFrame
     All rows stay. Texts that lose no line are untouched.
     """
     rows = mark(docs, sites, most)
-    loses = F.coalesce(F.size("_drop") > 0, F.lit(False))
-    rows = rows.withColumn("text", F.when(loses, F.array_join(_kept(), "\n")).otherwise(F.col("text")))
+    loses = F.coalesce(F.size("drop") > 0, F.lit(False))
+    rows = computed(rows, "text", F.when(loses, _kept()).otherwise(F.col("own_text")))
+    new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(loses, F.length("text")).otherwise(F.col("n_chars"))
-                               .cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
+        new["n_chars"] = F.when(loses, F.length("text")).otherwise(F.col("own_n_chars")).cast(
+            docs.schema["n_chars"].dataType)
+    return rows.select(*back(docs, **new))
 
 
 def report(docs: DataFrame) -> DataFrame:
     rows = mark(docs.select("doc_id", "text", "source"))
-    dropped = F.when(F.size("_drop") > 0, F.size("_drop")).otherwise(0)
-    kept = F.when(dropped > 0, F.array_join(_kept(), "\n")).otherwise(F.coalesce("text", F.lit("")))
-    return rows.select("doc_id", F.greatest(F.size("_lines"), F.lit(0)).cast("long").alias("n_lines"),
+    dropped = F.when(F.size("drop") > 0, F.size("drop")).otherwise(0)
+    kept = F.when(dropped > 0, _kept()).otherwise(F.coalesce("own_text", F.lit("")))
+    return rows.select(F.col("own_doc_id").alias("doc_id"), F.greatest(F.size("lines"), F.lit(0)).cast("long").alias("n_lines"),
                        dropped.cast("long").alias("n_removed"),
                        F.sha2(kept, 256).alias("kept_sha256"))
 

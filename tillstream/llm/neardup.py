@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from tillstream.llm.batches import LOWER, list_column, map_pieces, mix, row_bytes, row_ends, words
 from tillstream.llm.components import components
+from tillstream.llm.lines import apart, back, quoted
 from tillstream.session import settle
 
 # 75 hash functions give 150 values. A pair of similarity 0.85 (0.8) misses all bands with a
@@ -49,9 +50,10 @@ def shingles(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarr
     total = code * _PLACE[0]
     inside = np.ones(n, bool)
     for k in range(1, size):
-        total[:n - k] += code[k:] * _PLACE[k]
-        inside[max(n - k, 0):] = False
-        inside[:n - k] &= row[k:] == row[:n - k]
+        m = max(n - k, 0)
+        total[:m] += code[k:] * _PLACE[k]
+        inside[m:] = False
+        inside[:m] &= row[k:] == row[:m]
     short = np.flatnonzero((count > 0) & (count < size))
     first = row_ends(row, rows)
     extra = np.zeros(len(short), np.uint64)
@@ -208,9 +210,10 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One row of each group of near-duplicates, with all columns; rows with a null id stay."""
     kept = groups(docs, size, percent).filter("kept and doc_id is not null").select("doc_id").distinct()
-    rows = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi")
+    rows = docs.filter("doc_id is not null").select(*apart(docs), "doc_id").join(
+        kept, "doc_id", "left_semi")
     # Rows of a repeated id: the one whose text sorts first.
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", *[
-        F.xxhash64(c) for c in docs.columns if c not in ("doc_id", "text")]))
-    rows = rows.withColumn("_place", place).filter("_place = 1").select(*docs.columns)
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy(
+        "own_text", F.xxhash64(*[quoted("own_" + c) for c in docs.columns])))
+    rows = rows.withColumn("place", place).filter("place = 1").select(*back(docs))
     return rows.unionByName(docs.filter("doc_id is null"))
