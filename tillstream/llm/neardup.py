@@ -5,12 +5,12 @@ value of the set are kept: two values from one evaluation, each equal in two set
 probability of their similarity. Bands of them put alike documents into common buckets; every link
 is confirmed on the full sets.
 
-Documents with equal sets are one class and take part once. Buckets are worked on in rounds, so that
-no bucket yields all its pairs: one member is compared with all others, links join components, and a
-bucket whose members are in one component is done. In a bucket that is not, members outside its
-largest component are compared with those of other components, eight times as many in each round.
-A member that has been compared with all others leaves the bucket, so that no link between
-components is missed, and a group of copies costs as many comparisons as it has members.
+Documents with equal sets are one class and take part once. No bucket yields all its pairs. In a few
+rounds, one member of each bucket is compared with all members of other components, and links join
+components; groups of copies come together at the cost of their members. What is left are members of
+buckets that still hold several components: mostly texts that are alike, but not enough. They are
+compared by an exact join that finds every link: two sets of the wanted similarity share one of
+their rarest shingles, at places early enough that the rest can still agree.
 
 Null and empty texts have the empty set and are linked with nothing. Rows that share an id are one
 document; rows with a null id are linked with nothing. Which pairs meet is settled by fixed hash
@@ -32,7 +32,7 @@ from tillstream.session import settle
 # 75 hash functions give 150 values. A pair of similarity 0.85 (0.8) misses all bands with a
 # probability of 2e-8 (7e-6).
 BANDS, ROWS = 30, 5
-FIRST_ROUND, GROWTH = 1, 8
+STAR_ROUNDS, SEEDS = 2, 4
 
 _random = np.random.default_rng(11)
 _FACTORS = _random.integers(1, 2**63, BANDS * ROWS // 2, dtype=np.uint64) * 2 + 1
@@ -128,6 +128,46 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(100 * common >= percent * (F.size("of_a") + F.size("of_b") - common)).select("a", "b")
 
 
+def _early_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of different labels that may be alike, at least one of them ``minor``.
+
+    The shingles of a set are put in order of how many sets hold them. If two sets are alike, their
+    first common shingle stands where enough shingles are left in both.
+    """
+    items = sets.join(nodes.select("node"), "node", "left_semi").select("node", F.explode("items").alias("item"))
+    count = items.groupBy("item").agg(F.count("*").alias("df"))
+    # Of the other set at least ``percent`` per cent of this one must be found in it.
+    early = (F.size("list") - F.ceil(F.size("list") * percent / 100) + 1).cast("int")
+    ordered = (items.join(count, "item").groupBy("node").agg(
+        F.array_sort(F.collect_list(F.struct("df", "item"))).alias("list"))
+        .select("node", F.size("list").alias("n"),
+                F.posexplode(F.slice("list", F.lit(1), early)).alias("place", "x")))
+    # What no other set holds has its place, but meets nothing.
+    rows = ordered.filter("x.df > 1").select("node", "n", "place", F.col("x.item").alias("item")).join(
+        nodes, "node")
+    rows = settle(rows, "early")
+    left = rows.filter("minor").select("item", *[F.col(c).alias(c + "_a") for c in ("node", "n", "place", "label")])
+    right = rows.select("item", *[F.col(c).alias(c + "_b") for c in ("node", "n", "place", "label", "minor")])
+    needed = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100 + percent))
+    enough = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")) >= needed
+    once = ~F.col("minor_b") | (F.col("node_a") < F.col("node_b"))
+    return left.join(right, "item").filter((F.col("label_a") != F.col("label_b")) & once & enough).select(
+        F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+
+
+def _joined(labels: DataFrame, found: DataFrame) -> DataFrame:
+    """The labels after the links (a, b) have joined components."""
+    def of(side):
+        return labels.select(F.col("node").alias(side), F.col("label").alias("l" + side))
+    pairs = settle(found.join(of("a"), "a").join(of("b"), "b")
+                   .select(F.col("la").alias("a"), F.col("lb").alias("b")), "links")
+    if pairs.isEmpty():
+        return labels
+    moved = components(pairs).select(F.col("node").alias("label"), F.col("label").alias("new"))
+    return settle(labels.join(moved, "label", "left").select(
+        "node", F.coalesce("new", "label").alias("label")), "labels")
+
+
 def links(described: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """node and label: the components of the classes that are linked with another one."""
     classes = settle(described.filter("n > 0 and doc_id is not null").groupBy("d1", "d2").agg(
@@ -139,44 +179,33 @@ def links(described: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
     wanted = member.select(F.col("node").alias("doc_id")).distinct()
     sets = settle(_sets(docs.join(wanted, "doc_id", "left_semi"), size).distinct(), "sets")
     labels = settle(member.select("node", F.col("node").alias("label")).distinct(), "labels")
-    checked, limit = None, FIRST_ROUND
-    while True:
+    for turn in range(STAR_ROUNDS):
         seen = member.join(labels, "node")
-        parts = seen.groupBy("bucket", "label").agg(F.count("*").alias("k"))
-        main = (parts.groupBy("bucket").agg(F.max_by("label", F.struct("k", "label")).alias("main"),
-                                            F.count("*").alias("parts"))
-                .filter("parts > 1").drop("parts"))
-        open_ = settle(seen.join(main, "bucket"), "open")
-        if open_.isEmpty():
-            return labels.filter("node <> label")
-        order = Window.partitionBy("bucket").orderBy("node")
-        # All members are of size 1 at first, so that the first round takes any one of them.
-        leaders = (open_.filter("label <> main").withColumn("place", F.row_number().over(order))
-                   .filter(F.col("place") <= limit).drop("place", "main"))
-        leaders = settle(leaders, "leaders")
-        chosen = leaders.select("bucket", F.col("node").alias("a"), F.col("label").alias("la"),
-                                F.col("n").alias("na"))
-        others = open_.select("bucket", F.col("node").alias("b"), F.col("label").alias("lb"),
-                              F.col("n").alias("nb"))
-        near = ((F.col("la") != F.col("lb"))
-                & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")))
-        pairs = (chosen.join(others, "bucket").filter(near)
-                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        if checked is not None:
-            pairs = pairs.join(checked, ["a", "b"], "left_anti")
-        pairs = settle(pairs, "candidates")
-        checked = pairs if checked is None else checked.unionByName(pairs)
-        found = _confirmed(pairs, sets, percent)
-        of = lambda side: labels.select(F.col("node").alias(side), F.col("label").alias("l" + side))
-        joined = settle(found.join(of("a"), "a").join(of("b"), "b")
-                        .select(F.col("la").alias("a"), F.col("lb").alias("b")), "links")
-        if not joined.isEmpty():
-            moved = components(joined).select(F.col("node").alias("label"), F.col("label").alias("new"))
-            labels = settle(labels.join(moved, "label", "left").select(
-                "node", F.coalesce("new", "label").alias("label")), "labels")
-        member = settle(open_.join(leaders.select("bucket", "node"), ["bucket", "node"], "left_anti")
-                        .select("bucket", "node", "n"), "buckets")
-        limit *= GROWTH
+        # Buckets of one group mostly choose one of few leaders, so that pairs are the same ones.
+        choice = F.xxhash64("node", F.pmod("bucket", F.lit(SEEDS)), F.lit(turn))
+        leader = (seen.groupBy("bucket").agg(
+            F.min(F.struct(choice, F.col("node").alias("a"), F.col("label").alias("la"),
+                           F.col("n").alias("na"))).alias("l"),
+            F.min("label").alias("low"), F.max("label").alias("high"))
+            .filter("low <> high").select("bucket", "l.a", "l.la", "l.na"))
+        open_ = settle(seen.join(leader, "bucket"), "open")
+        near = (F.col("label") != F.col("la")) & (
+            100 * F.least("na", "n") >= percent * F.greatest("na", "n"))
+        pairs = open_.filter(near).select(
+            F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+        labels = _joined(labels, _confirmed(settle(pairs, "candidates"), sets, percent))
+        # The leader has been compared with all others.
+        member = open_.filter("node <> a").select("bucket", "node", "n")
+    seen = member.join(labels, "node")
+    parts = seen.groupBy("bucket", "label").agg(F.count("*").alias("k"))
+    main = (parts.groupBy("bucket").agg(F.max_by("label", F.struct("k", "label")).alias("main"),
+                                        F.count("*").alias("parts")).filter("parts > 1"))
+    nodes = settle(seen.join(main.select("bucket", "main"), "bucket").groupBy("node", "label").agg(
+        F.max(F.col("label") != F.col("main")).alias("minor")), "open")
+    if not nodes.isEmpty():
+        pairs = settle(_early_pairs(nodes, sets, percent), "candidates")
+        labels = _joined(labels, _confirmed(pairs, sets, percent))
+    return labels.filter("node <> label")
 
 
 def groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
