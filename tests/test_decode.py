@@ -89,10 +89,12 @@ def test_delete_as_tombstone(spark):
     assert (row.order_id, row.transaction_type, row.customer_id) == (7, "d", None)
 
 
-def test_bad_values_become_null(spark):
-    row = decode_cdc(frame(spark, message(**{**ORDER, "order_date": "yesterday",
-                                             "total_amount": "?"})), spec("orders")).first()
-    assert row.order_date is None and row.total_amount is None
+def test_bad_values_are_rejects(spark):
+    df = frame(spark, message(**{**ORDER, "order_date": "yesterday", "total_amount": "?"}),
+               message(ts="soon", **ORDER), message(**ORDER))
+    assert decode_cdc(df, spec("orders")).count() == 1
+    assert sorted(r.reason for r in rejects(df, spec("orders")).collect()) == [
+        "unreadable: order_date, total_amount", "unreadable: ts_ms"]
 
 
 def test_binary_and_micros(spark):

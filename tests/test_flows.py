@@ -153,10 +153,11 @@ def test_run_log(spark, tmp_path):
     ok = run_logged(spark, "job", "t", spark.range(10), lambda d: d.filter("id < 3"),
                     lambda d: d.write.parquet(out), log)
     assert (ok["rows_in"], ok["rows_out"], ok["status"]) == (10, 3, "success")
-    bad = run_logged(spark, "job", "t", spark.range(10), lambda d: d.select("nope"),
-                     lambda d: d.write.parquet(out), log)
-    assert bad["status"] == "failed" and "nope" in bad["error"]
-    assert spark.read.parquet(log).count() == 2
+    with pytest.raises(Exception, match="nope"):
+        run_logged(spark, "job", "t", spark.range(10), lambda d: d.select("nope"),
+                   lambda d: d.write.parquet(out), log)
+    bad = spark.read.parquet(log).filter("status = 'failed'").first()
+    assert "nope" in bad["error"] and spark.read.parquet(log).count() == 2
 
 
 def test_shared_folder_is_the_one_named(spark):

@@ -126,7 +126,7 @@ def test_audit_logs_with_equal_ids(spark):
     newer = spark.createDataFrame(
         [(1, T0, "ERP", "u", "INSERT", "TABLE", "t", "c", T0 + timedelta(1), "hx")], cols)
     out = merge_upsert(stored, newer, AUDIT_SILVER, NOW).df
-    assert {(r.database_source, r.query) for r in out.collect()} == {("Pos", "a"), ("ERP", "c")}
+    assert {(r.origin, r.query) for r in out.collect()} == {("Pos", "a"), ("ERP", "c")}
 
 
 def test_changes_equal_change_feed(spark):
@@ -206,18 +206,46 @@ def test_rows_without_a_date(spark, tmp_path):
     assert sorted(r.payment_status for r in read_current(spark, path, s).collect()) == ["b", "dated"]
 
 
-def test_numbered_versions_can_be_rebuilt(spark, tmp_path):
-    path = str(tmp_path / "accounts")
-    merge_into(spark, path, versions_of(spark, [(1, "a", 0)]), ACCOUNTS, NOW, version=0)
-    for _ in range(2):      # the same micro-batch twice
+def test_versions_count_up_and_old_ones_go(spark, tmp_path):
+    path, feed = str(tmp_path / "accounts"), str(tmp_path / "feed")
+    merge_into(spark, path, versions_of(spark, [(1, "a", 0)]), ACCOUNTS, NOW)
+    for want in ((1, 1, 0), (0, 0, 0)):      # the same micro-batch twice
         done = merge_into(spark, path, versions_of(spark, [(1, "b", 1), (2, "c", 1)]), ACCOUNTS,
-                          NOW, version=1)
-        assert done == (1, 1, 0)
-    assert versions(spark, path) == [0, 1]
+                          NOW, feed=feed)
+        assert done == want
+    assert versions(spark, path) == [1, 2]
+    assert spark.read.parquet(feed).count() == 3
     assert {r.account_id: r.account_type for r in read_current(spark, path, ACCOUNTS).collect()} \
         == {1: "b", 2: "c"}
 
 
+def test_empty_batch_and_feed_of_a_merge_that_died(spark, tmp_path, monkeypatch):
+    from tillstream.sources import current
+    s, path, feed = spec("orders"), str(tmp_path / "orders"), str(tmp_path / "feed")
+    rows = orders(spark, [(1, 0, "a", 0), (2, 40, "a", 40)])
+    merge_into(spark, path, rows, s, NOW)
+    assert merge_into(spark, path, rows.filter("order_id = 9"), s, NOW) == (0, 0, 0)
+    real = current._publish
+
+    def dies(spark, path, spec):
+        if current.exists(spark, path + "_pending"):
+            raise OSError("host lost")
+    monkeypatch.setattr(current, "_publish", dies)
+    new = orders(spark, [(2, 40, "b", 50)])
+    with pytest.raises(OSError):
+        merge_into(spark, path, new, s, NOW, feed=feed)
+    monkeypatch.setattr(current, "_publish", real)
+    merge_into(spark, path, new, s, NOW, feed=feed)
+    assert spark.read.parquet(feed).filter("payment_status = 'b'").count() == 1
+
+
+def test_a_row_without_time_does_not_win(spark):
+    stored = versions_of(spark, [(1, "a", 0)])
+    late = versions_of(spark, [(1, "b", 1)]).withColumn("updated_at", F.lit(None).cast("timestamp"))
+    assert state(merge_upsert(stored, late, ACCOUNTS, NOW)) == {1: "a"}
+    assert state(merge_upsert(late, stored, ACCOUNTS, NOW)) == {1: "a"}
+
+
 def test_empty_target_is_empty(spark, tmp_path):
     assert read_current(spark, str(tmp_path / "none"), spec("orders")).count() == 0
     assert read_current(spark, str(tmp_path / "none"), ACCOUNTS).select(F.count("*")).first()[0] == 0

@@ -174,7 +174,7 @@ def test_every_insert_checks_its_requests(spark):
         both = good.unionByName(_request(spark, name, **{**fine, **bad}).withColumn("n", F.lit(2)))
         both = both.select(*[F.col(f.name).cast(good.schema[f.name].dataType).alias(f.name)
                              for f in both.schema.fields])
-        done = entity_ops.insert_rows(name, tables, both, ["n"], 50, NOW)
+        done = entity_ops.insert_rows(name, tables, both, ["n"], 50, NOW, secret="k")
         assert [r.n for r in done.rejected.collect()] == [2], name
         assert done.inserted.count() == 1, name
 
@@ -191,7 +191,7 @@ def test_every_patch_and_soft_delete_runs(spark):
     tables = stored_seed(spark)
     for name, how in entity_ops.PATCHES.items():
         one = tables[name].limit(1)
-        done = entity_ops.patch_rows(name, tables, one.select(*how.key, *how.columns), NOW)
+        done = entity_ops.patch_rows(name, tables, one.select(*how.key, *how.columns), NOW, secret="k")
         assert done.df.filter(F.col(how.stamp) == F.lit(NOW)).count() == 1, name
         assert done.rejected.count() == 0, name
     for name in entity_ops.SOFT_DELETES:

@@ -29,32 +29,30 @@ def _audit_tag(name: str) -> str | None:
 def _silver_sql(name: str, tagged: str | None) -> str:
     """Two scheduled loads: the snapshot is inserted, then the updates are merged into it.
 
-    The snapshot is outside the look-back of the second run.
+    The snapshot is outside the look-back of the second run. One grouped pass: the newest message
+    of each kind per key.
     """
     spec = SPECS[name]
-    key = spec.key[0]
-    order = spec.order_col
-    ranked = f"""row_number() over (partition by {key}, transaction_type
-        order by {order} desc, {'' if order == 'ingestion_time' else 'ingestion_time desc,'}
-                 hash desc) as rn"""
+    key, order = spec.key[0], spec.order_col
     on_update, on_insert = dict(spec.on_update), dict(spec.on_insert)
-    stamped = order in on_update
-    guard = "true" if stamped else f"u.{order} >= s.{order}"
+    held = ", ".join(f"'{c}': {c}" for c in (
+        [*spec.columns, "ingestion_time", "hash"]))
+    rank = f"row({order}, ingestion_time, hash)"
+
+    def newest(kind: str) -> str:
+        return f"arg_max({{{held}}}, {rank}) filter (where transaction_type = '{kind}')"
+    guard = "true" if order in on_update else f"u.{order} >= s.{order}"
     out = []
     for c in spec.silver_schema().names:
-        ins = (f"timestamp '{FIRST_RUN}'" if on_insert.get(c) == "now" else f"s.{c}")
-        upd = (f"timestamp '{SECOND_RUN}'" if on_update.get(c) == "now" else f"u.{c}")
+        ins = f"timestamp '{FIRST_RUN}'" if on_insert.get(c) == "now" else f"s.{c}"
+        upd = f"timestamp '{SECOND_RUN}'" if on_update.get(c) == "now" else f"u.{c}"
         out.append(f"case when hit then {upd} else {ins} end as {c}")
-    tag = f", '{tagged}' as database_source" if tagged else ""
+    tag = f", '{tagged}' as origin" if tagged else ""
     return f"""{log_sql(name)},
-        r as (select *, {ranked} from log),
-        s as (select * from r where rn = 1 and transaction_type = 'r'),
-        u as (select * from r where rn = 1 and transaction_type = 'u'),
-        j as (select s.{key} as k,
-                     coalesce(u.hash <> s.hash and {guard}, false) as hit
-              from s left join u on s.{key} = u.{key}),
-        merged as (select {', '.join(out)}{tag}
-                   from j join s on s.{key} = j.k left join u on u.{key} = j.k)
+        n as (select {key} as k, {newest('r')} as s, {newest('u')} as u from log group by {key}),
+        j as (select s, u, coalesce(u.hash <> s.hash and {guard}, false) as hit
+              from n where s is not null),
+        merged as (select {', '.join(out)}{tag} from j)
         select {shown_sql(name, _silver_columns(name, tagged))} from merged"""
 
 
@@ -69,7 +67,7 @@ def _add_silver(name: str) -> None:
     def load(spark, sf_dir):
         bronze = bronze_replay(SPECS[name], messages(spark, sf_dir, name))
         if tagged:
-            bronze = bronze.withColumn("database_source", F.lit(tagged))
+            bronze = bronze.withColumn("origin", F.lit(tagged))
         arrived = bronze.filter(F.col("ingestion_time") < F.lit(FIRST_RUN).cast("timestamp"))
         first = silver_load(spec, arrived, merge.empty_silver(spark, spec), FIRST_RUN)
         second = silver_load(spec, bronze, first.df, SECOND_RUN)
@@ -228,13 +226,13 @@ _LOGS = [(f"audit_log_{db}", tag) for db, tag in AUDIT_SOURCES.items()]
 
 
 @CATALOG.query("consolidate_audit", ctes(*[n for n, _ in _LOGS]) + " union all ".join(
-    f"select *, '{tag}' as database_source from {n}" for n, tag in _LOGS))
+    f"select *, '{tag}' as origin from {n}" for n, tag in _LOGS))
 def consolidate_audit(spark, sf_dir):
     return audit.consolidate_audit({tag: entity(spark, sf_dir, n) for n, tag in _LOGS})
 
 
 @CATALOG.query("merge_audit", ctes(*[n for n, _ in _LOGS]) + " union all ".join(
-    f"""select log_id, '{tag}' as database_source, user_name, action_type, {hash_sql(n)} as hash,
+    f"""select log_id, '{tag}' as origin, user_name, action_type, {hash_sql(n)} as hash,
     timestamp '{MERGED}' as ingestion_time from {n}""" for n, tag in _LOGS))
 def merge_audit(spark, sf_dir):
     """Three logs with equal ids in one table, keyed by id and source."""
@@ -242,10 +240,10 @@ def merge_audit(spark, sf_dir):
     for name, tag in _LOGS:
         rows = entity(spark, sf_dir, name)
         rows = (rows.withColumn("hash", row_hash(rows, SPECS[name].columns))
-                .withColumn("database_source", F.lit(tag))
+                .withColumn("origin", F.lit(tag))
                 .withColumn("ingestion_time", F.lit(LOADED).cast("timestamp")))
         target = merge.merge_upsert(target, rows, AUDIT_SILVER, MERGED).df
-    return target.select("log_id", "database_source", "user_name", "action_type", "hash",
+    return target.select("log_id", "origin", "user_name", "action_type", "hash",
                          "ingestion_time")
 
 
@@ -300,3 +298,59 @@ def silver_from_stream(spark, sf_dir):
     batch_append(bronze_replay(spec, messages(spark, sf_dir, "purchase_orders")), f"{base}/bronze")
     silver_stream(spark, spec, f"{base}/bronze", f"{base}/silver", f"{base}/state", now=MERGED)
     return read_current(spark, f"{base}/silver", spec).select(*spec.columns, "hash")
+
+
+def _accounts(spark, sf_dir):
+    a = entity(spark, sf_dir, "accounts")
+    return (a.withColumn("hash", row_hash(a, SPECS["accounts"].columns))
+            .withColumn("ingestion_time", F.lit(LOADED).cast("timestamp")))
+
+
+@CATALOG.query("merge_stored_mixed", f"""{ctes("accounts")}
+    select account_id, case account_id % 3 when 0 then 'first' when 1 then 'second' else 'third' end
+        as account_name from accounts""")
+def merge_stored_mixed(spark, sf_dir):
+    """A stream, a scheduled merge in between, and a stream started anew: nothing is lost."""
+    spec, base = SPECS["accounts"], run_dir(spark, "mixed")
+    rows = _accounts(spark, sf_dir)
+    for k, (name, way) in enumerate((("first", "stream"), ("second", "merge"), ("third", "stream"))):
+        part = rows.filter(F.col("account_id") % 3 == k).withColumn("account_name", F.lit(name))
+        if way == "merge":
+            merge_into(spark, f"{base}/silver", part, spec, MERGED)
+            continue
+        for c in ("transaction_type", "connector", "source"):
+            part = part.withColumn(c, F.lit("c"))
+        part.select(spec.bronze_schema().names).write.parquet(f"{base}/bronze{k}")
+        silver_stream(spark, spec, f"{base}/bronze{k}", f"{base}/silver", f"{base}/state{k}", now=MERGED)
+    return read_current(spark, f"{base}/silver", spec).select("account_id", "account_name")
+
+
+@CATALOG.query("merge_empty_batch", f"""{ctes("orders")}
+    select order_id, payment_status from orders""")
+def merge_empty_batch(spark, sf_dir):
+    """A batch without rows leaves a table laid out by month as it is."""
+    path, rows = run_dir(spark, "orders-empty"), _hashed(entity(spark, sf_dir, "orders"))
+    rows = rows.withColumn("ingestion_time", F.lit(LOADED).cast("timestamp"))
+    merge_into(spark, path, rows, ORDERS, LOADED)
+    merge_into(spark, path, rows.filter("order_id < 0"), ORDERS, MERGED)
+    return read_current(spark, path, ORDERS).select("order_id", "payment_status")
+
+
+@CATALOG.query("merge_feed_repeated", f"""{ctes("accounts")}
+    select 'insert' as _change_type, account_id from accounts""")
+def merge_feed_repeated(spark, sf_dir):
+    """The same batch twice: its changes are fed once."""
+    path, rows = run_dir(spark, "accounts-fed"), _accounts(spark, sf_dir)
+    for _ in range(2):
+        merge_into(spark, f"{path}/silver", rows, SPECS["accounts"], MERGED, feed=f"{path}/feed")
+    return spark.read.parquet(f"{path}/feed").select("_change_type", "account_id")
+
+
+@CATALOG.query("merge_null_time", f"""{ctes("accounts")}
+    select account_id, account_name from accounts""")
+def merge_null_time(spark, sf_dir):
+    """Rows without a time do not overwrite rows that have one."""
+    rows, spec = _accounts(spark, sf_dir), SPECS["accounts"]
+    timeless = rows.withColumns({"updated_at": F.lit(None).cast("timestamp"), "account_name": F.lit("?"),
+                                 "hash": F.lit("?")})
+    return merge.merge_upsert(rows, timeless, spec, MERGED).df.select("account_id", "account_name")

@@ -103,15 +103,56 @@ def cdc_op_filter(spark, sf_dir):
 
 
 @CATALOG.query("cdc_rejects", """
-    select props as value, 'malformed message' as reason from events where event_type = 'error'""")
+    select props as value, 'malformed message' as reason from events""")
 def cdc_rejects(spark, sf_dir):
     """Bodies without an envelope (event properties) beside good messages."""
-    bad = table(spark, sf_dir, "events").filter("event_type = 'error'").select(
-        F.col("props").alias("value"))
+    bad = table(spark, sf_dir, "events").select(F.col("props").alias("value"))
     good = messages(spark, sf_dir, "accounts")
     return decode.rejects(bad.unionByName(good), SPECS["accounts"])
 
 
+_SPOILED = """case order_id % 4 when 0 then 'unreadable: total_amount'
+    when 1 then 'unreadable: order_date' when 2 then 'unreadable: updated_at, ts_ms' end"""
+
+
+def _spoiled(spark, sf_dir):
+    """Order messages, each with one field made unreadable, or none."""
+    o = entity(spark, sf_dir, "orders").select("order_id", (F.col("order_id") % 4).alias("kind"))
+    time = F.lit("2024-01-01T00:00:00Z")
+    after = F.struct("order_id", F.lit("C").alias("customer_id"),
+                     F.when(F.col("kind") == 1, "yesterday").otherwise(time).alias("order_date"),
+                     F.when(F.col("kind") == 0, "?").otherwise("AAAAAAAAAAAE0g==").alias("total_amount"),
+                     F.when(F.col("kind") == 2, "later").otherwise(time).alias("updated_at"))
+    payload = F.struct(F.lit("c").alias("op"), after.alias("after"),
+                       F.when(F.col("kind") == 2, "soon").otherwise("1704067200000").alias("ts_ms"))
+    return o.select(F.to_json(F.struct(payload.alias("payload"))).alias("value"))
+
+
+@CATALOG.query("cdc_field_rejects", f"""{ctes("orders")}
+    select order_id, {_SPOILED} as reason from orders where order_id % 4 < 3""")
+def cdc_field_rejects(spark, sf_dir):
+    found = decode.rejects(_spoiled(spark, sf_dir), SPECS["orders"])
+    return found.select(F.get_json_object("value", "$.payload.after.order_id").cast("bigint")
+                        .alias("order_id"), "reason")
+
+
+@CATALOG.query("cdc_decimal_wide", f"""{ctes("orders")}
+    select order_id, cast(12.34 as decimal(12,2)) as total_amount from orders where order_id % 4 = 3""")
+def cdc_decimal_wide(spark, sf_dir):
+    """Amounts of ten bytes are read; messages with an unreadable field do not go on."""
+    return decode.decode_cdc(_spoiled(spark, sf_dir), SPECS["orders"]).select("order_id", "total_amount")
+
+
+@CATALOG.query("drop_field_rejects", f"""{ctes("products_sku")}
+    select sku_id, 'unreadable: price' as reason from products_sku where sku_id % 3 = 0""")
+def drop_field_rejects(spark, sf_dir):
+    rows = to_drop(entity(spark, sf_dir, "products_sku"), SPECS["products_sku"])
+    spoiled = rows.withColumn("price", F.when(F.col("sku_id").cast("bigint") % 3 == 0, "cheap")
+                              .otherwise(F.col("price")))
+    return decode.drop_rejects(spoiled, SPECS["products_sku"]).select(
+        F.col("sku_id").cast("bigint").alias("sku_id"), "reason")
+
+
 @CATALOG.query("cdc_deletes_kept", f"""{log_sql("orders")}
     select order_id, transaction_type, payment_status, total_amount, ingestion_time from log
     union all

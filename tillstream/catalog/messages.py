@@ -21,7 +21,7 @@ CONNECTOR = "postgresql"
 
 
 def server(spec: TableSpec) -> str:
-    return f"{spec.database}_server"
+    return f"{spec.system}_server"
 
 
 def wire_table(spec: TableSpec) -> str:
@@ -31,7 +31,7 @@ def wire_table(spec: TableSpec) -> str:
 def lineage_values(spec: TableSpec) -> tuple[str, str]:
     """The ``connector`` and ``source`` every message of the entity decodes to."""
     return (f"{CONNECTOR}_{server(spec)}",
-            f"{spec.database}_database.public.{wire_table(spec)}")
+            f"{spec.system}_db.public.{wire_table(spec)}")
 
 
 def _wire(name: str, spec: TableSpec) -> Column:
@@ -69,7 +69,7 @@ def messages(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         F.when(gone, F.struct(*[_wire(k, spec).alias(k) for k in spec.key])).alias("before"),
         F.when(~gone, F.struct(*[_wire(c, spec).alias(c) for c in spec.columns])).alias("after"),
         F.struct(F.lit(CONNECTOR).alias("connector"), F.lit(server(spec)).alias("name"),
-                 F.lit(f"{spec.database}_database").alias("db"), F.lit("public").alias("schema"),
+                 F.lit(f"{spec.system}_db").alias("db"), F.lit("public").alias("schema"),
                  F.lit(wire_table(spec)).alias("table")).alias("source"),
         F.unix_millis(at).cast("string").alias("ts_ms"))
     body = F.to_json(F.struct(payload.alias("payload")))

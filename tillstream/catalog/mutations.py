@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tillstream.catalog.mapping import ctes, entity, table
 from tillstream.catalog.registry import Catalog
 from tillstream.functions.ids import assign_business_id, assign_sequence
+from tillstream.functions.pii import decrypt
 from tillstream.operators import entity_ops, mutate, quality
 from tillstream.specs import LEDGER_SIDES, ORDER_STATES, SHIPMENT_STATES, TRACKING_STATES
 
@@ -173,8 +174,8 @@ def _sku_insert(spark, sf_dir):
         skus, requests,
         [*quality.not_blank("sku"), *quality.positive("price")],
         mutate.KeyRule("sku_id", ["n"], _SKU_START),
-        [mutate.Lookup("SKU already exists", "sku", skus.filter(live), "sku", present=False),
-         mutate.Lookup("product not found or deleted", "product_id", products.filter(live),
+        [mutate.Lookup("code is taken", "sku", skus.filter(live), "sku", present=False),
+         mutate.Lookup("no such active product", "product_id", products.filter(live),
                        "product_id")],
         {"created_at": NOW, "updated_at": NOW})
 
@@ -184,9 +185,9 @@ _SKU_CHECK = f"""{ctes("products_sku", "products")},
     checked as (select *, case when trim(sku) = '' then 'chk_sku_not_blank'
         when price <= 0 then 'chk_price_positive'
         when sku in (select sku from products_sku where deleted_at is null)
-            then 'SKU already exists'
+            then 'code is taken'
         when product_id not in (select product_id from products where deleted_at is null)
-            then 'product not found or deleted' end as reason from req)"""
+            then 'no such active product' end as reason from req)"""
 
 
 @CATALOG.query("validated_insert", f"""{_SKU_CHECK}
@@ -302,10 +303,11 @@ def sequence_ids(spark, sf_dir):
     return assign_sequence(i, "seq", i.columns)
 
 
+_SECRET = "a passphrase of the queries"
 _PRODUCT_REQUESTS = """select p_partkey as n, p_name as name, cast(p_size as bigint) as category_id,
     concat('FIRST_', cast(p_partkey as string)) as sku,
     cast(p_retailprice as decimal(10,2)) as price,
-    p_brand as color, p_type as size from {part} where p_size > 25"""
+    p_brand as color, p_type as size from {part}"""
 
 
 @CATALOG.query("insert_product_with_sku", f"""
@@ -318,14 +320,14 @@ _PRODUCT_REQUESTS = """select p_partkey as n, p_name as name, cast(p_size as big
     from k""")
 def insert_product_with_sku(spark, sf_dir):
     requests = spark.sql(_PRODUCT_REQUESTS, part=table(spark, sf_dir, "part"))
-    products, skus = mutate.insert_product_with_sku(
+    products, skus, _ = mutate.insert_product_with_sku(
         entity(spark, sf_dir, "products"), entity(spark, sf_dir, "products_sku"), requests,
         ["n"], 7001, 90001, NOW)
     return products.select("product_id", "name", "category_id").join(
         skus.select("product_id", "sku_id", "sku", "price", "color", "size"), "product_id")
 
 
-_MAIL_OK = "regexp_matches(email, '^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{2,}$')"
+_MAIL_OK = f"regexp_matches(email, '(?i){quality.EMAIL_PATTERN}')"
 _CUSTOMER_REQUESTS = """
     select c_custkey as n, c_name as name,
            case when c_nationkey = 3 then c_name
@@ -341,14 +343,85 @@ _CUSTOMER_REQUESTS = """
           where {_MAIL_OK} and regexp_matches(phone, '^[0-9]{{8,15}}$'))
     select concat('CUST_', lpad(cast(i as varchar),
                cast(greatest(6, length(cast(i as varchar))) as int), '0')) as customer_id, name,
-           hex(email) as email, hex(phone) as phone, address, timestamp '{NOW}' as created_at
+           email, phone, address, timestamp '{NOW}' as created_at
     from k""")
 def insert_customers(spark, sf_dir):
     requests = spark.sql(_CUSTOMER_REQUESTS, customer=table(spark, sf_dir, "customer"))
     done = entity_ops.insert_rows("customers", {"customers": entity(spark, sf_dir, "customers")},
-                                  requests, ["n"], 100_000, NOW)
-    return done.inserted.select("customer_id", "name", F.hex("email").alias("email"),
-                                F.hex("phone").alias("phone"), "address", "created_at")
+                                  requests, ["n"], 100_000, NOW, secret=_SECRET)
+    return decrypt(done.inserted, ["email", "phone"], _SECRET).select(
+        "customer_id", "name", "email", "phone", "address", "created_at")
+
+
+@CATALOG.query("patch_customers_encrypted", f"""{ctes("customers")}
+    select customer_id, concat(customer_id, '@mail.example') as email, true as hidden from customers""")
+def patch_customers_encrypted(spark, sf_dir):
+    """What a patch stores is not the e-mail, but opens to it."""
+    rows = entity(spark, sf_dir, "customers")
+    mail = F.concat("customer_id", F.lit("@mail.example"))
+    requests = rows.select("customer_id", "name", mail.alias("email"), F.lit("0123456789").alias("phone"),
+                           "address")
+    done = entity_ops.patch_rows("customers", {"customers": rows}, requests, NOW, secret=_SECRET).df
+    stored = done.select("customer_id", "email", F.col("email").alias("stored"))
+    return decrypt(stored, ["email"], _SECRET).select(
+        "customer_id", "email", (F.col("stored") != F.col("email").cast("binary")).alias("hidden"))
+
+
+def _repeated_stock(spark, sf_dir):
+    """For every SKU one request; a second one for the even ones, no quantity for some odd ones."""
+    rows = entity(spark, sf_dir, "inventory")
+    skus = rows.select("sku_id").distinct()
+    requests = skus.select("sku_id", F.when(F.col("sku_id") % 3 != 0, 7).alias("stock_quantity"))
+    again = skus.filter("sku_id % 2 = 0").select("sku_id", F.lit(9).alias("stock_quantity"))
+    return mutate.set_stock_by_sku(rows, requests.unionByName(again), NOW)
+
+
+@CATALOG.query("set_stock_repeated", f"""{ctes("inventory")}
+    select inventory_id, sku_id, case when sku_id % 2 <> 0 and sku_id % 3 <> 0 then 7
+           else stock_quantity end as stock_quantity from inventory""")
+def set_stock_repeated(spark, sf_dir):
+    return _repeated_stock(spark, sf_dir).df.select("inventory_id", "sku_id", "stock_quantity")
+
+
+@CATALOG.query("set_stock_repeated_rejected", f"""{ctes("inventory")},
+    s as (select distinct sku_id from inventory)
+    select sku_id, case when sku_id % 2 = 0 then '{mutate.REPEATED}' else 'no quantity' end as reason
+    from s where sku_id % 2 = 0 or sku_id % 3 = 0
+    union all select sku_id, '{mutate.REPEATED}' from s where sku_id % 2 = 0""")
+def set_stock_repeated_rejected(spark, sf_dir):
+    return _repeated_stock(spark, sf_dir).rejected.select("sku_id", "reason")
+
+
+def _doubled_skus(spark, sf_dir):
+    """Every part twice as a new SKU, without a price for some, of unknown products for others."""
+    part = table(spark, sf_dir, "part")
+    rows = part.select(
+        F.col("p_partkey").alias("n"), F.concat(F.lit("TWIN_"), "p_partkey").alias("sku"),
+        F.when(F.col("p_size") < 5, "PROD_none").otherwise("PROD_00002").alias("product_id"),
+        F.lit("red").alias("color"), F.lit("L").alias("size"),
+        F.when(F.col("p_size") > 45, None).otherwise(F.col("p_retailprice")).cast("decimal(10,2)").alias("price"))
+    tables = {n: entity(spark, sf_dir, n) for n in ("products_sku", "products")}
+    tables["products"] = tables["products"].withColumn("deleted_at", F.lit(None).cast("timestamp"))
+    twice = rows.unionByName(rows.withColumn("n", F.col("n") + 100_000_000))
+    return entity_ops.insert_rows("products_sku", tables, twice, ["n"], _SKU_START, NOW)
+
+
+@CATALOG.query("insert_skus_repeated", f"""
+    select {_SKU_START} - 1 + row_number() over (order by p_partkey) as sku_id,
+           concat('TWIN_', p_partkey) as sku, cast(p_retailprice as decimal(10,2)) as price
+    from part where p_size between 5 and 45""")
+def insert_skus_repeated(spark, sf_dir):
+    return _doubled_skus(spark, sf_dir).inserted.select("sku_id", "sku", "price")
+
+
+@CATALOG.query("insert_skus_repeated_rejected", f"""
+    select p_partkey as n, case when p_size > 45 then 'price_not_null'
+           else 'no such active product' end as reason from part where p_size not between 5 and 45
+    union all
+    select p_partkey + 100000000, case when p_size > 45 then 'price_not_null'
+           when p_size < 5 then 'no such active product' else 'sku: {mutate.REPEATED}' end from part""")
+def insert_skus_repeated_rejected(spark, sf_dir):
+    return _doubled_skus(spark, sf_dir).rejected.select("n", "reason")
 
 
 _SKU_PATCH = """

@@ -20,19 +20,18 @@ def _load(spark, sf_dir, *names):
     return [entity(spark, sf_dir, n) for n in names]
 
 
-_SALES = f"""{ctes("orders", "customers", "order_items", "products_sku", "products",
-                   "payment_types")}
-    select o.order_id, o.order_date, o.customer_id, c.name as customer_name, o.total_amount,
-           o.shipping_address, o.payment_status, pt.name as payment_types, ps.sku,
-           p.name as product_name, oi.unit_price as price, oi.quantity,
-           count(oi.order_item_id) over (partition by o.order_id) as item_count
-    from orders o
-    join customers c on o.customer_id = c.customer_id
-    join order_items oi on o.order_id = oi.order_id
-    join products_sku ps on oi.sku_id = ps.sku_id
-    join products p on oi.product_id = p.product_id
-    join payment_types pt on o.payment_type_id = pt.payment_type_id
-    where c.created_at is not null"""
+_SALES = f"""{ctes("order_items", "orders", "customers", "products_sku", "products",
+                   "payment_types")},
+    sizes as (select order_id, count(*) as item_count from order_items group by order_id),
+    items as (select order_id, quantity, unit_price as price, sku, order_items.product_id as sold
+              from order_items join products_sku using (sku_id))
+    select order_id, order_date, customer_id, customers.name as customer_name, total_amount,
+           shipping_address, payment_status, payment_types.name as payment_types, items.sku,
+           products.name as product_name, items.price, items.quantity, item_count
+    from items join sizes using (order_id) join orders using (order_id)
+    join products on products.product_id = items.sold
+    join customers using (customer_id) join payment_types using (payment_type_id)
+    where customers.created_at is not null"""
 _SALES_INPUTS = ("orders", "customers", "order_items", "products_sku", "products",
                  "payment_types")
 
@@ -42,7 +41,7 @@ def sales_report_view(spark, sf_dir):
     return reports.sales_report_view(*_load(spark, sf_dir, *_SALES_INPUTS))
 
 
-@CATALOG.query("sales_report_ordered", _SALES + " order by o.order_date desc, o.order_id, ps.sku")
+@CATALOG.query("sales_report_ordered", _SALES + " order by order_date desc, order_id, items.sku")
 def sales_report_ordered(spark, sf_dir):
     return reports.sales_report_view(*_load(spark, sf_dir, *_SALES_INPUTS), ordered=True)
 
@@ -53,22 +52,24 @@ def sales_report_materialized(spark, sf_dir):
     return gold.materialize(view, run_dir(spark, "sales-report"))
 
 
-@CATALOG.query("product_view", f"""{ctes("products_sku", "products", "categories")}
-    select ps.sku_id, ps.sku, ps.product_id, p.name as product_name, p.category_id,
-           c.name as category_name, ps.color, ps.size, ps.price, ps.created_at
-    from products_sku ps join products p on ps.product_id = p.product_id
-    join categories c on p.category_id = c.category_id
-    where p.deleted_at is null and c.deleted_at is null""")
+@CATALOG.query("product_view", f"""{ctes("products_sku", "products", "categories")},
+    named as (select product_id, products.name as product_name, category_id,
+                     categories.name as category_name
+              from categories join products using (category_id)
+              where categories.deleted_at is null and products.deleted_at is null)
+    select sku_id, sku, product_id, product_name, category_id, category_name, color, size, price,
+           created_at
+    from named join products_sku using (product_id)""")
 def product_view(spark, sf_dir):
     return reports.product_view(*_load(spark, sf_dir, "products_sku", "products", "categories"))
 
 
-@CATALOG.query("shipping_report_view", f"""{ctes("shipments", "warehouses", "delivery_tracking")}
-    select s.shipment_id, s.order_id, s.warehouse_id, w.name as warehouse_name, w.location,
-           s.shipment_date, dt.checkpoint_time, dt.location as checkpoint_location, s.status
-    from shipments s join warehouses w on s.warehouse_id = w.warehouse_id
-    left join delivery_tracking dt on s.shipment_id = dt.shipment_id
-    where w.deleted_at is null""")
+@CATALOG.query("shipping_report_view", f"""{ctes("delivery_tracking", "shipments", "warehouses")},
+    open as (select warehouse_id, name as warehouse_name, location from warehouses
+             where deleted_at is null)
+    select shipment_id, order_id, warehouse_id, warehouse_name, open.location, shipments.shipment_date,
+           checkpoint_time, delivery_tracking.location as checkpoint_location, shipments.status
+    from open join shipments using (warehouse_id) left join delivery_tracking using (shipment_id)""")
 def shipping_report_view(spark, sf_dir):
     return reports.shipping_report_view(
         *_load(spark, sf_dir, "shipments", "warehouses", "delivery_tracking"))

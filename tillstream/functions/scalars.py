@@ -11,16 +11,17 @@ from pyspark.sql import types as T
 
 
 def decode_decimal(col: Column, precision: int, scale: int) -> Column:
-    """Decimal from base64 text of its signed big-endian unscaled bytes (up to 8 bytes).
+    """Decimal from base64 text of its signed big-endian unscaled bytes, however many.
 
-    Bad base64, more than 8 bytes or a value too wide for the type give null.
+    Leading bytes that only repeat the sign are taken off; what then has more than 8 bytes is too
+    wide for any money type here. Bad base64 or a value too wide for the type give null.
     """
     raw = F.try_to_binary(col, F.lit("base64"))
-    digits = F.hex(raw)
+    digits = F.regexp_replace(F.hex(raw), "^(?:(?:00)+(?=[0-7])|(?:FF)+(?=[89A-F]))", "")
     sign = F.when(digits >= "8", "F").otherwise("0")     # text order: first digit 8 to F
     unscaled = F.conv(F.lpad(digits, 16, sign), 16, -10).cast("decimal(20,0)")
     value = unscaled * F.lit(Decimal(1).scaleb(-scale))
-    return F.when(F.length(raw) <= 8, value.try_cast(T.DecimalType(precision, scale)))
+    return F.when(F.length(digits) <= 16, value.try_cast(T.DecimalType(precision, scale)))
 
 
 def encode_decimal(col: Column, scale: int) -> Column:

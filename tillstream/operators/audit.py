@@ -48,8 +48,8 @@ def audit_rows(feed: DataFrame, user: str | Column, object_name: str, at: str |
 
 
 def consolidate_audit(logs: dict[str, DataFrame]) -> DataFrame:
-    """Audit logs of several databases as one frame, tagged by ``database_source``."""
-    tagged = [df.withColumn("database_source", F.lit(tag)) for tag, df in logs.items()]
+    """Audit logs of several systems as one frame, tagged by ``origin``."""
+    tagged = [df.withColumn("origin", F.lit(tag)) for tag, df in logs.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
@@ -69,16 +69,17 @@ def run_logged(
 ) -> dict:
     """Run ``sink(transform(source))`` and append one row about it to the run log.
 
-    Row counts come from observations of the running query, not from extra passes.
+    Row counts come from observations of the running query, not from extra passes. A failure is
+    logged, then raised.
     """
     seen, made = Observation(), Observation()
     started, clock = datetime.now(timezone.utc).replace(tzinfo=None), time.monotonic()
-    status, error = "success", None
+    status, failure = "success", None
     try:
         watched = source.observe(seen, F.count(F.lit(1)).alias("n"))
         sink(transform(watched).observe(made, F.count(F.lit(1)).alias("n")))
     except Exception as exc:
-        status, error = "failed", f"{type(exc).__name__}: {exc}"[:2000]
+        status, failure = "failed", exc
     ok = status == "success"
     row = {
         "run_id": uuid.uuid4().hex, "job": job, "task": task,
@@ -86,9 +87,11 @@ def run_logged(
         "ended_at": datetime.now(timezone.utc).replace(tzinfo=None),
         "duration_ms": int((time.monotonic() - clock) * 1000),
         "rows_in": seen.get["n"] if ok else None, "rows_out": made.get["n"] if ok else None,
-        "error": error,
+        "error": f"{type(failure).__name__}: {failure}" if failure else None,
     }
     spark.createDataFrame([tuple(row.values())], RUN_LOG).write.mode("append").parquet(log_path)
+    if failure:
+        raise failure
     return row
 
 

@@ -31,12 +31,26 @@ def keep_ops(df: DataFrame, ops: Sequence[str] = KEPT_OPS) -> DataFrame:
     return df.filter(F.col("payload.op").isin(*ops))
 
 
-def rejects(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Messages with a body that holds no readable operation; tombstones are not rejects."""
+def rejects(df: DataFrame, spec: TableSpec, ops: Sequence[str] = KEPT_OPS) -> DataFrame:
+    """Messages that ``decode_cdc`` leaves out though they say something, with the reason: no
+    readable operation, or fields that cannot be read. Tombstones are not rejects."""
     parsed = decode_envelope(df, spec)
     blank = F.length(F.trim("value")) == 0
-    return (parsed.filter(F.col("value").isNotNull() & ~blank & F.col("payload.op").isNull())
-            .select("value", F.lit("malformed message").alias("reason")))
+    no_op = F.col("value").isNotNull() & ~blank & F.col("payload.op").isNull()
+    fields = F.when(F.col("payload.op").isin(*ops), unreadable(spec))
+    reason = F.when(no_op, "malformed message").when(
+        F.size(fields) > 0, F.concat(F.lit("unreadable: "), F.array_join(fields, ", ")))
+    return parsed.select("value", reason.alias("reason")).filter("reason is not null")
+
+
+def unreadable(spec: TableSpec) -> Column:
+    """Names of the amounts and times that were sent, but cannot be read as such."""
+    bad = [F.when(F.col(f"payload.after.`{n}`").isNotNull()
+                  & _typed(f"payload.after.`{n}`", n, spec).isNull(), n)
+           for n in spec.columns if spec.wire_type(n) != spec.type_of(n)]
+    bad.append(F.when(F.col("payload.ts_ms").isNotNull()
+                      & event_time(F.col("payload.ts_ms")).isNull(), "ts_ms"))
+    return F.array_compact(F.array(*bad))
 
 
 def _typed(field: str, name: str, spec: TableSpec) -> Column:
@@ -79,10 +93,11 @@ def decode_cdc(
     """Messages to bronze rows: parse, filter, flatten, lineage, hash.
 
     ``on_delete="tombstone"`` keeps deletes as key-only rows of type ``d``.
-    ``hash_mode="raw"`` hashes the text as it came over the wire, the older form.
+    ``hash_mode="raw"`` hashes the text as it came over the wire, the older form. Messages with
+    an unreadable amount or time are left to :func:`rejects`.
     """
     ops = KEPT_OPS + (("d",) if on_delete == "tombstone" else ())
-    parsed = keep_ops(decode_envelope(df, spec), ops)
+    parsed = keep_ops(decode_envelope(df, spec), ops).filter(F.size(unreadable(spec)) == 0)
     flat = flatten_after(parsed, spec)
     if hash_mode == "raw":
         parts = [F.hex(F.col(f"payload.after.{n}"))
@@ -96,6 +111,24 @@ def decode_cdc(
     return rows.withColumn("hash", row_hash(rows, spec.columns))
 
 
+def unreadable_drop(df: DataFrame, spec: TableSpec) -> Column:
+    """Names of the columns whose text is there, but is not of the column's type; blank is null."""
+    bad = []
+    for name, kind in spec.fields:
+        if (isinstance(df.schema[name].dataType, T.StringType) and not isinstance(kind, T.StringType)):
+            typed = (F.try_to_binary(F.col(name), F.lit("base64")) if isinstance(kind, T.BinaryType)
+                     else F.col(name).try_cast(kind))
+            bad.append(F.when((F.trim(name) != "") & typed.isNull(), name))
+    return F.array_compact(F.array(*bad, F.lit(None).cast("string")))
+
+
+def drop_rejects(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Rows of a file drop that ``decode_drop`` leaves out, as they came, with the reason."""
+    fields = unreadable_drop(df, spec)
+    return df.withColumn("reason", F.concat(F.lit("unreadable: "), F.array_join(fields, ", "))).filter(
+        F.size(fields) > 0)
+
+
 def cast_drop(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Typed columns from a file drop, where nearly everything is text."""
     cols = []
@@ -125,8 +158,10 @@ def decode_drop(df: DataFrame, spec: TableSpec, now: Column, hash_mode: str = "t
                 source: Column | None = None) -> DataFrame:
     """File-drop rows to bronze rows.
 
-    ``hash_mode="raw"`` joins the raw text with ``||`` and leaves nulls out.
+    ``hash_mode="raw"`` joins the raw text with ``||`` and leaves nulls out. Rows with text that
+    cannot be read are left to :func:`drop_rejects`.
     """
+    df = df.filter(F.size(unreadable_drop(df, spec)) == 0)
     rows = with_lineage_batch(df, now, source=source)
     if hash_mode == "raw":
         rows = rows.withColumn("hash", row_hash(df, spec.columns, "||", "skip"))

@@ -10,8 +10,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tillstream.functions.pii import encrypt
+from tillstream.functions.pii import decrypt, encrypt
 from tillstream.operators import quality as q
 from tillstream.operators.joins import lookup_join
 from tillstream.operators.latest import active
@@ -71,27 +72,40 @@ INSERTS: dict[str, Insert] = {
 
 def _insert_lookups(name: str, tables: Tables) -> list[Lookup]:
     if name == "products_sku":
-        return [Lookup("SKU already exists", "sku", active(tables[name]), "sku", present=False),
-                Lookup("product not found or deleted", "product_id",
+        return [Lookup("code is taken", "sku", active(tables[name]), "sku", present=False),
+                Lookup("no such active product", "product_id",
                        active(tables["products"]), "product_id")]
     if name == "categories":
         return [Lookup("category already exists", "name", active(tables[name]), "name",
                        present=False, ignore_case=True)]
-    return []
+    if name in ("departments", "payment_types", "accounts", "suppliers"):
+        return []
+    return [Lookup(f"no such {ref.cols[0]}", ref.cols[0], tables[ref.parent], ref.parent_cols[0])
+            for ref in spec(name).references if len(ref.cols) == 1 and ref.parent in tables]
+
+
+def _personal(name: str, columns: Sequence[str]) -> list[str]:
+    return [c for c in columns if c in ("email", "phone") and isinstance(spec(name).type_of(c), T.BinaryType)]
 
 
 def insert_rows(name: str, tables: Tables, requests: DataFrame, order_by: Sequence[str],
                 start: int, now, secret: str | None = None) -> Mutation:
     """Insert requests into ``tables[name]``; keys count up from ``start`` along ``order_by``.
 
-    With ``secret`` the personal columns are checked in the clear and stored encrypted.
+    Columns that may not be null are demanded unless they have a default, and references must
+    be found in those of ``tables`` that are given. Personal columns are checked in the clear
+    and stored encrypted by ``secret``, which entities that have them demand.
     """
     how, table = INSERTS[name], tables[name]
+    hidden = _personal(name, table.columns)
+    if hidden and not secret:
+        raise ValueError(f"{name} holds personal data: a secret is needed")
+    filled = {spec(name).key[0], "ingestion_time", *how.dated, *dict(how.defaults)}
+    needed = q.not_null(*[c for c in spec(name).not_null if c not in filled and c in requests.columns])
     done = validated_insert(
-        table, requests, how.rules(now),
+        table, requests, [*how.rules(now), *needed],
         KeyRule(spec(name).key[0], order_by, start, how.prefix, how.width),
         _insert_lookups(name, tables), {**{c: now for c in how.dated}, **dict(how.defaults)})
-    hidden = [c for c in ("email", "phone") if c in table.columns] if secret else []
     if not hidden:
         return done
     fresh = encrypt(done.inserted, hidden, secret)
@@ -154,9 +168,13 @@ def _taken(table: DataFrame, requests: DataFrame, key: str, column: str,
         f"coalesce(_low <> {key} or _high <> {key}, false)")).drop("_value", "_low", "_high")
 
 
-def patch_rows(name: str, tables: Tables, requests: DataFrame, now) -> Mutation:
-    """Patch ``tables[name]`` by the rules of the entity; requests are unique on its key."""
+def patch_rows(name: str, tables: Tables, requests: DataFrame, now,
+               secret: str | None = None) -> Mutation:
+    """Patch ``tables[name]`` by the rules of the entity; personal columns as in an insert."""
     how, table = PATCHES[name], tables[name]
+    hidden = _personal(name, how.columns)
+    if hidden and not secret:
+        raise ValueError(f"{name} holds personal data: a secret is needed")
     columns = requests.columns
     checked = q.apply_rules(requests, how.rules).flagged
     reason = "case when size(violations) > 0 then violations[0] end"
@@ -174,8 +192,14 @@ def patch_rows(name: str, tables: Tables, requests: DataFrame, now) -> Mutation:
             f"then '{column} not found' end)"))
     good = tested.filter("reason is null").select(*columns)
     bad = tested.filter("reason is not null").select(*columns, "reason")
+    if hidden:
+        good = encrypt(good, hidden, secret)
     done = apply_patch(table, good, how.key, how.columns, how.mode, now, how.stamp, how.live)
-    return Mutation(done.df, bad.unionByName(done.rejected))
+    refused = done.rejected
+    if hidden:
+        clear = decrypt(refused, hidden, secret)
+        refused = clear.select(*[F.col(f.name).cast(f.dataType) for f in requests.schema], "reason")
+    return Mutation(done.df, bad.unionByName(refused))
 
 
 # Entities that are soft-deleted, with the children that forbid it while active.

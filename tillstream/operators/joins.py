@@ -179,12 +179,10 @@ def orphans(
     return lookup_join(present, keys, on, "left_anti")
 
 
-def join_values(df: DataFrame, rows: Sequence[tuple], schema, on, max_rows: int = 10_000):
-    """Inner join with literal rows given by the caller; their number is checked."""
-    if len(rows) > max_rows:
-        raise ValueError(f"{len(rows)} literal rows; write them to a table and join that")
+def join_values(df: DataFrame, rows: Sequence[tuple], schema, on, limit: int = BROADCAST_BYTES):
+    """Inner join with literal rows given by the caller; broadcast if they are few enough."""
     values = df.sparkSession.createDataFrame(list(rows), schema)
-    return df.join(F.broadcast(values), on, "inner")
+    return df.join(F.broadcast(values) if is_small(values, limit) else values, on, "inner")
 
 
 def fill_from_parent(df: DataFrame, parent: DataFrame, on: str, columns: dict[str, str],

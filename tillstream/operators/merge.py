@@ -106,7 +106,9 @@ def merge_upsert(
     differs = "not (t.hash <=> s.hash)"
     # The guard compares source times, so it is off where the merge itself stamps the column.
     if guard and dict(spec.on_update).get(spec.order_col) != "now":
-        differs += f" and coalesce(s.{spec.order_col} >= t.{spec.order_col}, true)"
+        # A row without a time does not beat one that has it.
+        differs += (f" and coalesce(s.{spec.order_col} >= t.{spec.order_col}, "
+                    f"t.{spec.order_col} is null)")
     action = f"""case when s is null then 'keep'
         when t is null and s._gone then 'skip' when t is null then 'insert'
         when s._gone then 'delete' when {differs} then 'update' else 'keep' end"""

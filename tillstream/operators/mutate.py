@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstream.functions.ids import assign_business_id, assign_sequence, business_id
 from tillstream.operators.joins import (
     keyed_join, lookup_join, with_children, without_children)
-from tillstream.operators.quality import Rule, apply_rules
+from tillstream.operators.quality import Rule, apply_rules, not_blank, not_null, positive
 
 
 @dataclass(frozen=True)
@@ -31,6 +31,16 @@ def _reject(df: DataFrame, reason: str) -> DataFrame:
     return df.withColumn("reason", F.lit(reason))
 
 
+REPEATED = "requested more than once"
+
+
+def _split_repeats(requests: DataFrame, key: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Requests with a key of their own, and those that share it: which one counts is unknown."""
+    twice = requests.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(*key)
+    return (without_children(requests, twice, key),
+            _reject(with_children(requests, twice, key), REPEATED))
+
+
 def apply_patch(
     table: DataFrame,
     patch: DataFrame,
@@ -41,7 +51,7 @@ def apply_patch(
     stamp: str = "updated_at",
     live: str | None = None,
 ) -> Mutation:
-    """Update ``columns`` of the rows named by ``patch``, unique on ``key``.
+    """Update ``columns`` of the rows named by ``patch``; requests that share a key are rejected.
 
     ``mode="coalesce"``: a null in the patch keeps the old value; ``"overwrite"``: it clears
     it. ``live`` names a soft-delete column; deleted rows are not patched. Requests without a
@@ -50,6 +60,7 @@ def apply_patch(
     if mode not in ("coalesce", "overwrite"):
         raise ValueError(mode)
     key = [key] if isinstance(key, str) else list(key)
+    patch, repeated = _split_repeats(patch, key)
     slim = patch.select(*key, F.lit(True).alias("_hit"),
                         *[F.col(c).alias(f"_new_{c}") for c in columns])
     joined = keyed_join(table, slim, key, "left")
@@ -69,13 +80,18 @@ def apply_patch(
     targets = table.filter(F.col(live).isNull()) if live else table
     missing = without_children(patch, targets, key)
     return Mutation(joined.select(*[value(c) for c in table.columns]),
-                    _reject(missing, "not found"))
+                    _reject(missing, "not found").unionByName(repeated))
 
 
 def set_stock_by_sku(inventory: DataFrame, requests: DataFrame, now) -> Mutation:
-    """Set the stock of every inventory row of a SKU. Requests: sku_id, stock_quantity."""
-    good = requests.filter(F.col("stock_quantity") >= 0)
-    bad = requests.filter(~(F.col("stock_quantity") >= 0))
+    """Set the stock of every inventory row of a SKU. Requests: sku_id, stock_quantity.
+
+    Requests without a quantity, with a negative one, or that share a SKU are rejected.
+    """
+    single, repeated = _split_repeats(requests, ["sku_id"])
+    good = single.filter(F.col("stock_quantity") >= 0)
+    reason = F.when(F.col("stock_quantity") < 0, "stock cannot be negative").otherwise("no quantity")
+    bad = single.withColumn("reason", reason).filter(~F.coalesce(F.col("stock_quantity") >= 0, F.lit(False)))
     slim = good.select("sku_id", F.col("stock_quantity").alias("_stock"))
     joined = lookup_join(inventory, slim, "sku_id", "left", spread=["inventory_id"])
     hit = F.col("_stock").isNotNull()
@@ -85,8 +101,7 @@ def set_stock_by_sku(inventory: DataFrame, requests: DataFrame, now) -> Mutation
         else F.when(hit, stamp).otherwise(F.col(c)).alias(c) if c == "last_updated"
         else F.col(c) for c in inventory.columns])
     missing = without_children(good, inventory, "sku_id")
-    return Mutation(out, _reject(bad, "stock cannot be negative").unionByName(
-        _reject(missing, "not found")))
+    return Mutation(out, bad.unionByName(_reject(missing, "not found")).unionByName(repeated))
 
 
 def soft_delete(table: DataFrame, keys: DataFrame, key: str, now, deleted: str = "deleted_at",
@@ -128,7 +143,11 @@ class KeyRule:
 
 @dataclass(frozen=True)
 class Lookup:
-    """A request column that must (or must not) be present in another table."""
+    """A request column that must (or must not) be present in another table.
+
+    A null is present nowhere and refers to nothing. What must not be present may not be there
+    twice among the requests either: the first one along the order of the keys counts.
+    """
     reason: str
     column: str
     table: DataFrame
@@ -152,17 +171,26 @@ def validated_insert(
     """
     first = F.when(F.size("violations") > 0, F.element_at("violations", 1))
     tested = apply_rules(requests, rules).flagged.withColumn("reason", first).drop("violations")
+    def norm(test: Lookup, c):
+        return F.lower(c) if test.ignore_case else c
+
     for test in lookups:
-        def norm(c):
-            return F.lower(c) if test.ignore_case else c
-        keys = test.table.select(norm(F.col(test.table_column)).alias("_probe")).distinct()
-        probed = tested.withColumn("_probe", norm(F.col(test.column)))
+        keys = test.table.select(norm(test, F.col(test.table_column)).alias("_probe")).distinct()
+        probed = tested.withColumn("_probe", norm(test, F.col(test.column)))
         found = lookup_join(probed, keys.withColumn("_found", F.lit(True)), "_probe", "left",
                             requests.columns, basis=requests.withColumn(
-                                "_probe", norm(F.col(test.column))))
-        bad = F.col("_found").isNull() if test.present else F.col("_found").isNotNull()
+                                "_probe", norm(test, F.col(test.column))))
+        given = F.col(test.column).isNotNull()
+        bad = given & (F.col("_found").isNull() if test.present else F.col("_found").isNotNull())
         tested = found.withColumn("reason", F.coalesce(
             F.col("reason"), F.when(bad, F.lit(test.reason)))).drop("_probe", "_found")
+    for test in (t for t in lookups if not t.present):
+        # Requests that are refused already take no value.
+        value = norm(test, F.col(test.column))
+        order = Window.partitionBy(value, F.col("reason").isNull()).orderBy(*key.order_by)
+        later = value.isNotNull() & (F.row_number().over(order) > 1)
+        tested = tested.withColumn("reason", F.coalesce(
+            F.col("reason"), F.when(later, F.lit(f"{test.column}: {REPEATED}"))))
     good = tested.filter(F.col("reason").isNull()).select(*requests.columns)
     rejected = tested.filter(F.col("reason").isNotNull()).select(*requests.columns, "reason")
     if key.prefix is None:
@@ -181,16 +209,21 @@ def validated_insert(
 
 def insert_product_with_sku(products: DataFrame, skus: DataFrame, requests: DataFrame,
                             order_by: Sequence[str], product_start: int, sku_start: int,
-                            now) -> tuple[DataFrame, DataFrame]:
-    """New products, each with its first SKU. Returns (new products, new SKUs).
+                            now) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """New products, each with its first SKU. Returns (new products, new SKUs, rejected requests).
 
-    Requests: name, category_id, sku, price, color, size.
+    Requests: name, category_id, sku, price, color, size. Name, category, SKU code and a positive
+    price are demanded, and a code that no active SKU and no earlier request bears.
     """
-    numbered = assign_sequence(requests, "_n", order_by, 0)
+    rules = [*not_blank("name", "sku"), *not_null("category_id"), *not_null("price"), *positive("price")]
+    taken = Lookup("code is taken", "sku", skus.filter("deleted_at is null"), "sku", present=False)
+    given = requests.withColumn("_request", F.lit(None).cast("bigint"))
+    done = validated_insert(given, requests, rules, KeyRule("_request", order_by, 0), [taken])
+    numbered = done.inserted.withColumnRenamed("_request", "_n")
     at = F.lit(now).cast("timestamp")
     rows = numbered.select(
         "*", at.alias("created_at"), at.alias("updated_at"),
         F.lit(None).cast("timestamp").alias("deleted_at"),
         business_id("PROD_", 5, F.col("_n") + product_start).alias("product_id"),
         (F.col("_n") + sku_start).alias("sku_id"))
-    return rows.select(*products.columns), rows.select(*skus.columns)
+    return rows.select(*products.columns), rows.select(*skus.columns), done.rejected

@@ -169,6 +169,11 @@ def run_retention(tables: Tables, as_of, months: int = RETENTION_MONTHS,
     return RetentionRun(state, purged, reduce(DataFrame.unionByName, counts), failures)
 
 
-def archive(purged: DataFrame, path: str, ts: str) -> None:
-    """Append purged rows to the cold path, one folder per month of ``ts``."""
-    (by_month(purged, ts).write.mode("append").partitionBy("month").parquet(path))
+def archive(purged: DataFrame, path: str, ts: str, run: str = "once") -> None:
+    """Copy purged rows to the cold path, one folder per run and month of ``ts``.
+
+    A run that is repeated after a failure overwrites the months that it still finds, and keeps
+    those whose rows are gone from the table already.
+    """
+    (by_month(purged, ts).withColumn("run", F.lit(run)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("run", "month").parquet(path))

@@ -34,7 +34,7 @@ class Reference:
 @dataclass(frozen=True)
 class TableSpec:
     name: str
-    database: str                         # source system: pos, logistic or erp
+    system: str                           # source system: pos, logistic or erp
     fields: tuple[tuple[str, T.DataType], ...]
     key: tuple[str, ...]
     order_col: str = "updated_at"
@@ -329,9 +329,9 @@ _AUDIT_FIELDS = (
 AUDIT_SOURCES = {"pos": "Pos", "erp": "ERP", "logistic": "Logistic"}
 
 
-def _audit(database: str) -> TableSpec:
+def _audit(system: str) -> TableSpec:
     return TableSpec(
-        f"audit_log_{database}", database, _AUDIT_FIELDS,
+        f"audit_log_{system}", system, _AUDIT_FIELDS,
         key=("log_id",), order_col="ingestion_time", micros=("log_time",), file_fed=True,
         not_null=("log_id", "log_time", "user_name", "action_type", "object_type", "query",
                   "ingestion_time", "hash"),
@@ -346,8 +346,8 @@ SPECS: dict[str, TableSpec] = {
 
 # The three audit logs share one current table, told apart by their source tag.
 AUDIT_SILVER = replace(
-    _audit("pos"), name="audit_log", key=("log_id", "database_source"),
-    fields=_AUDIT_FIELDS[:2] + (("database_source", STR),) + _AUDIT_FIELDS[2:],
+    _audit("pos"), name="audit_log", key=("log_id", "origin"),
+    fields=_AUDIT_FIELDS[:2] + (("origin", STR),) + _AUDIT_FIELDS[2:],
 )
 
 

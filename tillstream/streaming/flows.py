@@ -56,8 +56,8 @@ def silver_stream(spark: SparkSession, spec: TableSpec, bronze: str, silver: str
                   checkpoint: str, now=None, max_files: int | None = None):
     """Keep silver current from the bronze folder, one merge per micro-batch.
 
-    A batch replayed after a failure gives the same table: its version is rebuilt from the one
-    before it, and rows already merged have an equal hash.
+    A batch replayed after a failure, or by a query started anew, gives the same table: rows that
+    are merged already have an equal hash and are kept.
     """
     reader = spark.readStream.schema(spec.bronze_schema())
     if max_files:
@@ -68,7 +68,7 @@ def silver_stream(spark: SparkSession, spec: TableSpec, bronze: str, silver: str
             "select current_timestamp()").first()[0]
         batch.persist()          # read several times by one merge
         try:
-            merge_into(batch.sparkSession, silver, batch, spec, stamp, version=batch_id)
+            merge_into(batch.sparkSession, silver, batch, spec, stamp)
         finally:
             batch.unpersist()
 
