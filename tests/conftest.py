@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -15,6 +16,7 @@ from tillstream import session  # noqa: E402
 
 def make_session():
     spark = session.build("tests", "local[8]", **{
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tillstream-tests-"),
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
         "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("OFF")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
+from tillstream import catalog, session
 from tests.compare import differences, oracle
 
 SF = "/root/testdata/sf0.001"
@@ -26,7 +27,8 @@ def test_entry(spark):
     assert df.count() > 0 and "item_count" in df.columns
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.entries()))
 def test_query(spark, con, name):
     diff = differences(spark, con, name, SF)
+    session.discard(spark)
     assert diff is None or (name in EMPTY_HERE and diff.startswith("no rows")), diff

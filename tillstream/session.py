@@ -71,12 +71,26 @@ def run_dir(spark: SparkSession, label: str) -> str:
     return f"{base}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+_settled: list[str] = []
+
+
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Compute ``df`` once into a table below the shared folder and read that.
 
     Cuts the lineage, fixes results that depend on sampling or arrival, and survives the loss
-    of any executor.
+    of any executor. The table stays until :func:`discard`, as results may still read it.
     """
     path = run_dir(df.sparkSession, label)
+    _settled.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession) -> int:
+    """Delete all tables settled so far; call it when the results made of them are written."""
+    hadoop, paths = spark._jvm.org.apache.hadoop.fs.Path, _settled[:]
+    for path in paths:
+        at = hadoop(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        _settled.remove(path)
+    return len(paths)
