@@ -5,8 +5,8 @@ the noisy-or 1 - prod(1 - p). Sentence weights are fitted through that expressio
 labels alone; sentences with a high p are the offending ones.
 
 Features are words and their beginnings, hashed into a fixed number of cells. How many toxic and
-clean documents hold each cell is counted over all labelled training rows; cells that do not differ
-between the two take no part. The weights of the rest are fitted on a sample of labelled rows of
+clean documents hold each cell is counted over all labelled training rows; cells that toxic ones do
+not hold clearly more often take no part. The weights of the rest are fitted on a sample of labelled rows of
 about ``SAMPLE`` documents, chosen by a hash of the id.
 
 Null and empty texts have the score of a text without sentences: the share of toxic documents that
@@ -32,8 +32,8 @@ CELL_BITS = 18
 CELLS = 1 << CELL_BITS
 # Lengths in bytes of the beginnings that count besides the whole word.
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
-# Cells count if the share of toxic documents differs by as many standard errors.
-LEAST_Z = 5.0
+# Cells count if toxic documents hold them more often, by as many standard errors and as many times.
+LEAST_Z, LEAST_RATIO = 5.0, 1.5
 # Labelled documents, about, that the weights are fitted on.
 SAMPLE = 20_000
 STEPS, RATE, SHRINK = 400, 0.1, 1e-4
@@ -125,8 +125,10 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     counts = counts[counts["cell"] < CELLS]
     both = (counts["clean"] + counts["toxic"]) / (clean + toxic)
     error = np.sqrt(both * (1 - both) * (1 / clean + 1 / toxic)) + 1e-12
-    z = (counts["toxic"] / toxic - counts["clean"] / clean) / error
-    chosen = np.sort(counts["cell"][z.abs() >= LEAST_Z].to_numpy())
+    share, other = counts["toxic"] / toxic, counts["clean"] / clean
+    # The ratio keeps out what is merely longer texts' words, however many documents there are.
+    telling = ((share - other) / error >= LEAST_Z) & (share >= LEAST_RATIO * other)
+    chosen = np.sort(counts["cell"][telling].to_numpy())
     number = np.full(CELLS, -1, np.int32)
     number[chosen] = np.arange(len(chosen))
     shared = spark.sparkContext.broadcast(number)
