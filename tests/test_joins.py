@@ -89,14 +89,14 @@ def test_sales_report_of_the_sample(spark):
     assert len(rows) == 7
     assert [(r.order_id, r.item_count) for r in rows] == [
         (6, 2), (6, 2), (7, 1), (8, 1), (9, 2), (9, 2), (10, 1)]
-    assert rows[0].customer_name == "Nguyen Van A" and rows[0].payment_types == "Credit Card"
+    assert rows[0].customer_name == "Ada Brook" and rows[0].payment_types == "Credit Card"
 
 
 def test_shipping_report_keeps_untracked_shipments(spark):
     t = stored_seed(spark)
     rows = shipping_report_view(t["shipments"], t["warehouses"], t["delivery_tracking"]).collect()
     assert sorted((r.shipment_id, r.checkpoint_location) for r in rows if r.checkpoint_location) == [
-        (1, "Hai Phong"), (1, "Hanoi"), (2, "Da Nang"), (3, "Ho Chi Minh"), (5, "Can Tho")]
+        (1, "Arden"), (1, "Denby"), (2, "Corley"), (3, "Borrow"), (5, "Esk")]
     assert [r.shipment_id for r in rows if r.checkpoint_location is None] == [4]
     closed = t["warehouses"].withColumn("deleted_at", F.when(F.col("warehouse_id") == 1,
                                                              F.col("created_at")))

@@ -209,7 +209,7 @@ def test_patch_refusals(spark):
     assert {r.category_id: r.reason for r in done.rejected.collect()} == {
         1: "chk_name_not_blank", 2: "name already exists"}
     names = {r.category_id: r.name for r in done.df.collect()}
-    assert names[4] == "BOOKS" and names[5] == "Sports" and names[2] == "Clothing"
+    assert names[4] == "BOOKS" and names[5] == "Outdoors" and names[2] == "Coats"
     lost = spark.createDataFrame([("PROD_00001", None, 77), ("PROD_00002", "Shirt", None)],
                                  "product_id string, name string, category_id long")
     done = entity_ops.patch_rows("products", tables, lost, NOW)

@@ -15,7 +15,7 @@ from tillstream.operators import decode, latest
 from tillstream.session import run_dir
 from tillstream.sources.tables import extract_full, spread, to_drop
 from tillstream.specs import SPECS
-from tillstream.streaming.flows import bronze_files, bronze_replay, bronze_stream
+from tillstream.streaming.flows import bronze_files, bronze_replay, bronze_replay_from, bronze_stream
 
 CATALOG = Catalog()
 
@@ -83,6 +83,16 @@ for _name, _spec in SPECS.items():
         _add_files(_name)
 
 
+@CATALOG.query("replay_folder", f"""{log_sql("shipments")}
+    select {", ".join(SPECS["shipments"].columns)}, transaction_type, hash from log""")
+def replay_folder(spark, sf_dir):
+    """A folder of messages read as a bounded source, from the first one to the last."""
+    path = run_dir(spark, "messages")
+    messages(spark, sf_dir, "shipments").filter("value is not null").write.text(path)
+    rows = bronze_replay_from(spark, SPECS["shipments"], path)
+    return rows.select(*SPECS["shipments"].columns, "transaction_type", "hash")
+
+
 @CATALOG.query("cdc_decimal_decode", f"""{ctes("orders")}
     select order_id, total_amount, cast(-total_amount as decimal(12,2)) as negated from orders""")
 def cdc_decimal_decode(spark, sf_dir):

@@ -9,7 +9,7 @@ from tillstream.catalog.registry import Catalog
 from tillstream.functions import pii
 from tillstream.operators.audit import last_run, run_logged
 from tillstream.operators.latest import watermark_value
-from tillstream.session import run_dir
+from tillstream.session import run_dir, settle
 from tillstream.sources import tables
 from tillstream.specs import SPECS
 
@@ -40,11 +40,32 @@ def month_overwrite(spark, sf_dir):
     return spark.read.parquet(path).select("order_id", "payment_status")
 
 
-@CATALOG.query("hash_buckets")
+@CATALOG.query("hash_buckets", f"""{ctes("order_items")}
+    select strftime(order_date, '%Y%m') as month,
+           cast(cast('0x' || md5(cast(order_id as varchar))[1:8] as bigint) % 4 as int) as bucket,
+           count(*) as row_count, count(distinct order_id) as order_count
+    from order_items group by 1, 2""")
 def hash_buckets(spark, sf_dir):
-    i = tables.repartition_by_hash(entity(spark, sf_dir, "order_items"), "order_id")
-    return i.groupBy("bucket").agg(F.count(F.lit(1)).alias("row_count"),
-                                   F.count_distinct("order_id").alias("order_count"))
+    """Order items laid out by month and, below it, by bucket of the order."""
+    path = run_dir(spark, "items-by-bucket")
+    tables.write_month_buckets(entity(spark, sf_dir, "order_items"), path, "order_date", "order_id")
+    return spark.read.parquet(path).groupBy(F.col("month").cast("string").alias("month"), "bucket").agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_distinct("order_id").alias("order_count"))
+
+
+@CATALOG.query("truncate_table", f"""{ctes("orders")}
+    select count(*) as rows_before, 0 as rows_after from orders""")
+def truncate_table(spark, sf_dir):
+    """Rows of a stored table before and after it is emptied."""
+    path, rows = run_dir(spark, "orders-emptied"), entity(spark, sf_dir, "orders")
+    rows.write.parquet(path)
+    before = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows_before"))
+    counted = settle(before, "before")
+    tables.truncate(spark, path, rows.schema)
+    left = spark.read.schema(rows.schema).parquet(path).agg(F.count(F.lit(1)).cast("int")).scalar()
+    return counted.withColumn("rows_after", left)
+
+
 
 
 @CATALOG.query("align_schema", f"""{ctes("products", "categories")}

@@ -63,7 +63,9 @@ def write_partitioned(df: DataFrame, path: str, ts: str, mode: str = "overwrite"
 
 
 def hash_bucket(col: str, buckets: int = 4) -> Column:
-    return F.pmod(F.xxhash64(col), F.lit(buckets)).cast("int")
+    """From the md5 of the value's text, so that any engine computes the same bucket."""
+    head = F.substring(F.md5(F.col(col).cast("string").cast("binary")), 1, 8)
+    return (F.conv(head, 16, 10).cast("bigint") % buckets).cast("int")
 
 
 def repartition_by_hash(df: DataFrame, col: str, buckets: int = 4) -> DataFrame:
@@ -71,6 +73,15 @@ def repartition_by_hash(df: DataFrame, col: str, buckets: int = 4) -> DataFrame:
     return df.withColumn("bucket", hash_bucket(col, buckets))
 
 
+def write_month_buckets(df: DataFrame, path: str, ts: str, col: str, buckets: int = 4,
+                        mode: str = "overwrite") -> None:
+    """Write one folder per month of ``ts`` and, below it, one per bucket of ``col``."""
+    rows = repartition_by_hash(with_month_partition(df, ts), col, buckets)
+    (rows.hint("rebalance", "month", "bucket").sortWithinPartitions("month", "bucket", ts)
+     .write.mode(mode).option("partitionOverwriteMode", "dynamic")
+     .partitionBy("month", "bucket").parquet(path))
+
+
 def save_bucketed(df: DataFrame, table: str, col: str, buckets: int) -> None:
     """Catalog table bucketed and sorted by ``col``: later joins on it need no shuffle."""
     df.write.mode("overwrite").bucketBy(buckets, col).sortBy(col).saveAsTable(table)
