@@ -58,6 +58,13 @@ def test_broadcast_only_below_the_limit(spark, skewed, monkeypatch):
     assert "_salt" in plan(salted) and salted.count() == plain.count()
 
 
+def test_hot_keys_by_size(spark, monkeypatch):
+    """A key of 0.3 per cent of the rows is hot if it is more than a task should hold."""
+    monkeypatch.setattr(joins, "TASK_ROWS", 100)
+    df = spark.range(100_000).select(F.when(F.col("id") < 300, -1).otherwise(F.col("id")).alias("k"))
+    assert [(r["k"], r["_pieces"]) for r in joins.hot_keys(df, ["k"]).collect()] == [(-1, 3)]
+
+
 def test_hot_keys_are_few(spark):
     df = spark.range(10_000).select((F.col("id") % 100).alias("k"))
     assert joins.hot_keys(df, ["k"], 0.02).count() == 0

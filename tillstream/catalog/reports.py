@@ -137,7 +137,8 @@ def children_of_expired_salted(spark, sf_dir):
     select payment_type_id from orders group by payment_type_id
     having count(*) > 0.2 * (select count(*) from orders)""")
 def hot_keys(spark, sf_dir):
-    return joins.hot_keys(entity(spark, sf_dir, "orders"), ["payment_type_id"], 0.2)
+    return joins.hot_keys(entity(spark, sf_dir, "orders"), ["payment_type_id"], 0.2).select(
+        "payment_type_id")
 
 
 @CATALOG.query("fill_from_parent", f"""{ctes("orders", "customers")}

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 10 * 1024 * 1024
 SALT_FLOOR = 512 * 1024 * 1024
-HOT_SHARE = 1 / 256          # a key above this share of the rows counts as hot
-SALTS = 64                   # pieces a hot key is split into
+TASK_ROWS = 1_000_000        # rows that one task should hold: a key with more is hot
+HOT_KEYS = 1 << 18           # never more hot keys than this; a larger task instead
+NULL_PIECES = 4096           # null keys match nothing, but must be spread as well
 
 
 def planned_bytes(df: DataFrame) -> int | None:
@@ -51,14 +52,18 @@ def reads_little(df: DataFrame, limit: int) -> bool:
     return size is not None and size <= limit
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys holding more than ``share`` of the rows: never more than ``1 / share`` rows.
+def hot_keys(df: DataFrame, on: Sequence[str], share: float | None = None) -> DataFrame:
+    """Keys holding more rows than one task should, or more than ``share`` of all rows, with
+    ``_pieces``: the tasks that their rows fill.
 
-    Reads the key columns only and counts map-side before it shuffles.
+    What is too much for a task does not depend on the size of the table. Reads the key columns
+    only and counts map-side before it shuffles.
     """
     counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
     total = counts.agg(F.sum("_rows")).scalar()
-    return counts.filter(F.col("_rows") > total * F.lit(share)).select(*on)
+    most = total * F.lit(share) if share else F.greatest(F.lit(TASK_ROWS), total / HOT_KEYS)
+    return counts.filter(F.col("_rows") > most).select(
+        *on, F.ceil(F.col("_rows") / most).cast("int").alias("_pieces"))
 
 
 _HALF = ("left_semi", "left_anti")
@@ -76,11 +81,12 @@ def salted_join(
     on: Sequence[str],
     how: str,
     spread: Sequence[str],
-    share: float = HOT_SHARE,
-    salts: int = SALTS,
+    share: float | None = None,
+    salts: int | None = None,
     basis: DataFrame | None = None,
 ) -> DataFrame:
-    """Join ``left`` with ``right``, splitting the hot keys of ``left`` into ``salts`` pieces.
+    """Join ``left`` with ``right``, splitting each hot key of ``left`` into as many pieces as its
+    rows fill tasks, or into ``salts``.
 
     Hot keys are found in ``basis``, by default ``left`` itself. Where ``left`` is a join
     result, name its largest base table: that costs one scan of the key columns.
@@ -90,18 +96,18 @@ def salted_join(
     never match, are spread as well.
     """
     on = list(on)
-    hot = F.broadcast(hot_keys(left if basis is None else basis, on, share).withColumn("_hot", F.lit(True)))
+    hot = hot_keys(left if basis is None else basis, on, share)
+    # At most HOT_KEYS rows.
+    hot = F.broadcast(hot if salts is None else hot.withColumn("_pieces", F.lit(salts)))
     null_key = F.lit(False)
     for c in on:
         null_key = null_key | F.col(c).isNull()
-    piece = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
+    pieces = F.coalesce("_pieces", F.when(null_key, NULL_PIECES).otherwise(1))
     salted = (left.join(hot, on, "left")
-              .withColumn("_salt", F.when(F.col("_hot") | null_key, piece).otherwise(0))
-              .drop("_hot"))
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
+              .withColumn("_salt", F.pmod(F.xxhash64(*spread), pieces).cast("int")).drop("_pieces"))
     copied = (right.join(hot, on, "left")
-              .withColumn("_salt", F.explode(copies.otherwise(F.array(F.lit(0)))))
-              .drop("_hot"))
+              .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1)))
+              .drop("_pieces"))
     joined = salted.join(copied, [*on, "_salt"], how).drop("_salt")
     return joined.select(*left.columns) if how in _HALF else joined
 
