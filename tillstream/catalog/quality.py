@@ -8,21 +8,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstream.catalog.mapping import ctes, entity, hash_sql
+from tillstream.catalog.messages import SNAPSHOT_AT, log_sql, messages
 from tillstream.catalog.registry import Catalog
 from tillstream.functions.scalars import row_hash
 from tillstream.operators import quality, reconcile
+from tillstream.operators.merge import empty_silver, merge_upsert
 from tillstream.sources.tables import spread
 from tillstream.specs import SPECS, TableSpec
+from tillstream.streaming.flows import bronze_replay
 
 CATALOG = Catalog()
 
 NOW = "1994-01-15 00:00:00"      # early enough that some rows lie in the future
 
 
-def _conditions(spec: TableSpec, now: str = NOW) -> list[tuple[str, str]]:
+def _conditions(spec: TableSpec, now: str = NOW, layer: str = "silver",
+                lineage: bool = False) -> list[tuple[str, str]]:
     """Every rule of an entity as (name, SQL condition that is true for a broken row)."""
-    have = spec.columns
-    out = [(f"{c}_not_null", f"{c} is null") for c in spec.not_null if c in have]
+    schema = spec.bronze_schema() if layer == "bronze" else spec.silver_schema()
+    have = schema.names if lineage else spec.columns
+    needed = [*spec.not_null, *(c for at, c in spec.layer_not_null if at == layer)]
+    out = [(f"{c}_not_null", f"{c} is null") for c in needed if c in have]
     out += [(f"chk_{c}_length", f"length({c}) = 0") for c in spec.non_empty if c in have]
     out += [(f"chk_{c}_positive", f"{c} <= 0") for c in spec.positive if c in have]
     out += [(f"chk_{c}_non_negative", f"{c} < 0") for c in spec.non_negative if c in have]
@@ -48,6 +54,47 @@ def quality_all_tables(spark, sf_dir):
     return reduce(DataFrame.unionByName, parts)
 
 
+# Entities whose rules differ between the layers.
+_LAYERED = ("customers", "products", "audit_log_pos")
+_LATER = "2024-01-05 00:00:00"       # between the snapshot and the updates
+
+
+def _layer_sql(layer: str) -> str:
+    parts = []
+    for n in _LAYERED:
+        rules = _conditions(SPECS[n], _LATER, layer, lineage=True)
+        cells = ", ".join(f"count(*) filter (where {bad})" for _, bad in rules)
+        names = ", ".join(f"'{r}'" for r, _ in rules)
+        rows = "log" if layer == "bronze" else "log where transaction_type = 'r'"
+        parts.append(f"""select '{n}' as entity, unnest([{names}]) as rule, unnest(v) as violations
+            from ({log_sql(n)} select [{cells}] as v from {rows})""")
+    return " union all ".join(parts)
+
+
+def _layer_counts(rows, name: str, layer: str):
+    rules = quality.table_rules(SPECS[name], _LATER, rows.columns, layer=layer)
+    return quality.rule_counts(rows, rules).select(F.lit(name).alias("entity"), "rule", "violations")
+
+
+@CATALOG.query("quality_bronze", _layer_sql("bronze"))
+def quality_bronze(spark, sf_dir):
+    """The rules of the history layer over decoded rows, lineage columns and hash included."""
+    return reduce(DataFrame.unionByName, [_layer_counts(
+        bronze_replay(SPECS[n], messages(spark, sf_dir, n)), n, "bronze") for n in _LAYERED])
+
+
+@CATALOG.query("quality_silver", _layer_sql("silver"))
+def quality_silver(spark, sf_dir):
+    """The rules of the current layer over merged rows (the snapshot)."""
+    parts = []
+    for n in _LAYERED:
+        rows = bronze_replay(SPECS[n], messages(spark, sf_dir, n)).filter("transaction_type = 'r'")
+        kept = [c for c in SPECS[n].silver_schema().names if c in rows.columns]
+        merged = merge_upsert(empty_silver(spark, SPECS[n]), rows, SPECS[n], SNAPSHOT_AT).df
+        parts.append(_layer_counts(merged.select(*kept), n, "silver"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _flag_sql(name: str, key: str, now: str = NOW) -> str:
     cases = ", ".join(f"case when {bad} then '{rule}' end"
                       for rule, bad in _conditions(SPECS[name], now))

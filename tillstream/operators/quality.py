@@ -73,15 +73,17 @@ def max_length(col: str, n: int) -> Rule:
 
 
 def table_rules(spec: TableSpec, now, columns: Sequence[str] | None = None,
-                allowed_values: bool = True) -> list[Rule]:
-    """The rules of an entity, for the columns at hand, without the dropped ones."""
-    have = set(columns if columns is not None else spec.silver_schema().names)
+                allowed_values: bool = True, layer: str = "silver") -> list[Rule]:
+    """The rules of an entity in a layer (bronze or silver), for the columns at hand (all of the
+    layer, lineage included), without the dropped ones."""
+    whole = spec.bronze_schema() if layer == "bronze" else spec.silver_schema()
+    have = set(columns if columns is not None else whole.names)
 
     def at_hand(cols: Iterable[str]) -> list[str]:
         return [c for c in cols if c in have]
 
     rules = [
-        *not_null(*at_hand(spec.not_null)),
+        *not_null(*at_hand([*spec.not_null, *(c for at, c in spec.layer_not_null if at == layer)])),
         *non_empty(*at_hand(spec.non_empty)),
         *positive(*at_hand(spec.positive)),
         *non_negative(*at_hand(spec.non_negative)),

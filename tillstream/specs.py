@@ -43,6 +43,8 @@ class TableSpec:
     file_fed: bool = False                # also delivered as a daily Parquet drop
     # Rules. Names follow the pattern chk_<column>[_length|_positive|_non_negative].
     not_null: tuple[str, ...] = ()
+    # Demanded in one layer only: (layer, column); lineage columns among them.
+    layer_not_null: tuple[tuple[str, str], ...] = ()
     non_empty: tuple[str, ...] = ()
     positive: tuple[str, ...] = ()
     non_negative: tuple[str, ...] = ()
@@ -119,6 +121,7 @@ _SPECS = [
          ("address", STR), ("created_at", TS), ("updated_at", TS)),
         key=("customer_id",),
         not_null=("customer_id", "name", "email", "phone", "address", "created_at", "updated_at"),
+        layer_not_null=(("silver", "ingestion_time"),),
         non_empty=("customer_id", "name", "address", "email", "phone"),
         not_future=("created_at", "updated_at", "ingestion_time"),
         on_update=(("updated_at", "now"), ("ingestion_time", "source")),
@@ -129,7 +132,8 @@ _SPECS = [
         (("product_id", STR), ("name", STR), ("category_id", LONG),
          ("created_at", TS), ("deleted_at", TS), ("updated_at", TS)),
         key=("product_id",), file_fed=True,
-        not_null=("product_id", "name", "category_id", "created_at", "updated_at"),
+        not_null=("product_id", "name", "category_id", "created_at"),
+        layer_not_null=(("silver", "updated_at"), ("silver", "ingestion_time")),
         non_empty=("product_id", "name"),
         not_future=("created_at", "deleted_at", "updated_at", "ingestion_time"),
         after=(("deleted_at", "created_at"),),
@@ -335,6 +339,8 @@ def _audit(system: str) -> TableSpec:
         key=("log_id",), order_col="ingestion_time", micros=("log_time",), file_fed=True,
         not_null=("log_id", "log_time", "user_name", "action_type", "object_type", "query",
                   "ingestion_time", "hash"),
+        layer_not_null=tuple(("bronze", c) for c in (
+            "object_name", "transaction_type", "connector", "source")),
         non_empty=("user_name", "action_type", "object_type", "object_name", "query",
                    "transaction_type", "connector", "source", "hash"),
         not_future=("log_time", "ingestion_time"),
