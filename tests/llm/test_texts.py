@@ -242,7 +242,7 @@ def log_sum(values):
 def test_lattice_sums_over_all_segmentations():
     pieces = lattice.vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
     weight = dict(zip(pieces.names, pieces.weight, strict=True))
-    words = [w.encode() for w in ("a", "the", "onesen", "éreaiou", "x" * 40, "漢z")]
+    words = [w.encode() for w in ("a", "the", "onesen", "éreaiou", "x" * 40, "漢z", "onesen" * 70)]
 
     def slow(word):
         word = b" " + word

@@ -17,6 +17,7 @@ the lattice probability of the vocabulary's scores. Repeated rows are answered e
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -36,6 +37,8 @@ SAMPLE_ROUNDS = 5
 HASH_SHARE = 16
 # Words worked on at once, and words one Python process remembers the probability of.
 BLOCK, REMEMBERED = 1 << 15, 1 << 21
+# Bytes from which on a word is worked on by itself.
+LONG = 256
 SMOOTHING = 0.1
 
 _CODES = np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.uint64) * 2 + 1
@@ -123,12 +126,48 @@ class Lattice:
         out = np.empty(len(start))
         used = None if times is None else np.zeros(len(self.weight) + 1)
         order = np.argsort(-size, kind="stable")
+        # Words that are very long are rare: place by place they would be many steps for few words.
+        long = int((size > LONG).sum())
+        for k in order[:long]:
+            out[k] = self._long(data[start[k]:start[k] + size[k]],
+                                0.0 if times is None else float(times[k]), used)
+        order = order[long:]
         for k in range(0, len(order), BLOCK):
             part = order[k:k + BLOCK]
             out[part] = self._block(data, start[part], size[part], None if times is None
                                     else times[part], used)
         return out, used
 
+    def _long(self, word: np.ndarray, times: float, used) -> float:
+        """One long word: its pieces are found at all places at once, then summed up edge by edge."""
+        n = len(word) + 1
+        step, back = (np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n, f, np.uint64))])
+                      for f in (_STEP, _BACK))
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(_CODES[np.concatenate([[32], word])] * step[:n], out=sums[1:])
+        begins, ends, names = [], [], []
+        for length in self.tables:
+            if length > n:
+                break
+            piece = self._find(length, (sums[length:] - sums[:-length]) * back[:n - length + 1])
+            at = np.flatnonzero(piece >= 0)
+            begins.append(at)
+            ends.append(at + length)
+            names.append(piece[at])
+        begins, ends, names = map(np.concatenate, (begins, ends, names))
+        order = np.lexsort((begins, ends))
+        begins, ends, names = begins[order], ends[order], names[order]
+        weight = self.weight[names]
+        alpha = _add_up(n, begins.tolist(), ends.tolist(), weight.tolist())
+        if used is not None:
+            # The same from the other end: edges by their start, the last first.
+            turn = np.lexsort((-ends, -begins))
+            beta = _add_up(n, (n - ends[turn]).tolist(), (n - begins[turn]).tolist(), weight[turn].tolist())
+            share = np.exp(np.array(alpha)[begins] + weight + np.array(beta)[n - ends] - alpha[n])
+            used[:-1] += np.bincount(names, share * times, len(self.weight))
+            used[-1] += times
+        return alpha[n] + self.pieces.stop
+
     def _block(self, data, start, size, times, used) -> np.ndarray:
         """One block of words, longest first, so that those that reach a place come first."""
         n = len(start)
@@ -176,6 +215,19 @@ class Lattice:
         return total + self.pieces.stop
 
 
+def _add_up(n: int, begins: list, ends: list, weights: list) -> list:
+    """Log of the summed weight of all ways to each place; edges in the order of their ends."""
+    total = [-math.inf] * (n + 1)
+    total[0] = 0.0
+    for s, e, w in zip(begins, ends, weights, strict=True):
+        way, old = total[s] + w, total[e]
+        if way > old:
+            way, old = old, way
+        # ``old`` is the larger one.
+        total[e] = old + math.log1p(math.exp(way - old)) if way > -math.inf else old
+    return total
+
+
 def _log_sum(terms: list[np.ndarray]) -> np.ndarray:
     stack = np.array(terms)
     top = stack.max(axis=0)
@@ -228,7 +280,7 @@ def learn(docs: DataFrame, path: str) -> Model:
         ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
         names = pa.BinaryArray.from_buffers(pa.binary(), len(size),
                                             [None, pa.py_buffer(ends), pa.py_buffer(flat)])
-        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), names, pa.array(times)],
+        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), names, pa.array(times.astype(np.int64))],
                                          ["w", "word", "n"])
 
     rows = (map_pieces(sample.select("text"), sampled, "w long, word binary, n long")
@@ -254,7 +306,8 @@ def learn(docs: DataFrame, path: str) -> Model:
 
         def emit(kind, key, value):
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(key), kind, np.int32)), pa.array(key), pa.array(value)],
+                [pa.array(np.full(len(key), kind, np.int32)), pa.array(key.astype(np.int64)),
+                 pa.array(value.astype(float))],
                 ["kind", "key", "n"])
 
         def flush():
