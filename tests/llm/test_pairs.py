@@ -137,8 +137,10 @@ def test_nearest_on_the_test_table(spark):
     assert found >= 0.9 * total
 
 
-def test_nearest_with_parts(spark):
+def test_nearest_with_parts(spark, monkeypatch):
     """Many parts, one vector that is there very often, and ties in the order of ids."""
+    monkeypatch.setattr(ann, "PART_ROWS", 500)
+    monkeypatch.setattr(ann, "BLOCK", 1000)
     rng = np.random.default_rng(1)
     centers = rng.normal(size=(40, 16))
     x = centers[rng.integers(0, 40, 9000)] + 0.4 * rng.normal(size=(9000, 16))

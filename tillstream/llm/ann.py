@@ -29,10 +29,10 @@ from tillstream.session import settle
 # Vectors, about, that the graph and the networks are fitted on.
 SAMPLE = 16_000
 # Rows that a part should hold, and the most parts that a sample of that size can teach.
-PART_ROWS, MOST_PARTS = 1_500, 128
+PART_ROWS, MOST_PARTS = 4_096, 128
 NEIGHBOURS, HIDDEN, EPOCHS = 20, 96, 30
-RECALL = 0.97
-BLOCK, QUERY_BLOCK = 4_096, 1_024
+RECALL = 0.95
+BLOCK, QUERY_BLOCK = 8_192, 512
 
 
 def usable(df: DataFrame, vector: str) -> DataFrame:
