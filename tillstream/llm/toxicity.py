@@ -112,7 +112,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     share = min(1.0, sample / max(n, 1))
     told = told.withColumn("sampled", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
                            < F.lit(int(share * (1 << 20))))
-    joined = docs.select("doc_id", "text").filter("text is not null").join(told, "doc_id")
+    # One way at every size: a broadcast of few labels would say nothing about many.
+    joined = docs.select("doc_id", "text").filter("text is not null").join(told.hint("merge"), "doc_id")
     found = settle(joined.select("text", "toxic", "sampled").mapInArrow(
         _count, "cell int, clean_docs long, toxic_docs long, toxic int, text string"), "toxicity")
     counts = (found.filter("cell is not null").groupBy("cell")
