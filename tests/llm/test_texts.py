@@ -306,3 +306,26 @@ def test_score_is_that_of_the_model(spark):
                    for w, q in zip(own, p, strict=True))
         want += math.log10((count[None] + 1) / (total + model.weight + 1))
         assert r["score"] == pytest.approx(want, rel=1e-6)
+
+
+def test_every_round_sees_all_training_words(spark):
+    # Words of 24 rare alphabets, each in few of many documents, so that a sample misses most of them.
+    rng = random.Random(12)
+    rows = []
+    for k in range(9000):
+        rare = "".join(chr(0x1200 + 40 * (k // 375) + rng.randrange(12)) for _ in range(6))
+        rows.append((k, f"common words of text {rng.randrange(50)} {rare if k % 25 == 0 else ''}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    count = Counter(w.encode() for _, t in rows for w in brute.words(t))
+    names = sorted(count)
+    data, size = np.frombuffer(b"".join(names), np.uint8), np.array([len(w) for w in names])
+    times = np.array([float(count[w]) for w in names])
+    pieces = lattice.vocabulary(path)
+    for _ in range(6):
+        pieces = lattice.refit(pieces, lattice.Lattice(pieces).run(data, np.cumsum(size) - size, size, times)[1])
+    model = lattice.learn(docs, path)
+    assert np.allclose(model.pieces.weight, pieces.weight, atol=1e-6)
+    assert model.weight == sum(n == 1 for n in count.values())
+    assert model.tokens == sum(count.values()) + len(rows) and model.ends == len(rows)
+    assert model.counts.max() == max(count.values())

@@ -4,12 +4,13 @@ The pieces of an existing subword vocabulary form a lattice over each word. A wo
 (one that begins a word), then further pieces, each followed by a stop or not. Its probability
 P(word) is the sum over all segmentations, by forward recursion in log space. The vocabulary's own
 scores give the first weights of the pieces; expectation-maximisation then fits them to the
-training words: some rounds on a sample of documents, and a last one over all of them.
+training words. All training documents are counted once, by a shuffle that leaves each word with its
+count; every round is over all of these words.
 
 A text is its words and one end. A token counted c times among N training tokens has the probability
 (c + a P(word)) / (N + a); ``a``, the weight of the lattice, is the number of words seen once in
-training (the mass that new words take), counted over all documents on a fixed share of the word
-hashes. Words of high count take a broadcast table of fixed size, all others one shuffle by word.
+training (the mass that new words take), counted exactly. Words of high count take a broadcast table
+of fixed size, all others one shuffle by word.
 
 Null texts count as empty and have one token, the end. With nothing to learn from, the words have
 the lattice probability of the vocabulary's scores. Repeated rows are answered each.
@@ -26,15 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstream.llm.batches import LOWER, map_pieces, pieces, row_bytes, words
+from tillstream.llm.batches import (LOWER, PIECE_BYTES, ROWS_PER_BATCH, map_pieces, pieces, row_bytes,
+                                    words)
 from tillstream.llm.langid import held_out
 from tillstream.session import settle
 
-# Documents, about, that the first rounds are fitted on, and words of the broadcast table.
-SAMPLE, FREQUENT = 4_000, 20_000
-SAMPLE_ROUNDS = 5
-# One in so many word hashes is looked at for the number of words seen once.
-HASH_SHARE = 16
+# Rounds of expectation-maximisation, each over all words, and words of the broadcast table.
+ROUNDS, FREQUENT = 6, 20_000
+# Distinct words sent to Python at once.
+WORD_ROWS = 4_096
 # Words worked on at once, and words one Python process remembers the probability of.
 BLOCK, REMEMBERED = 1 << 15, 1 << 21
 # Bytes from which on a word is worked on by itself.
@@ -264,54 +265,31 @@ def _distinct(piece: pa.RecordBatch, row_times: np.ndarray | None = None):
 
 
 def learn(docs: DataFrame, path: str) -> Model:
-    """Two readings of the training documents: a sample, then all."""
+    """One reading of the training documents for the words' counts, then rounds over all words."""
     spark = docs.sparkSession
-    begun = vocabulary(path)
-    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    n = docs.count()
-    share = min(1.0, SAMPLE / max(n, 1))
-    sample = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20))
-                         < F.lit(int(share * (1 << 20)) if share < 1 else 1 << 20))
-
-    def sampled(piece):
-        data, keys, start, size, times = _distinct(piece)
-        flat = data[np.repeat(start - np.concatenate([[0], np.cumsum(size)[:-1]]), size)
-                    + np.arange(size.sum())]
-        ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
-        names = pa.BinaryArray.from_buffers(pa.binary(), len(size),
-                                            [None, pa.py_buffer(ends), pa.py_buffer(flat)])
-        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), names, pa.array(times.astype(np.int64))],
-                                         ["w", "word", "n"])
-
-    rows = (map_pieces(sample.select("text"), sampled, "w long, word binary, n long")
-            .groupBy("w").agg(F.first("word").alias("word"), F.sum("n").alias("n")).toPandas())
-    model = begun
-    if len(rows):
-        data = np.frombuffer(b"".join(rows["word"]), np.uint8)
-        size = rows["word"].map(len).to_numpy()
-        start = np.cumsum(size) - size
-        times = rows["n"].to_numpy(float)
-        for _ in range(SAMPLE_ROUNDS):
-            model = refit(model, Lattice(model).run(data, start, size, times)[1])
-    frequent = rows.sort_values(["n", "w"], ascending=[False, True])["w"].head(FREQUENT)
-    frequent = np.sort(frequent.to_numpy(np.int64).view(np.uint64))
-    shared = spark.sparkContext.broadcast((model, frequent))
-
+    docs = docs.select(F.coalesce("text", F.lit("")).alias("text"))
+    counts = settle(_counted(docs), "word-counts")
+    tokens, once = counts.agg(F.sum("n"), F.count(F.when(F.col("n") == 1, 1))).first()
+    model = vocabulary(path)
+    if tokens:
+        for _ in range(ROUNDS):
+            model = refit(model, _uses(counts, model))
+    # At most FREQUENT rows come to the driver.
+    frequent = counts.orderBy(F.desc("n"), "w", "word").select("w", "n").limit(FREQUENT).toPandas()
+    known = frequent["w"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(known)
+    ends = docs.count()
+    return Model(model, known[order], frequent["n"].to_numpy(float)[order], (tokens or 0) + ends, ends,
+                 max(1.0, float(once)))
+
+
+def _counted(docs: DataFrame) -> DataFrame:
+    """Each word once: its hash, its bytes and how often it occurs."""
     def count(batches):
-        """Per partition: expected use of each piece, counts of frequent words and of the words
-        whose hash is looked at."""
-        lattice, known = Lattice(shared.value[0]), shared.value[1]
-        held, ends = [], 0
-        used = np.zeros(len(lattice.weight) + 1)
-
-        def emit(kind, key, value):
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(key), kind, np.int32)), pa.array(key.astype(np.int64)),
-                 pa.array(value.astype(float))],
-                ["kind", "key", "n"])
+        held = []
 
         def flush():
-            # Words of several pieces are summed up before they go through the lattice.
+            # Words of several pieces are summed up before they are sent.
             sizes = np.concatenate([h[3] for h in held])
             keys = np.concatenate([h[1] for h in held])
             base = np.cumsum([0, *(len(h[0]) for h in held)])
@@ -319,39 +297,64 @@ def learn(docs: DataFrame, path: str) -> Model:
             data = np.concatenate([h[0] for h in held])
             keys, first, at = np.unique(keys, return_index=True, return_inverse=True)
             times = np.bincount(at, np.concatenate([h[4] for h in held]), len(keys))
-            used[:] += lattice.run(data, start[first], sizes[first], times)[1]
-            place = np.minimum(np.searchsorted(known, keys), max(len(known) - 1, 0))
-            hit = known[place] == keys if len(known) else np.zeros(len(keys), bool)
-            looked = keys % np.uint64(HASH_SHARE) == 0
-            yield emit(1, keys[hit].view(np.int64), times[hit])
-            yield emit(2, keys[looked].view(np.int64), times[looked])
+            start, size = start[first], sizes[first]
+            ends = np.concatenate([[0], np.cumsum(size)])
+            flat = data[np.repeat(start - ends[:-1], size) + np.arange(ends[-1])]
+            names = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [
+                None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(flat)]).cast(pa.binary())
             held.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(keys.view(np.int64)), names, pa.array(times.astype(np.int64))], ["w", "word", "n"])
 
         for batch in batches:
-            ends += batch.num_rows
             for piece in pieces(batch, "text"):
                 held.append(_distinct(piece))
                 if len(held) == 16:
-                    yield from flush()
+                    yield flush()
+        if held:
+            yield flush()
+
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
+    return (docs.mapInArrow(count, "w long, word binary, n long")
+            .groupBy("w", "word").agg(F.sum("n").alias("n")))
+
+
+def _uses(counts: DataFrame, model: Pieces) -> np.ndarray:
+    """Expected use of each piece over all words, and last the number of words."""
+    shared = counts.sparkSession.sparkContext.broadcast(model)
+
+    def use(batches):
+        lattice = Lattice(shared.value)
+        used = np.zeros(len(lattice.weight) + 1)
+        held, n, bytes_held = [], 0, 0
+
+        def flush():
+            data = np.concatenate([h[0] for h in held])
+            size = np.concatenate([h[1] for h in held])
+            used[:] += lattice.run(data, np.cumsum(size) - size, size,
+                                   np.concatenate([h[2] for h in held]))[1]
+            held.clear()
+
+        for batch in batches:
+            data, offsets = row_bytes(batch.column("word"))
+            held.append((data, np.diff(offsets), batch.column("n").to_numpy().astype(float)))
+            n, bytes_held = n + batch.num_rows, bytes_held + len(data)
+            if n >= 4 * BLOCK or bytes_held >= 4 * PIECE_BYTES:
+                flush()
+                n, bytes_held = 0, 0
         if held:
-            yield from flush()
-        yield emit(0, np.arange(len(used)), used)
-        yield emit(3, np.zeros(1, np.int64), np.array([float(ends)]))
-
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 512)
-    counts = settle(docs.select("text").mapInArrow(count, "kind int, key long, n double")
-                    .groupBy("kind", "key").agg(F.sum("n").alias("n")), "word-counts")
-    # At most one row per piece and frequent word comes to the driver.
-    fixed = counts.filter("kind <> 2").toPandas()
-    once = counts.filter("kind = 2 and n = 1").count() * HASH_SHARE
-    uses = fixed[fixed["kind"] == 0]
-    used = np.zeros(len(begun.names) + 2)
-    used[uses["key"].to_numpy(int)] = uses["n"]
-    own = fixed[fixed["kind"] == 1].set_index("key")["n"]
-    ends = int(fixed[fixed["kind"] == 3]["n"].sum())
-    return Model(refit(model, used), frequent,
-                 own.reindex(frequent.view(np.int64), fill_value=0).to_numpy(float),
-                 int(round(used[-1])) + ends, ends, max(1.0, float(once)))
+            flush()
+        key = np.flatnonzero(used)
+        yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int32)), pa.array(used[key])], ["key", "n"])
+
+    spark = counts.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", WORD_ROWS)
+    # At most one row per piece comes to the driver.
+    found = counts.select("word", "n").mapInArrow(use, "key int, n double").groupBy("key").agg(
+        F.sum("n").alias("n")).toPandas()
+    used = np.zeros(len(model.names) + 2)
+    used[found["key"].to_numpy(int)] = found["n"]
+    return used
 
 
 _remembered: dict = {}
