@@ -232,6 +232,36 @@ def test_contexts_find_more(spark):
     assert all(got[k]["n_added"] == 0 for k in range(60))
 
 
+def test_contexts_find_numbers_in_groups_and_written_addresses(spark):
+    rng = random.Random(18)
+    rows = []
+    for k in range(60):
+        rows.append((k, f"{rng.random()} w. Please call me at +1 (017) 555-{1000 + k} from nine on"))
+        rows.append((100 + k, f"{rng.random()} w. Please write to user{k}@mail.example for more things"))
+        digits = next(d for d in (f"41111111{k:04}111{c}" for c in range(10)) if pii.luhn(d))
+        rows.append((200 + k, f"{rng.random()} w. It was paid by card {digits} in full"))
+    texts = {300: ("Please call me at (017) 555-7713 from nine on", "(017) 555-7713", "phone"),
+             301: ("It was paid by card 4111 1111 1111 1112 in full", "4111 1111 1111 1112", "card"),
+             302: ("Please write to jane dot doe at mail dot example for more", "jane dot doe at mail dot example", "email"),
+             303: ("seen elsewhere: 4111-1111-1111-1112 once", "4111-1111-1111-1112", "card"),
+             304: ("seen elsewhere [017] 555 7713 once", "[017] 555 7713", "phone"),
+             305: ("as of 4111 and 7713 and 2024", "", "")}
+    rows += [(k, t) for k, (t, *_) in texts.items()]
+    got = {r["doc_id"]: r["spans"] for r in pii.report(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k, (text, span, kind) in texts.items():
+        at = text.find(span)
+        assert got[k] == (f"{kind}:{at}:{at + len(span)}" if span else ""), (k, got[k])
+
+
+def test_rows_of_groups():
+    text = "4111 1111 1111 1112 5500 0000 0000 0004 4222 2222 2222 2223"
+    own = {text[s:e] for s, e, _ in pii.grouped(text, [])}
+    assert {text[:19], text[20:39], text[40:]} <= own
+    assert pii.grouped("1 " * 50_000, []) and not pii.grouped("x1 2y 3-4", [])
+    assert pii.written("a at b.c " * 5_000 + "a at b.de", [])[-1][2] == "a@b.de"
+
+
 # likelihoods
 
 def log_sum(values):

@@ -4,7 +4,9 @@ Base: e-mail and IP addresses, card and phone numbers by their form. They are th
 of values and contexts (the words before and after). A context is trusted by how many distinct
 values it holds and what part of them is known to be of one kind; a value by the contexts that it is
 in. Values that look like identifiers, were not found by their form, and are seen in enough trusted
-contexts become known, and the contexts are weighed anew. At the end every identifier-like string
+contexts become known, and the contexts are weighed anew. Such values are runs without blanks, numbers
+written in groups of digits with single blanks, brackets or hyphens between them, and addresses whose
+signs are written out ("at", "dot"). At the end every identifier-like string
 whose value is known is marked. All weighing is done by Spark joins and sums over all documents.
 
 Texts: null counts as empty and has no spans; whole texts are searched, in time linear in their
@@ -42,6 +44,18 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 # Identifier-like: a run of non-blanks with a digit, an at-sign or an underscore, without the
 # punctuation around it.
 _LIKE = re.compile(r"[0-9@_]")
+# Groups of digits of one number, and what may be between two of them.
+_GROUP = re.compile(r"[0-9]++")
+_BETWEEN = re.compile(r"(?=.)[)\]]?(?:[ ./-]| - )?[(\[]?", re.DOTALL)
+MOST_DIGITS = 19
+# Digits from which on the first group of a number in groups may be an identifier by itself.
+OWN_DIGITS = 7
+# The signs of an address written out, and the host behind it.
+_DOT = re.compile(r" ?[(\[{<] ?dot ?[)\]}>] ?| dot ", re.IGNORECASE | re.ASCII)
+_AT = re.compile(r" ?[(\[{<] ?at ?[)\]}>] ?| at ", re.IGNORECASE | re.ASCII)
+_HOST = re.compile(rf"[a-z0-9-]++(?:(?:\.|{_DOT.pattern})[a-z0-9-]++)*(?:\.|{_DOT.pattern})[a-z]{{2,}}(?![a-z0-9-])",
+                   re.IGNORECASE | re.ASCII)
+_DOT_END = re.compile(rf"(?:{_DOT.pattern})\Z", re.IGNORECASE | re.ASCII)
 _EDGE = " \t\n\r\x0b\x0c\"'`.,;:!?()[]{}<>|=*#%&$"
 
 
@@ -92,17 +106,20 @@ def base(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def like(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Identifier-like strings outside the spans."""
-    found, done, k = [], 0, 0
-    spans = sorted((s, e) for s, _, e in spans)
-    last, merged = -1, []
-    for s, e in spans:
-        if s < last:
-            merged[-1][1] = last = max(last, e)
+def _merged(spans: list[tuple[int, int, int]]) -> list[list[int]]:
+    """Start and end of what the spans cover, in order."""
+    merged: list[list[int]] = []
+    for s, e in sorted((s, e) for s, _, e in spans):
+        if merged and s < merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], e)
         else:
             merged.append([s, e])
-            last = e
+    return merged
+
+
+def like(text: str, merged: list[list[int]]) -> list[tuple[int, int]]:
+    """Identifier-like runs without blanks outside the spans."""
+    found, done, k = [], 0, 0
     for m in _LIKE.finditer(text):
         at = m.start()
         if at < done:
@@ -131,6 +148,102 @@ def like(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
     return found
 
 
+def grouped(text: str, merged: list[list[int]]) -> list[tuple[int, int, int]]:
+    """Numbers in several groups, with a blank or bracket between some of them, outside the spans:
+    start, end, and where the first group begins.
+
+    A row of groups is one number as far as it has ``MOST_DIGITS`` digits; a longer row is proposed
+    from each of its groups on, each time as long as it may be.
+    """
+    found: list[tuple[int, int, int]] = []
+    row: list[tuple[int, int]] = []
+
+    def propose():
+        last, digits = 0, 0
+        for first, (begin, _) in enumerate(row):
+            while last < len(row) and digits + row[last][1] - row[last][0] <= MOST_DIGITS:
+                digits += row[last][1] - row[last][0]
+                last += 1
+            if last > first:
+                start, end = begin, row[last - 1][1]
+                if any(c in " ()[]" for c in text[start:end]):
+                    if start and text[start - 1] in "([" and {"(": ")", "[": "]"}[text[start - 1]] in text[start:end]:
+                        start -= 1
+                    if start and text[start - 1] == "+":
+                        start -= 1
+                    found.append((start, end, begin))
+                digits -= row[first][1] - begin
+            else:
+                last = first + 1
+            if last == len(row):
+                break
+        row.clear()
+
+    def of_word(c: str) -> bool:
+        return c.isalnum() or c in "_@"
+
+    k = 0
+    for m in _GROUP.finditer(text):
+        s, e = m.span()
+        while k < len(merged) and merged[k][1] <= s:
+            k += 1
+        taken = k < len(merged) and merged[k][0] < e
+        if row and not (0 < s - row[-1][1] <= 5 and _BETWEEN.fullmatch(text, row[-1][1], s)):
+            propose()
+        if taken or s and of_word(text[s - 1]) or e < len(text) and of_word(text[e]):
+            propose()
+        else:
+            row.append((s, e))
+    propose()
+    return found
+
+
+def written(text: str, merged: list[list[int]]) -> list[tuple[int, int, str]]:
+    """Addresses with their signs written out, outside the spans: start, end, and the address."""
+    found, done, k = [], 0, 0
+    for m in _AT.finditer(text):
+        host = _HOST.match(text, m.end())
+        if not host:
+            continue
+        start = m.start()
+        while True:
+            part = start
+            while start > done and text[start - 1] in _LOCAL:
+                start -= 1
+            dot = _DOT_END.search(text, max(done, start - 8), start) if start < part else None
+            if not dot or dot.start() <= done or text[dot.start() - 1] not in _LOCAL:
+                break
+            start = dot.start()
+        if start == m.start():
+            continue
+        done = host.end()
+        while k < len(merged) and merged[k][1] <= start:
+            k += 1
+        if k == len(merged) or merged[k][0] >= done:
+            address = f"{_DOT.sub('.', text[start:m.start()])}@{_DOT.sub('.', host[0])}"
+            found.append((start, done, address.lower()))
+    return found
+
+
+def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, str, list[str]]]:
+    """Identifier-like strings outside the spans: start, end, value and contexts.
+
+    The first group of a number in groups is not what its context is about, unless it is long
+    enough by itself; it has a value but no contexts then.
+    """
+    merged = _merged(spans)
+    found = [(s, e, value, _beside(text, s, e)) for s, e, value in written(text, merged)]
+    taken = {(s, e) for s, e, *_ in found}
+    numbers = grouped(text, merged)
+    heads = {begin for *_, begin in numbers}
+    for s, e in like(text, merged):
+        if (s, e) not in taken:
+            first = s in heads or s + 1 in heads
+            short = first and len(_digits(text[s:e])) < OWN_DIGITS
+            found.append((s, e, _value(text[s:e]), [] if short else _beside(text, s, e)))
+    return found + [(s, e, _value(text[s:e]), _beside(text, s, e)) for s, e, _ in numbers]
+
+
 def _beside(text: str, start: int, end: int) -> list[str]:
     """The contexts of a span: two words before it, and one word before and after it."""
     before = text[max(0, start - BESIDE):start].lower().split()
@@ -158,9 +271,10 @@ def find(docs: DataFrame) -> DataFrame:
         for text in piece.column("text").to_pylist():
             text = text or ""
             spans = base(text)
-            every = [(s, e, k) for s, k, e in spans] + [(s, e, -1) for s, e in like(text, spans)]
-            rows.append([{"start": s, "end": e, "kind": k, "value": _value(text[s:e]),
-                          "beside": _beside(text, s, e)} for s, e, k in every])
+            every = [(s, e, k, _value(text[s:e]), _beside(text, s, e)) for s, k, e in spans]
+            every += [(s, e, -1, value, beside) for s, e, value, beside in candidates(text, spans)]
+            rows.append([{"start": s, "end": e, "kind": k, "value": value, "beside": beside}
+                         for s, e, k, value, beside in every])
         yield pa.RecordBatch.from_arrays(
             [*(piece.column(c) for c in ("doc_id", "_row1", "_row2")),
              pa.array(rows, pa.list_(_SPAN))], ["doc_id", "_row1", "_row2", "spans"])
