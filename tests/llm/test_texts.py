@@ -254,6 +254,18 @@ def test_contexts_find_numbers_in_groups_and_written_addresses(spark):
         assert got[k] == (f"{kind}:{at}:{at + len(span)}" if span else ""), (k, got[k])
 
 
+def test_chains_of_contexts_are_followed_to_the_end(spark):
+    # Each context is trusted only once the values that it shares with the one before are known.
+    rows = []
+    for k, w in enumerate("abcdef"):
+        own = [f"s{k}x{j}@mail.example" for j in range(50)] + [f"user_{k}x{j}" for j in range(10)]
+        own += [f"user_{k - 1}x{j}" for j in range(10)] if k else []
+        rows += [(f"{w}one {w}two {v} {w}end",) for v in own]
+    docs = spark.createDataFrame([(n, t) for n, (t,) in enumerate(rows)], "doc_id long, text string")
+    got = pii.report(docs).filter("n_added = 1").count()
+    assert got == sum("user_" in t for t, in rows)
+
+
 def test_rows_of_groups():
     text = "4111 1111 1111 1112 5500 0000 0000 0004 4222 2222 2222 2223"
     own = {text[s:e] for s, e, _ in pii.grouped(text, [])}

@@ -4,7 +4,7 @@ Base: e-mail and IP addresses, card and phone numbers by their form. They are th
 of values and contexts (the words before and after). A context is trusted by how many distinct
 values it holds and what part of them is known to be of one kind; a value by the contexts that it is
 in. Values that look like identifiers, were not found by their form, and are seen in enough trusted
-contexts become known, and the contexts are weighed anew. Such values are runs without blanks, numbers
+contexts become known, and the contexts are weighed anew, until a round adds no value. Such values are runs without blanks, numbers
 written in groups of digits with single blanks, brackets or hyphens between them, and addresses whose
 signs are written out ("at", "dot"). At the end every identifier-like string
 whose value is known is marked. All weighing is done by Spark joins and sums over all documents.
@@ -27,7 +27,6 @@ from tillstream.llm.lines import row_key
 from tillstream.session import settle
 
 KINDS = ["email", "ip", "card", "phone"]
-ROUNDS = 3
 # Distinct values that a context must hold, the part of them that must be of the kind, and the
 # weight that a value must reach.
 LEAST_VALUES, LEAST_PART, LEAST_WEIGHT = 8, 0.8, 0.95
@@ -290,7 +289,7 @@ def known_values(found: DataFrame) -> DataFrame:
     known = settle(each.filter("kind >= 0").select("value", "kind", F.lit(1.0).alias("weight")).distinct(),
                    "seeds")
     edges = settle(each.select("value", F.explode("beside").alias("beside")).distinct(), "edges")
-    for _ in range(ROUNDS):
+    while True:
         own = edges.join(known, "value", "left")
         # Values of several kinds count for each; the whole is the number of distinct values.
         whole = edges.groupBy("beside").agg(F.count("*").alias("values"))
@@ -307,9 +306,8 @@ def known_values(found: DataFrame) -> DataFrame:
             F.col("weight") >= LEAST_WEIGHT)
         best = settle(best, "values")
         if best.isEmpty():
-            break
+            return known
         known = settle(known.unionByName(best), "seeds")
-    return known
 
 
 def _name(kind: Column) -> Column:
