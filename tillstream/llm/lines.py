@@ -5,8 +5,9 @@ whose estimate is clearly beyond the threshold is boilerplate; estimates within
 of the threshold are settled by an exact distinct count of just those lines.
 
 A line is compared without the blanks around it; blank lines and null sites do not count. A document
-of which more than ``MOST`` of the characters are such lines is a copied document, not a page with
-boilerplate: it keeps them all, and near-duplicate removal decides on it. Null texts stay null and
+of which more than ``MOST`` of the characters are such lines keeps them all, as REPORT_SQL has it. Such
+a document may be a copy, but also a short page with much boilerplate, whose lines no later stage
+removes; ``most=1`` removes every such line from all documents. Null texts stay null and
 have no lines; a text that was not null stays so. Repeated rows are treated alike, wherever they
 are; all columns are kept.
 """
