@@ -1,17 +1,18 @@
-"""Repeated byte strings across documents, by refining buckets of suffixes.
+"""Repeated byte strings across documents, by minimizer buckets and window hashes.
 
-Suffixes are put into buckets by their first ``SEED`` bytes and refined by bucket identifiers of
-later offsets, until strings of ``LENGTH`` bytes are told apart. Bucket identifiers are hashes of
-content, so that all tasks agree on them without numbering, and identifiers of longer strings are
-made from those of shorter ones.
+This stands in for bucket-pointer refinement, which sorts all suffixes into buckets and refines them
+by the bucket identifiers of later offsets: that needs a row for every byte and a shuffle for every
+doubling of the length. Here nothing is refined by later offsets. Buckets are those of one seed of
+``SEED`` bytes per window, and what shares a bucket is told apart by hashes taken straight from the
+text; hashes of content, so that all tasks agree on them without numbering.
 
 Only some suffixes need a bucket: each window of ``LENGTH`` bytes chooses the seed of smallest hash
 within it. Equal windows choose the same seed, so whatever repeats meets in a bucket. Neighbouring
 windows mostly choose the same one; they are one suffix with a run of windows.
 
-1. Buckets by seed, refined by the whole run: if a document with a smaller id has the same run, all
+1. Buckets by seed, told apart by the whole run: if a document with a smaller id has the same run, all
    its windows are repeats. Most repeats end here, at one row for some fifteen windows.
-2. Runs that share their seed with another document, but not the run, are refined window by window.
+2. Runs that share their seed with another document, but not the run, are compared window by window.
 3. Repeated windows are laid over the documents' bytes.
 
 A document that is there a third of a million times costs one row per piece of input and run, as
