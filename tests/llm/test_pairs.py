@@ -164,6 +164,12 @@ def test_nearest_with_parts(spark, monkeypatch):
     assert found >= 0.9 * total
 
 
+def test_small_tables_have_parts(spark):
+    rows = ann.usable(spark.read.parquet(f"{brute.SF}/embeddings.parquet"), "embedding")
+    index = ann.build(rows, rows.count())
+    assert index.parts >= 4 and 1 <= index.visits <= index.parts and ann.RECALL >= 0.97
+
+
 def test_nearest_of_awkward_vectors(spark):
     rows = [(0, [1.0, 0.0]), (20, None), (40, [0.0, 0.0]), (60, [float("nan"), 1.0]), (80, [None, 1.0]),
             (100, [1.0, 2.0, 3.0]), (3, [2.0, 0.0]), (2, [2.0, 0.0]), (5, [-1.0, 0.0]),

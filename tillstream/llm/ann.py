@@ -28,10 +28,11 @@ from tillstream.session import settle
 
 # Vectors, about, that the graph and the networks are fitted on.
 SAMPLE = 16_000
-# Rows that a part should hold, and the most parts that a sample of that size can teach.
-PART_ROWS, MOST_PARTS = 4_096, 128
+# Rows that a part should hold, the parts that there are at any size, and the most that a sample of
+# that size can teach.
+PART_ROWS, LEAST_PARTS, MOST_PARTS = 4_096, 4, 128
 NEIGHBOURS, HIDDEN, EPOCHS = 20, 96, 30
-RECALL = 0.95
+RECALL = 0.97
 BLOCK, QUERY_BLOCK = 8_192, 512
 
 
@@ -174,7 +175,7 @@ def build(rows: DataFrame, n: int) -> Index:
     data = chosen.toPandas().sort_values("vec_id")
     ids, x = data["vec_id"].to_numpy(), np.array(data["v"].tolist())
     parts = 1
-    while parts < MOST_PARTS and parts * PART_ROWS < n and parts * 64 < len(ids):
+    while parts < MOST_PARTS and (parts < LEAST_PARTS or parts * PART_ROWS < n) and parts * 64 < len(ids):
         parts *= 2
     if parts == 1:
         none = Network([np.zeros((x.shape[1] if len(x) else 1, 1)), np.zeros(1),
