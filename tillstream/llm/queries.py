@@ -8,7 +8,8 @@ from dataclasses import dataclass
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstream.llm import ann, bpe, contamination, langid, lattice, lines, neardup, pii, repeats, toxicity
+from tillstream.llm import (ann, bpe, contamination, idfiles, langid, lattice, lines, neardup, pii, repeats,
+                            toxicity)
 
 
 @dataclass(frozen=True)
@@ -66,6 +67,10 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_id_files(spark, sf_dir):
+    return idfiles.report(table(spark, sf_dir, "documents"), word_vocabulary())
+
+
 def entries() -> dict[str, Entry]:
     return {
         "op1_near_dedup": Entry(op1_near_dedup),
@@ -78,4 +83,5 @@ def entries() -> dict[str, Entry]:
         "op8_line_dedup": Entry(op8_line_dedup, lines.REPORT_SQL),
         "op9_repeats": Entry(op9_repeats),
         "op10_toxicity": Entry(op10_toxicity),
+        "op11_id_files": Entry(op11_id_files),
     }
