@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tillstream.llm import (ann, bpe, contamination, idfiles, langid, lattice, lines, neardup, pii, repeats,
-                            toxicity)
+                            toxicity, whitening)
 
 
 @dataclass(frozen=True)
@@ -71,6 +71,10 @@ def op11_id_files(spark, sf_dir):
     return idfiles.report(table(spark, sf_dir, "documents"), word_vocabulary())
 
 
+def op13_whitening(spark, sf_dir):
+    return whitening.report(table(spark, sf_dir, "embeddings"))
+
+
 def entries() -> dict[str, Entry]:
     return {
         "op1_near_dedup": Entry(op1_near_dedup),
@@ -84,4 +88,5 @@ def entries() -> dict[str, Entry]:
         "op9_repeats": Entry(op9_repeats),
         "op10_toxicity": Entry(op10_toxicity),
         "op11_id_files": Entry(op11_id_files),
+        "op13_whitening": Entry(op13_whitening),
     }
