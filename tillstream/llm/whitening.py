@@ -139,13 +139,14 @@ def leading(v: np.ndarray, most: int) -> list[Component]:
             break
         low, high = _slice(v, k, 0.0, 1 + 1e-9, 4 * noise)
         before = [c.vector for c in found]
-        value, vector = _quotient_iteration(v, low, high, before, noise)
-        while not low - noise <= value <= high + noise and high - low > 4 * noise:
+        while True:
+            value, vector = _quotient_iteration(v, low, high, before, noise)
+            certified = above(v, value - 8 * noise) >= k > above(v, value + 8 * noise)
+            if certified or high - low <= 4 * noise:
+                break
             # It went to a neighbour all the same: start over from half the interval.
             middle = (low + high) / 2
             low, high = (middle, high) if above(v, middle) >= k else (low, middle)
-            value, vector = _quotient_iteration(v, low, high, before, noise)
-        certified = above(v, value - 8 * noise) >= k > above(v, value + 8 * noise)
         found.append(Component(value * trace, vector, certified))
     if not all(c.certified for c in found):
         raise ArithmeticError("counts of eigenvalues do not agree with the components found")
