@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tillstream.llm import (ann, bpe, contamination, idfiles, langid, lattice, lines, neardup, pii, repeats,
-                            toxicity, whitening)
+                            toxicity, turns, whitening)
 
 
 @dataclass(frozen=True)
@@ -71,6 +71,10 @@ def op11_id_files(spark, sf_dir):
     return idfiles.report(table(spark, sf_dir, "documents"), word_vocabulary())
 
 
+def op12_turn_repair(spark, sf_dir):
+    return turns.report(table(spark, sf_dir, "conversations"))
+
+
 def op13_whitening(spark, sf_dir):
     return whitening.report(table(spark, sf_dir, "embeddings"))
 
@@ -88,5 +92,6 @@ def entries() -> dict[str, Entry]:
         "op9_repeats": Entry(op9_repeats),
         "op10_toxicity": Entry(op10_toxicity),
         "op11_id_files": Entry(op11_id_files),
+        "op12_turn_repair": Entry(op12_turn_repair),
         "op13_whitening": Entry(op13_whitening),
     }
