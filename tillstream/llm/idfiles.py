@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tillstream.llm.batches import row_bytes
+from tillstream.llm.batches import LOWER, SPACES, row_bytes
 from tillstream.session import run_dir, settle
 
 MAGIC = b"TSIDS001"
@@ -49,7 +49,9 @@ DICTIONARY_BYTES, SAMPLE_PIECES, PIECE_CHARS = 112_640, 1_000, 4_096
 BATCH_BYTES, BLOCK, REMEMBERED = 16 << 20, 65_536, 1_000_000
 # A blank before the marks that end a word changes no token: white space is dropped, and letter and
 # mark never share a token. It halves the number of different words.
-_MARKS = r"([a-zß-öø-ÿ])([.,!?;:]+)(\s|$)"
+_MARKS = r"([a-zß-öø-ÿ])([.,!?;:]+)( |$)"
+# Lower-case bytes with a blank for each white one: the vocabulary does not tell them apart.
+_PLAIN = np.where(SPACES, np.uint8(32), LOWER)
 
 
 class Encoder:
@@ -81,14 +83,14 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in order, and the n + 1 offsets of the texts in them."""
-        texts = texts.fill_null("").cast(pa.large_string())
-        lower = pc.ascii_lower(texts)
+        data, ends = row_bytes(texts)
+        lower = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(ends), pa.py_buffer(_PLAIN[data]))
         odd = pa.array(np.zeros(len(texts), bool))
         for name in self.special:
             # A special token is one only as it is written; such texts are encoded as they are.
             odd = pc.or_(odd, pc.match_substring(lower, name.lower()))
         plain = pc.if_else(odd, "", lower) if pc.any(odd).as_py() else lower
-        lists = pc.ascii_split_whitespace(pc.replace_substring_regex(plain, _MARKS, r"\1 \2\3"))
+        lists = pc.split_pattern(pc.replace_substring_regex(plain, _MARKS, r"\1 \2\3"), " ")
         words = lists.flatten().dictionary_encode()
         different = words.dictionary.to_pylist()
         self._learn(different)
@@ -104,7 +106,7 @@ class Encoder:
         if len(rows):
             own = [flat[a:b] for a, b in zip(ends, ends[1:], strict=False)]
             for k in rows:
-                own[k] = np.array(self.library.encode(texts[int(k)].as_py(), add_special_tokens=False).ids, "<u4")
+                own[k] = np.array(self.library.encode(texts[int(k)].as_py() or "", add_special_tokens=False).ids, "<u4")
             flat, ends = np.concatenate(own), np.cumsum([0, *map(len, own)])
         return flat, ends
 
