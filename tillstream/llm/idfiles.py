@@ -46,7 +46,7 @@ LEVEL = 3
 # The dictionary: its size, and the bounded sample of text pieces (of all documents) it is trained on.
 DICTIONARY_BYTES, SAMPLE_PIECES, PIECE_CHARS = 112_640, 1_000, 4_096
 # Text worked on at once, index records read at once, and words one Python process remembers.
-BATCH_BYTES, BLOCK, REMEMBERED = 16 << 20, 65_536, 1_000_000
+BATCH_BYTES, BLOCK, REMEMBERED = 8 << 20, 65_536, 400_000
 # A blank before the marks that end a word changes no token: white space is dropped, and letter and
 # mark never share a token. It halves the number of different words.
 _MARKS = r"([a-zß-öø-ÿ])([.,!?;:]+)( |$)"
