@@ -16,7 +16,8 @@ from tillstream.sources.current import read_current
 from tillstream.sources.seed import load_seed
 from tillstream.specs import spec
 from tillstream.streaming.flows import (
-    bronze_files, bronze_replay, bronze_replay_from, bronze_stream, silver_stream)
+    bronze_files, bronze_files_aside, bronze_replay, bronze_replay_from, bronze_stream, bronze_stream_aside,
+    silver_stream)
 from tillstream.streaming.runs import late_rows
 
 ORDERS = spec("orders")
@@ -179,3 +180,46 @@ def test_seed_matches_its_schemas(spark):
 def test_message_shape():
     assert json.loads(order(1, START))["payload"]["after"]["order_id"] == 1
     assert timedelta(milliseconds=HOUR) == timedelta(hours=1)
+
+
+def test_nothing_is_lost_beside_a_stream(spark, tmp_path):
+    """Each message is in bronze, or aside with its reason, once; also when a batch is run again."""
+    base = str(tmp_path)
+    args = (spark, ORDERS, f"{base}/in", f"{base}/bronze", f"{base}/state", f"{base}/aside")
+    put(spark, f"{base}/in", order(1, START + 5 * HOUR), order(1, START + 5 * HOUR), message("d"), "", "{broken",
+        order(2, START + 4 * HOUR, "paid"), message(ts=str(START), **{**ORDER, "order_date": "soon"}))
+    bronze_stream_aside(*args)
+    put(spark, f"{base}/in", order(1, START + 5 * HOUR), order(3, START + HOUR), order(4, START + 6 * HOUR),
+        order(2, START + 4 * HOUR, "paid"), order(2, START + 5 * HOUR, "late payment"), "[]")
+    bronze_stream_aside(*args)
+
+    def state():
+        bronze, late, rejects = (spark.read.parquet(f"{base}/{p}") for p in ("bronze", "aside/late", "aside/rejects"))
+        return (sorted((r.order_id, r.payment_status) for r in bronze.collect()),
+                sorted((r.order_id, r.batch) for r in late.collect()),
+                sorted((r.reason, r.batch) for r in rejects.collect()))
+
+    first = state()
+    assert first == ([(1, "pending"), (2, "late payment"), (2, "paid"), (4, "pending")], [(2, 1), (3, 1)],
+                     [("malformed message", 0), ("malformed message", 1), ("unreadable: order_date", 0)])
+    # As after a host that died before the second batch was recorded as done.
+    for name in ("1", ".1.crc"):
+        (tmp_path / "state" / "query" / "commits" / name).unlink()
+    bronze_stream_aside(*args)
+    assert state() == first
+
+
+def test_file_drops_by_month_with_rejects(spark, tmp_path):
+    base, skus = str(tmp_path), spec("products_sku")
+    rows = spark.createDataFrame([("1", "A", "9.50"), ("2", "B", "cheap"), ("3", "C", None)], "sku_id string, sku string, price string")
+    drop = tables.align_to(rows, skus.drop_schema())
+    for day, now in (("20240131", "2024-01-31 01:00:00"), ("20240201", "2024-02-01 01:00:00"),
+                     ("20240202", "2024-02-02 01:00:00")):
+        drop.write.parquet(f"{base}/drop/dt={day}")
+        bronze_files_aside(spark, skus, f"{base}/drop", f"{base}/bronze", f"{base}/state", f"{base}/aside",
+                           F.lit(now).cast("timestamp"))
+    # A batch goes by the times of those before it: the second day still knows the first, the third not.
+    got = spark.read.parquet(f"{base}/bronze").select("sku_id", "month", "batch").collect()
+    assert sorted(map(tuple, got)) == [(1, 202401, 0), (1, 202402, 2), (3, 202401, 0), (3, 202402, 2)]
+    bad = spark.read.parquet(f"{base}/aside/rejects").collect()
+    assert [(json.loads(r.value)["price"], r.reason) for r in bad] == [("cheap", "unreadable: price")] * 3

@@ -15,7 +15,8 @@ from tillstream.operators import decode, latest
 from tillstream.session import run_dir
 from tillstream.sources.tables import extract_full, spread, to_drop
 from tillstream.specs import SPECS
-from tillstream.streaming.flows import bronze_files, bronze_replay, bronze_replay_from, bronze_stream
+from tillstream.streaming.flows import (
+    bronze_files, bronze_files_aside, bronze_replay, bronze_replay_from, bronze_stream, bronze_stream_aside)
 
 CATALOG = Catalog()
 
@@ -163,6 +164,88 @@ def drop_field_rejects(spark, sf_dir):
         F.col("sku_id").cast("bigint").alias("sku_id"), "reason")
 
 
+def _order_id(value: str = "value"):
+    return F.get_json_object(value, "$.payload.after.order_id").cast("bigint").alias("order_id")
+
+
+@CATALOG.query("stream_rejects", f"""{ctes("orders")}
+    select order_id, {_SPOILED} as reason from orders where order_id % 4 < 3
+    union all select null, 'malformed message' from events""")
+def stream_rejects(spark, sf_dir):
+    """What a stream of good, spoiled and malformed messages leaves in its side table."""
+    base = run_dir(spark, "rejects")
+    bad = table(spark, sf_dir, "events").select(F.col("props").alias("value"))
+    _spoiled(spark, sf_dir).unionByName(bad).write.text(f"{base}/in")
+    bronze_stream_aside(spark, SPECS["orders"], f"{base}/in", f"{base}/bronze", f"{base}/state", f"{base}/aside")
+    return spark.read.parquet(f"{base}/aside/rejects").select(_order_id(), "reason")
+
+
+_DELAY = "60 days"
+_AT_SQL = "o_orderdate + (o_orderkey % 24) * interval 1 hour"
+
+
+def _two_deliveries(spark, sf_dir):
+    """Bronze and side folders of two deliveries: orders with an even key, then the others along with
+    every third of the first ones again. Orders are sent at an hour of their day."""
+    base, spec = run_dir(spark, "late"), SPECS["orders"]
+    sent = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("k"), F.unix_millis(F.expr(_AT_SQL)).cast("string").alias("ts_ms"))
+    payload = F.struct(F.lit("c").alias("op"), F.struct(F.col("k").alias("order_id")).alias("after"), "ts_ms")
+    body = F.to_json(F.struct(payload.alias("payload"))).alias("value")
+    for wanted in ("k % 2 = 0", "k % 2 = 1 or k % 6 = 0"):
+        sent.filter(wanted).select(body).write.mode("append").text(f"{base}/in")
+        bronze_stream_aside(spark, spec, f"{base}/in", f"{base}/bronze", f"{base}/state", f"{base}/aside", _DELAY)
+    return base
+
+
+_MARK_SQL = f"(select max({_AT_SQL}) - interval {_DELAY} from orders where o_orderkey % 2 = 0)"
+
+
+@CATALOG.query("stream_late_rows", f"""
+    select o_orderkey as order_id, {_AT_SQL} as ingestion_time from orders
+    where (o_orderkey % 2 = 1 or o_orderkey % 6 = 0) and {_AT_SQL} <= {_MARK_SQL}""")
+def stream_late_rows(spark, sf_dir):
+    late = spark.read.parquet(f"{_two_deliveries(spark, sf_dir)}/aside/late")
+    return late.select("order_id", "ingestion_time")
+
+
+@CATALOG.query("stream_in_time", f"""
+    select o_orderkey as order_id, {_AT_SQL} as ingestion_time from orders
+    where o_orderkey % 2 = 0 or {_AT_SQL} > {_MARK_SQL}""")
+def stream_in_time(spark, sf_dir):
+    """The bronze rows of the same flow: repeats once, late rows not."""
+    rows = spark.read.parquet(f"{_two_deliveries(spark, sf_dir)}/bronze")
+    return rows.select("order_id", "ingestion_time")
+
+
+def _spoiled_drop(spark, sf_dir):
+    """SKUs as a file drop, every third with a price that is none; both tables of the load."""
+    base, spec = run_dir(spark, "drops"), SPECS["products_sku"]
+    rows = to_drop(entity(spark, sf_dir, "products_sku"), spec)
+    spoiled = rows.withColumn("price", F.when(F.col("sku_id").cast("bigint") % 3 == 0, "cheap").otherwise(F.col("price")))
+    extract_full(spoiled, f"{base}/drop", date(2024, 1, 2))
+    bronze_files_aside(spark, spec, f"{base}/drop", f"{base}/bronze", f"{base}/state", f"{base}/aside",
+                       now=F.lit("2024-01-02 01:00:00").cast("timestamp"))
+    return base
+
+
+@CATALOG.query("files_rejects", f"""{ctes("products_sku")}
+    select sku_id, sku, 'cheap' as price, 'unreadable: price' as reason from products_sku where sku_id % 3 = 0""")
+def files_rejects(spark, sf_dir):
+    found = spark.read.parquet(f"{_spoiled_drop(spark, sf_dir)}/aside/rejects")
+    body = {c: F.get_json_object("value", f"$.{c}") for c in ("sku_id", "sku", "price")}
+    return found.select(body["sku_id"].cast("bigint").alias("sku_id"), body["sku"].alias("sku"),
+                        body["price"].alias("price"), "reason")
+
+
+@CATALOG.query("files_by_month", f"""{ctes("products_sku")}
+    select sku_id, sku, price, '202401' as month from products_sku where sku_id % 3 <> 0""")
+def files_by_month(spark, sf_dir):
+    """The good rows of the same load, in month folders."""
+    rows = spark.read.parquet(f"{_spoiled_drop(spark, sf_dir)}/bronze")
+    return rows.select("sku_id", "sku", "price", F.col("month").cast("string").alias("month"))
+
+
 @CATALOG.query("cdc_deletes_kept", f"""{log_sql("orders")}
     select order_id, transaction_type, payment_status, total_amount, ingestion_time from log
     union all

@@ -48,6 +48,11 @@ def dedup_hash(df: DataFrame) -> DataFrame:
     return dedup_batch(df, [])
 
 
+def month_floor(bound) -> Column:
+    """The label of the month that ``bound`` lies in; the label ``none`` sorts after all months."""
+    return F.date_format(bound, "yyyyMM")
+
+
 def recent(df: DataFrame, as_of, days: int = 14, col: str = "ingestion_time") -> DataFrame:
     """Rows since midnight ``days`` days before ``as_of``.
 

@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.operators.decode import decode_cdc, decode_drop
+from tillstream.operators.decode import KEPT_OPS, decode_cdc, decode_drop, judge_cdc, judge_drop
 from tillstream.operators.latest import dedup_batch, recent
 from tillstream.operators.merge import MergeResult, merge_upsert
 from tillstream.sources.cdc import cdc_batch, cdc_stream
 from tillstream.sources.current import merge_into
-from tillstream.sources.tables import file_stream, with_month_partition
+from tillstream.sources.tables import by_month, file_stream, with_month_partition
 from tillstream.specs import TableSpec
 from tillstream.streaming.runs import (
-    WATERMARK, dedup_stream, run_available_now, with_event_time)
+    WATERMARK, dedup_stream, run_available_now, split_late, with_event_time)
 
 
 def bronze_stream(spark: SparkSession, spec: TableSpec, source: str | dict, sink: str,
@@ -45,6 +45,58 @@ def bronze_files(spark: SparkSession, spec: TableSpec, folder: str, sink: str, c
     return run_available_now(unique, sink, checkpoint)
 
 
+def bronze_stream_aside(spark: SparkSession, spec: TableSpec, source: str | dict, sink: str, checkpoint: str,
+                        aside: str, delay: str = WATERMARK, max_files: int | None = None):
+    """:func:`bronze_stream` that loses nothing: messages that cannot be read go to ``aside``/rejects
+    (value, reason), rows behind the watermark to ``aside``/late (bronze columns)."""
+    judged = judge_cdc(cdc_stream(spark, source, max_files), spec, KEPT_OPS)
+    return _run_aside(judged, spec, sink, checkpoint, aside, delay)
+
+
+def bronze_files_aside(spark: SparkSession, spec: TableSpec, folder: str, sink: str, checkpoint: str, aside: str,
+                       now: Column | None = None, hash_mode: str = "typed", delay: str = WATERMARK,
+                       max_files: int | None = None):
+    """:func:`bronze_files`, laid out by month, with unreadable rows (as JSON) and late ones kept."""
+    drops = file_stream(spark, folder, spec.drop_schema(), max_files)
+    judged = judge_drop(drops, spec, F.current_timestamp() if now is None else now, hash_mode,
+                        F.col("_metadata.file_path"))
+    return _run_aside(judged, spec, sink, checkpoint, aside, delay)
+
+
+def _run_aside(judged: DataFrame, spec: TableSpec, sink: str, checkpoint: str, aside: str, delay: str):
+    """One parse, three sinks in one micro-batch.
+
+    Each batch writes folders of its own (``batch=id``) and replaces them when it is run again after a
+    failure, so that each row is in one of them once. What it needs to know of earlier batches it reads
+    from tables they wrote: the newest event time of each, and the bronze rows young enough to repeat.
+    """
+    names = spec.bronze_schema().names
+
+    def split(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist()          # parsed once, read by each sink
+        try:
+            good = batch.filter("reason is null").select(*names)
+            fresh, late = split_late(spark, good, sink, f"{checkpoint}/times", batch_id, [*spec.key, "hash"], delay)
+            _put_batch(batch.filter("reason is not null").select("value", "reason"), f"{aside}/rejects", batch_id)
+            _put_batch(late, f"{aside}/late", batch_id)
+            rows = dedup_batch(fresh, spec.key).withColumn("batch", F.lit(batch_id))
+            (by_month(rows, "ingestion_time").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("month", "batch").parquet(sink))
+            _put_batch(good.agg(F.max("ingestion_time").alias("newest")), f"{checkpoint}/times", batch_id)
+        finally:
+            batch.unpersist()
+
+    query = (judged.writeStream.foreachBatch(split).option("checkpointLocation", f"{checkpoint}/query")
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    return query
+
+
+def _put_batch(rows: DataFrame, path: str, batch_id: int) -> None:
+    rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+
 def silver_load(spec: TableSpec, bronze: DataFrame, silver: DataFrame, as_of, now=None,
                 days: int = 14, **options) -> MergeResult:
     """Scheduled load: look-back window, newest row per key, merge."""

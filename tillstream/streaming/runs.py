@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tillstream.operators.latest import month_floor
+
 WATERMARK = "1 hour"
 
 
@@ -48,3 +53,29 @@ def late_rows(query: StreamingQuery) -> int:
     """Rows the stateful operators dropped for being behind the watermark."""
     return sum(int(op["numRowsDroppedByWatermark"])
                for progress in query.recentProgress for op in progress["stateOperators"])
+
+
+def split_late(spark: SparkSession, rows: DataFrame, sink: str, times: str, batch_id: int, key: Sequence[str],
+               delay: str = WATERMARK) -> tuple[DataFrame, DataFrame]:
+    """Rows of a micro-batch that are new, and those behind the watermark; repeats are in neither.
+
+    The watermark is the newest event time of the earlier batches, less ``delay``; it is read from
+    ``times``, where each batch leaves its newest time, so a batch that is run again sees the same one.
+    A repeat bears the key of a row in ``sink`` (months and batches as folders) that an earlier batch
+    wrote and that is not older than the watermark by more than ``delay``: the span for which a stateful
+    stream remembers a key. Rows without an event time are never late.
+    """
+    at = F.col("ingestion_time")
+    if batch_id == 0:
+        return rows, rows.filter(F.lit(False))
+    newest = (spark.read.schema("newest timestamp, batch long").parquet(times)
+              .filter(F.col("batch") < batch_id).agg(F.max("newest")).first()[0])
+    if newest is None:
+        return rows, rows.filter(F.lit(False))
+    mark = F.lit(newest) - F.expr(f"interval {delay}")
+    behind = F.coalesce(at <= mark, F.lit(False))
+    since = mark - F.expr(f"interval {delay}")
+    stored = spark.read.schema(f"{rows.schema.toDDL()}, month string, batch long").parquet(sink)
+    known = (stored.filter((F.col("batch") < batch_id) & (F.col("month") >= month_floor(since))
+                           & ((at >= since) | at.isNull())).select(*key).distinct())
+    return rows.filter(~behind).join(known, list(key), "left_anti").select(*rows.columns), rows.filter(behind)
