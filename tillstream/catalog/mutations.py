@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tillstream.catalog.mapping import ctes, entity, table
 from tillstream.catalog.registry import Catalog
 from tillstream.functions.ids import assign_business_id, assign_sequence
-from tillstream.functions.pii import decrypt
+from tillstream.functions.pii import decrypt, encrypt
 from tillstream.operators import entity_ops, mutate, quality
 from tillstream.specs import LEDGER_SIDES, ORDER_STATES, SHIPMENT_STATES, TRACKING_STATES
 
@@ -473,3 +473,84 @@ def soft_delete_products(spark, sf_dir):
     t = {n: entity(spark, sf_dir, n) for n in ("products", "products_sku")}
     return entity_ops.soft_delete_rows("products", t, t["products"].select("product_id"),
                                        NOW).df.select("product_id", "deleted_at")
+
+
+# Two requests per customer: the second takes the first one's e-mail (segment BUILDING) or phone (MACHINERY).
+# Some first ones bear a stored e-mail or phone, or none that is well-formed, so that their second stands.
+_CLAIMS = """
+    select c_custkey * 2 + i as n, c_name as name,
+           case when i = 0 and c_nationkey = 3 then concat('user', cast(c_custkey as string), '@example.com')
+                when i = 0 and c_nationkey = 4 then 'no address'
+                when i = 1 and c_mktsegment <> 'BUILDING' then concat('b', cast(c_custkey as string), '@new.example')
+                else concat('a', cast(c_custkey as string), '@new.example') end as email,
+           case when i = 0 and c_nationkey = 5 then concat('84', lpad(cast(c_custkey as string), 9, '0'))
+                when i = 1 and c_mktsegment <> 'MACHINERY' then concat('77', lpad(cast(c_custkey as string), 9, '0'))
+                else concat('76', lpad(cast(c_custkey as string), 9, '0')) end as phone,
+           concat('Nation ', cast(c_nationkey as string)) as address
+    from {customer} cross join (select 0 as i union all select 1 as i) as twice"""
+
+
+@CATALOG.query("insert_customers_unique", f"""with r as ({_CLAIMS.format(customer="customer")}),
+    t as (select *, case when not {_MAIL_OK} then 'chk_email_format'
+                when email like 'user%' then 'email already exists'
+                when phone like '84%' then 'phone already exists' end as first_reason from r),
+    w as (select *, count(*) filter (where first_reason is null) over (
+                        partition by email order by n rows between unbounded preceding and 1 preceding) as mails,
+                    count(*) filter (where first_reason is null) over (
+                        partition by phone order by n rows between unbounded preceding and 1 preceding) as phones
+          from t)
+    select n, email, coalesce(first_reason, case when mails > 0 then 'email: {mutate.REPEATED}'
+        when phones > 0 then 'phone: {mutate.REPEATED}' end, 'inserted') as outcome from w""")
+def insert_customers_unique(spark, sf_dir):
+    """E-mail and phone are unique, though the table holds them encrypted."""
+    stored = encrypt(entity(spark, sf_dir, "customers"), ["email", "phone"], _SECRET)
+    requests = spark.sql(_CLAIMS, customer=table(spark, sf_dir, "customer"))
+    done = entity_ops.insert_rows("customers", {"customers": stored}, requests, ["n"], 100_000, NOW, secret=_SECRET)
+    refused = done.rejected.select("n", "email", F.col("reason").alias("outcome"))
+    bad = F.when(F.col("outcome").startswith("chk_email"), "chk_email_format").otherwise(F.col("outcome"))
+    kept = decrypt(done.inserted, ["email"], _SECRET).select("email").join(requests.select("n", "email"), "email")
+    # An e-mail that was inserted once may stand in a refused request as well.
+    kept = kept.join(refused, "n", "left_anti").select("n", "email", F.lit("inserted").alias("outcome"))
+    return refused.withColumn("outcome", bad).unionByName(kept)
+
+
+_PLACES = """
+    select l_orderkey * 10 + l_linenumber as n, l_suppkey + case when l_quantity > 25 then 1 else 100001 end as warehouse_id,
+           concat('PROD_', lpad(cast(l_partkey + 1 as string),
+                cast(greatest(5, length(cast(l_partkey + 1 as string))) as int), '0')) as product_id,
+           case when l_linenumber < 6 then l_partkey + 1 end as sku_id, cast(l_quantity as int) as stock_quantity,
+           l_extendedprice as price
+    from {lineitem}"""
+
+
+@CATALOG.query("insert_inventory_unique", f"""{ctes("inventory")}, r as ({_PLACES.format(lineitem="lineitem")}),
+    w as (select *, row_number() over (partition by warehouse_id, product_id, sku_id order by n, stock_quantity, price) as i
+          from r)
+    select n, stock_quantity, price, case when sku_id is null then null
+        when exists (select 1 from inventory v where v.warehouse_id = w.warehouse_id and v.product_id = w.product_id
+                     and v.sku_id = w.sku_id) then 'warehouse_id, product_id, sku_id already exists'
+        when i > 1 then 'warehouse_id, product_id, sku_id: {mutate.REPEATED}' end as reason
+    from w where sku_id is not null and (i > 1 or exists (
+        select 1 from inventory v where v.warehouse_id = w.warehouse_id and v.product_id = w.product_id
+        and v.sku_id = w.sku_id))""")
+def insert_inventory_unique(spark, sf_dir):
+    """Refused places of stock: stored ones, and those asked for twice. Without a SKU a place is like no other."""
+    requests = spark.sql(_PLACES, lineitem=table(spark, sf_dir, "lineitem"))
+    done = mutate.validated_insert(
+        entity(spark, sf_dir, "inventory"), requests, quality.non_negative("stock_quantity"),
+        mutate.KeyRule("inventory_id", ["n", "stock_quantity", "price"], 1),
+        unique=entity_ops.INSERTS["inventory"].unique)
+    return done.rejected.select("n", "stock_quantity", "price", "reason")
+
+
+@CATALOG.query("insert_product_with_sku_rejected", f"""{ctes("categories")},
+    r as ({_PRODUCT_REQUESTS.format(part="part")})
+    select n, category_id, 'no such active category' as reason from r
+    where category_id not in (select category_id from categories where deleted_at is null)""")
+def insert_product_with_sku_rejected(spark, sf_dir):
+    """New products of categories that are unknown or deleted."""
+    requests = spark.sql(_PRODUCT_REQUESTS, part=table(spark, sf_dir, "part"))
+    *_, refused = mutate.insert_product_with_sku(
+        entity(spark, sf_dir, "products"), entity(spark, sf_dir, "products_sku"), requests,
+        ["n"], 7001, 90001, NOW, entity(spark, sf_dir, "categories"))
+    return refused.select("n", "category_id", "reason")

@@ -27,6 +27,11 @@ def decrypt(df: DataFrame, cols: Sequence[str], secret: str) -> DataFrame:
                            for c in cols})
 
 
+def open_text(col: Column, secret: str) -> Column:
+    """The text of an encrypted value; one this key cannot open stands for itself."""
+    return F.coalesce(F.try_aes_decrypt(col.cast("binary"), _key(secret)).cast("string"), col.cast("string"))
+
+
 def rotate_key(df: DataFrame, cols: Sequence[str], old: str,
                new: str) -> tuple[DataFrame, DataFrame]:
     """Re-encrypt under a new key. Returns (table, rows with a value the old key cannot open).

@@ -17,7 +17,8 @@ from tillstream.operators import quality as q
 from tillstream.operators.joins import lookup_join
 from tillstream.operators.latest import active
 from tillstream.operators.mutate import (
-    KeyRule, Lookup, Mutation, apply_patch, soft_delete, validated_insert)
+    REPEATED, KeyRule, Lookup, Mutation, apply_patch, soft_delete, validated_insert)
+from tillstream.operators.unique import UniqueKey, refuse_repeats
 from tillstream.specs import LEDGER_SIDES, ORDER_STATES, SHIPMENT_STATES, TRACKING_STATES, spec
 
 Tables = dict[str, DataFrame]
@@ -30,13 +31,15 @@ class Insert:
     width: int = 0
     dated: tuple[str, ...] = ("updated_at",)     # columns that default to that time
     defaults: tuple[tuple[str, str], ...] = ()
+    unique: tuple[UniqueKey, ...] = ()
 
 
 INSERTS: dict[str, Insert] = {
     "customers": Insert(
         lambda now: [q.matches("email", "(?i)" + q.EMAIL_PATTERN),
                      q.matches("phone", q.PHONE_PATTERN)],
-        "CUST_", 6, ("created_at", "updated_at")),
+        "CUST_", 6, ("created_at", "updated_at"),
+        unique=(UniqueKey(("email",)), UniqueKey(("phone",)))),
     "products_sku": Insert(lambda now: [*q.not_blank("sku"), *q.positive("price")],
                            dated=("created_at", "updated_at")),
     "categories": Insert(lambda now: q.not_blank("name"), dated=("created_at", "updated_at")),
@@ -45,7 +48,7 @@ INSERTS: dict[str, Insert] = {
     "departments": Insert(lambda now: q.not_blank("name")),
     "employees": Insert(
         lambda now: [*q.not_blank("name"), *q.positive("salary"), *q.not_future(now, "hire_date")],
-        "EMP_", 4, ("hire_date", "updated_at")),
+        "EMP_", 4, ("hire_date", "updated_at"), unique=(UniqueKey(("email",)),)),
     "suppliers": Insert(lambda now: q.not_blank("name", "contact_name"),
                         dated=("created_at", "updated_at")),
     "purchase_orders": Insert(
@@ -59,7 +62,8 @@ INSERTS: dict[str, Insert] = {
         dated=("transaction_date", "updated_at")),
     "warehouses": Insert(lambda now: q.not_blank("name", "location"),
                          dated=("created_at", "updated_at")),
-    "inventory": Insert(lambda now: q.non_negative("stock_quantity"), dated=("last_updated",)),
+    "inventory": Insert(lambda now: q.non_negative("stock_quantity"), dated=("last_updated",),
+                        unique=(UniqueKey(("warehouse_id", "product_id", "sku_id")),)),
     "shipments": Insert(
         lambda now: [q.one_of("status", SHIPMENT_STATES), *q.not_future(now, "shipment_date")],
         dated=("shipment_date", "updated_at"), defaults=(("status", "pending"),)),
@@ -105,7 +109,8 @@ def insert_rows(name: str, tables: Tables, requests: DataFrame, order_by: Sequen
     done = validated_insert(
         table, requests, [*how.rules(now), *needed],
         KeyRule(spec(name).key[0], order_by, start, how.prefix, how.width),
-        _insert_lookups(name, tables), {**{c: now for c in how.dated}, **dict(how.defaults)})
+        _insert_lookups(name, tables), {**{c: now for c in how.dated}, **dict(how.defaults)},
+        how.unique, secret, hidden)
     if not hidden:
         return done
     fresh = encrypt(done.inserted, hidden, secret)
@@ -182,7 +187,10 @@ def patch_rows(name: str, tables: Tables, requests: DataFrame, now,
     if how.unique:
         tested = _taken(table, tested, how.key[0], *how.unique)
         tested = tested.withColumn("reason", F.expr(
-            f"coalesce(reason, case when _taken then '{how.unique[0]} already exists' end)"))
+            f"coalesce(reason, case when _taken then '{how.unique[0]} already exists' end)")).drop("_taken")
+        # Two requests of one batch may not take one value either: the first along the key has it.
+        own = UniqueKey((how.unique[0],), how.unique[1])
+        tested = refuse_repeats(tested, table.limit(0), [own], how.key, repeated=REPEATED)
     if how.parent:
         column, parent = how.parent
         known = tables[parent].select(column).distinct().withColumn("_found", F.lit(True))

@@ -12,6 +12,7 @@ from tillstream.functions.ids import assign_business_id, assign_sequence, busine
 from tillstream.operators.joins import (
     keyed_join, lookup_join, with_children, without_children)
 from tillstream.operators.quality import Rule, apply_rules, not_blank, not_null, positive
+from tillstream.operators.unique import UniqueKey, refuse_repeats
 
 
 @dataclass(frozen=True)
@@ -163,11 +164,15 @@ def validated_insert(
     key: KeyRule,
     lookups: Sequence[Lookup] = (),
     defaults: dict[str, object] | None = None,
+    unique: Sequence[UniqueKey] = (),
+    secret: str | None = None,
+    hidden: Sequence[str] = (),
 ) -> Mutation:
     """Check requests, give the good ones keys and append them.
 
-    Requests are first tested by row rules, then against other tables, all in one plan. The
-    first reason found is the one reported.
+    Requests are first tested by row rules, then against other tables, all in one plan, last by the
+    ``unique`` keys of the table (whose ``hidden`` columns ``secret`` opens). The first reason found is
+    the one reported.
     """
     first = F.when(F.size("violations") > 0, F.element_at("violations", 1))
     tested = apply_rules(requests, rules).flagged.withColumn("reason", first).drop("violations")
@@ -191,6 +196,8 @@ def validated_insert(
         later = value.isNotNull() & (F.row_number().over(order) > 1)
         tested = tested.withColumn("reason", F.coalesce(
             F.col("reason"), F.when(later, F.lit(f"{test.column}: {REPEATED}"))))
+    if unique:
+        tested = refuse_repeats(tested, table, unique, key.order_by, secret, hidden, REPEATED)
     good = tested.filter(F.col("reason").isNull()).select(*requests.columns)
     rejected = tested.filter(F.col("reason").isNotNull()).select(*requests.columns, "reason")
     if key.prefix is None:
@@ -209,16 +216,21 @@ def validated_insert(
 
 def insert_product_with_sku(products: DataFrame, skus: DataFrame, requests: DataFrame,
                             order_by: Sequence[str], product_start: int, sku_start: int,
-                            now) -> tuple[DataFrame, DataFrame, DataFrame]:
+                            now, categories: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """New products, each with its first SKU. Returns (new products, new SKUs, rejected requests).
 
     Requests: name, category_id, sku, price, color, size. Name, category, SKU code and a positive
-    price are demanded, and a code that no active SKU and no earlier request bears.
+    price are demanded, and a code that no active SKU and no earlier request bears. Where
+    ``categories`` are given, the category must be one of the active ones.
     """
     rules = [*not_blank("name", "sku"), *not_null("category_id"), *not_null("price"), *positive("price")]
     taken = Lookup("code is taken", "sku", skus.filter("deleted_at is null"), "sku", present=False)
     given = requests.withColumn("_request", F.lit(None).cast("bigint"))
-    done = validated_insert(given, requests, rules, KeyRule("_request", order_by, 0), [taken])
+    lookups = [taken]
+    if categories is not None:
+        lookups.insert(0, Lookup("no such active category", "category_id",
+                                 categories.filter("deleted_at is null"), "category_id"))
+    done = validated_insert(given, requests, rules, KeyRule("_request", order_by, 0), lookups)
     numbered = done.inserted.withColumnRenamed("_request", "_n")
     at = F.lit(now).cast("timestamp")
     rows = numbered.select(
