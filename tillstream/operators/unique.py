@@ -86,8 +86,9 @@ def refuse_repeats(requests: DataFrame, table: DataFrame, keys: Sequence[UniqueK
     if accepted is not None:
         kept = free.join(accepted.select(F.col("_row").alias("_won")), row == F.col("_won"), "left_semi")
         rest = without(free, accepted)
-        late = lookup_join(rest, kept.select(*both), both, "left_semi", ["_order"]).groupBy(row.alias("_row")).agg(
-            F.min("_key").alias("_late"))
+        late = (lookup_join(rest, kept.select(*both, F.col("_order").alias("_by")), both, "inner", ["_order"])
+                .filter(F.col("_by") < F.col("_order"))      # a value that was taken only later refused nobody
+                .groupBy(row.alias("_row")).agg(F.min("_key").alias("_late")))
     out = numbered.join(refused, "_row", "left")
     out = out.join(late, "_row", "left") if late is not None else out.withColumn("_late", F.lit(None).cast("int"))
     names = F.array(*[F.lit(k.name) for k in keys])
