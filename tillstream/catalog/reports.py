@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from tillstream.catalog.mapping import ctes, entity
 from tillstream.catalog.registry import Catalog
-from tillstream.operators import joins, latest
-from tillstream.plans import gold, reports
-from tillstream.session import run_dir
+from tillstream.functions.scalars import row_hash
+from tillstream.operators import audit, joins, latest
+from tillstream.plans import gold, incremental, reports
+from tillstream.session import run_dir, settle
 from tillstream.specs import SPECS
 
 CATALOG = Catalog()
@@ -309,3 +310,78 @@ def stock_by_warehouse(spark, sf_dir):
     where status <> 'cancelled' group by t.account_id, a.account_name""")
 def account_balance(spark, sf_dir):
     return gold.account_balance(*_load(spark, sf_dir, "financial_transactions", "accounts"))
+
+
+def _versions(spark, sf_dir, name, key, old, new):
+    """The feed between two states of an entity, each given as a filter and changed columns."""
+    rows = entity(spark, sf_dir, name)
+
+    def state(kept, changes):
+        df = rows.filter(kept).withColumns({c: F.expr(e).cast(rows.schema[c].dataType) for c, e in changes.items()})
+        return settle(df.withColumn("hash", row_hash(df, df.columns)), "state")
+    before, after = state(*old), state(*new)
+    return before, after, audit.change_feed(before, after, key)
+
+
+def _kept_current(summary, before, feed):
+    return summary.apply(settle(summary.full(before), "sums"), summary.delta(feed))
+
+
+# Orders before: the first five sixths, none of the fifth payment type completed; after: the last five sixths.
+_OLD_ORDERS = ("order_id % 6 <> 5", {"payment_status": "if(payment_type_id = 5, 'pending', payment_status)"})
+_NEW_ORDERS = ("order_id % 6 <> 0", {"total_amount": "if(order_id % 4 = 0, total_amount + 1, total_amount)"})
+
+
+@CATALOG.query("revenue_incremental", f"""{ctes("orders", "payment_types")},
+    o as (select *, total_amount + case when order_id % 4 = 0 then 1 else 0 end as amount from orders
+          where order_id % 6 <> 0)
+    select strftime(order_date, '%Y%m') as month, pt.name as payment_type,
+           cast(sum(amount) as decimal(28,2)) as revenue, count(*) as order_count
+    from o join payment_types pt on o.payment_type_id = pt.payment_type_id
+    where payment_status = 'completed' group by 1, 2""")
+def revenue_incremental(spark, sf_dir):
+    """Revenue of the newer state of the orders: sums of the older one, and the feed between them."""
+    before, _, feed = _versions(spark, sf_dir, "orders", "order_id", _OLD_ORDERS, _NEW_ORDERS)
+    stored = _kept_current(incremental.payment_revenue(), before, feed)
+    return incremental.revenue_by_payment_type(stored, entity(spark, sf_dir, "payment_types"))
+
+
+@CATALOG.query("revenue_category_incremental", f"""{ctes("inventory", "products", "categories")},
+    i as (select inventory_id, product_id, last_updated, stock_quantity + inventory_id % 3 as quantity, 2.50 as unit_price
+          from inventory where inventory_id % 7 <> 0)
+    select strftime(last_updated, '%Y%m') as month, c.name as category,
+           cast(sum(quantity * unit_price) as decimal(28,2)) as revenue, cast(sum(quantity) as bigint) as units
+    from i join products p on i.product_id = p.product_id
+    join categories c on p.category_id = c.category_id group by 1, 2""")
+def revenue_category_incremental(spark, sf_dir):
+    """Items whose quantity, month and presence change: stock rows, read as items of one price."""
+    rows = entity(spark, sf_dir, "inventory").select(
+        "inventory_id", "product_id", F.col("last_updated").alias("order_date"), F.col("stock_quantity").alias("quantity"),
+        F.lit("2.50").cast("decimal(10,2)").alias("unit_price"))
+
+    def state(df):
+        return settle(df.withColumn("hash", row_hash(df, df.columns)), "state")
+    before = state(rows.filter("inventory_id % 5 <> 0").withColumn("order_date", F.expr(
+        "if(inventory_id % 2 = 0, order_date - interval 40 days, order_date)")))
+    after = state(rows.filter("inventory_id % 7 <> 0").withColumn(
+        "quantity", (F.col("quantity") + F.col("inventory_id") % 3).cast("int")))
+    stored = _kept_current(incremental.product_revenue(), before, audit.change_feed(before, after, "inventory_id"))
+    return incremental.revenue_by_category(stored, *_load(spark, sf_dir, "products", "categories"))
+
+
+@CATALOG.query("balance_incremental", f"""{ctes("financial_transactions", "accounts")},
+    t as (select *, case when transaction_id % 3 = 0 then 'cancelled' else status end as now_status
+          from financial_transactions where transaction_id % 8 <> 1)
+    select t.account_id, a.account_name,
+           cast(sum(case when type = 'debit' then amount else -amount end) as decimal(28,2)) as balance,
+           count(*) as transaction_count
+    from t join accounts a on a.account_id = t.account_id
+    where now_status <> 'cancelled' group by t.account_id, a.account_name""")
+def balance_incremental(spark, sf_dir):
+    """Balances after some transactions were cancelled, some deleted, and some moved to another account."""
+    before, _, feed = _versions(
+        spark, sf_dir, "financial_transactions", "transaction_id",
+        ("transaction_id % 9 <> 2", {"account_id": "if(transaction_id % 5 = 0, 1, account_id)"}),
+        ("transaction_id % 8 <> 1", {"status": "if(transaction_id % 3 = 0, 'cancelled', status)"}))
+    stored = _kept_current(incremental.balances(), before, feed)
+    return incremental.account_balance(stored, entity(spark, sf_dir, "accounts"))
