@@ -539,7 +539,7 @@ def insert_inventory_unique(spark, sf_dir):
     done = mutate.validated_insert(
         entity(spark, sf_dir, "inventory"), requests, quality.non_negative("stock_quantity"),
         mutate.KeyRule("inventory_id", ["n", "stock_quantity", "price"], 1),
-        unique=entity_ops.INSERTS["inventory"].unique)
+        unique=[entity_ops.PLACE])
     return done.rejected.select("n", "stock_quantity", "price", "reason")
 
 

@@ -62,8 +62,7 @@ INSERTS: dict[str, Insert] = {
         dated=("transaction_date", "updated_at")),
     "warehouses": Insert(lambda now: q.not_blank("name", "location"),
                          dated=("created_at", "updated_at")),
-    "inventory": Insert(lambda now: q.non_negative("stock_quantity"), dated=("last_updated",),
-                        unique=(UniqueKey(("warehouse_id", "product_id", "sku_id")),)),
+    "inventory": Insert(lambda now: q.non_negative("stock_quantity"), dated=("last_updated",)),
     "shipments": Insert(
         lambda now: [q.one_of("status", SHIPMENT_STATES), *q.not_future(now, "shipment_date")],
         dated=("shipment_date", "updated_at"), defaults=(("status", "pending"),)),
@@ -74,6 +73,10 @@ INSERTS: dict[str, Insert] = {
 }
 
 
+# One row of stock per place and SKU. Asked for by name: stock may also be delivered as further rows of a place.
+PLACE = UniqueKey(("warehouse_id", "product_id", "sku_id"))
+
+
 def _insert_lookups(name: str, tables: Tables) -> list[Lookup]:
     if name == "products_sku":
         return [Lookup("code is taken", "sku", active(tables[name]), "sku", present=False),
@@ -93,12 +96,13 @@ def _personal(name: str, columns: Sequence[str]) -> list[str]:
 
 
 def insert_rows(name: str, tables: Tables, requests: DataFrame, order_by: Sequence[str],
-                start: int, now, secret: str | None = None) -> Mutation:
+                start: int, now, secret: str | None = None, unique: Sequence[UniqueKey] = ()) -> Mutation:
     """Insert requests into ``tables[name]``; keys count up from ``start`` along ``order_by``.
 
     Columns that may not be null are demanded unless they have a default, and references must
     be found in those of ``tables`` that are given. Personal columns are checked in the clear
-    and stored encrypted by ``secret``, which entities that have them demand.
+    and stored encrypted by ``secret``, which entities that have them demand. ``unique`` names keys
+    besides the entity's own (see ``PLACE``).
     """
     how, table = INSERTS[name], tables[name]
     hidden = _personal(name, table.columns)
@@ -110,7 +114,7 @@ def insert_rows(name: str, tables: Tables, requests: DataFrame, order_by: Sequen
         table, requests, [*how.rules(now), *needed],
         KeyRule(spec(name).key[0], order_by, start, how.prefix, how.width),
         _insert_lookups(name, tables), {**{c: now for c in how.dated}, **dict(how.defaults)},
-        how.unique, secret, hidden)
+        [*how.unique, *unique], secret, hidden)
     if not hidden:
         return done
     fresh = encrypt(done.inserted, hidden, secret)

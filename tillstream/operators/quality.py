@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tillstream.operators.joins import children_of
 from tillstream.specs import TableSpec
 
+# The forms that the checked tables demand.
 EMAIL_PATTERN = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
 PHONE_PATTERN = r"^[0-9]{8,15}$"
 
