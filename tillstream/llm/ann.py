@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillstream.llm.batches import sampled
 from tillstream.session import settle
 
 # Vectors, about, that the graph and the networks are fitted on.
@@ -168,7 +169,7 @@ def cut(near: np.ndarray, parts: int, seed: int = 3) -> np.ndarray:
 def build(rows: DataFrame, n: int) -> Index:
     """Fit an index for ``n`` rows on about ``SAMPLE`` of them."""
     share = min(1.0, SAMPLE / max(n, 1))
-    chosen = rows.filter(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    chosen = rows.filter(sampled(share, "vec_id"))
     # A vector that is there very often counts once: copies say nothing about the space.
     chosen = settle(chosen.groupBy("v").agg(F.min("vec_id").alias("vec_id"))
                     .groupBy("vec_id").agg(F.min("v").alias("v")), "sample")

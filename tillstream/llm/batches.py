@@ -11,7 +11,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 # Text bytes worked on at once; one longer text is a piece of its own.
 PIECE_BYTES = 2 << 20
@@ -41,6 +42,11 @@ def map_pieces(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.Recor
     return df.mapInArrow(run, schema)
 
 
+def sampled(share: float, *key: str) -> Column:
+    """Whether a row is in a sample of about ``share`` of all, by a hash of its key; finer than any table."""
+    return F.shiftrightunsigned(F.xxhash64(*key), 2) < F.lit(int(share * 2**62))
+
+
 def pieces(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
     offsets = row_bytes(batch.column(text))[1]
     start = 0

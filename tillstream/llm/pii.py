@@ -30,13 +30,14 @@ KINDS = ["email", "ip", "card", "phone"]
 # Distinct values that a context must hold, the part of them that must be of the kind, and the
 # weight that a value must reach.
 LEAST_VALUES, LEAST_PART, LEAST_WEIGHT = 8, 0.8, 0.95
-# Characters looked at for the words beside a value.
+# Characters looked at first for the words beside a value; more where words are longer.
 BESIDE = 80
 
 # The forms of the base kinds. Look-behinds and possessive repeats change no match;
 # they keep long runs of digits linear.
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+_DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
 _IP = re.compile(r"[0-9](?<![0-9][0-9])[0-9]*+(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
@@ -245,8 +246,13 @@ def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int,
 
 def _beside(text: str, start: int, end: int) -> list[str]:
     """The contexts of a span: two words before it, and one word before and after it."""
-    before = text[max(0, start - BESIDE):start].lower().split()
-    after = text[end:end + BESIDE].lower().split()
+    size = BESIDE
+    # The first word found may be cut off: two whole ones are wanted.
+    while len(before := text[max(0, start - size):start].lower().split()) < 3 and size < start:
+        size *= 4
+    size = BESIDE
+    while len(after := text[end:end + size].lower().split()) < 2 and end + size < len(text):
+        size *= 4
     one = before[-1] if before else ""
     two = before[-2] if len(before) > 1 else ""
     return [f"{two} {one} _", f"{one} _ {after[0] if after else ''}"]
@@ -254,7 +260,9 @@ def _beside(text: str, start: int, end: int) -> list[str]:
 
 def _value(s: str) -> str:
     """What is compared of a string: its digits if it is a number in any writing, else its letters
-    in lower case."""
+    in lower case. The dots of an address are part of it: without them it would be any number."""
+    if _DOTTED.fullmatch(s):
+        return s
     return s.lower() if any(c.isalpha() for c in s) else _digits(s) or s
 
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.llm.batches import LOWER, RangeHasher, map_pieces, pieces, row_bytes, runs
+from tillstream.llm.batches import LOWER, RangeHasher, map_pieces, pieces, row_bytes, runs, sampled
 from tillstream.llm.langid import held_out
 from tillstream.session import settle
 
@@ -110,8 +110,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             .agg(F.max(F.when(F.col("toxic") == 1, 1).otherwise(0)).alias("toxic")))
     n = told.count()
     share = min(1.0, sample / max(n, 1))
-    told = told.withColumn("sampled", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
-                           < F.lit(int(share * (1 << 20))))
+    told = told.withColumn("sampled", sampled(share, "doc_id"))
     # One way at every size: a broadcast of few labels would say nothing about many.
     joined = docs.select("doc_id", "text").filter("text is not null").join(told.hint("merge"), "doc_id")
     found = settle(joined.select("text", "toxic", "sampled").mapInArrow(
