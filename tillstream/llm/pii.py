@@ -347,8 +347,11 @@ def spans(docs: DataFrame) -> DataFrame:
 
 def report(docs: DataFrame) -> DataFrame:
     rows = spans(docs.select("doc_id", "text"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s.kind == k)).cast("long").alias(f"n_{name}")
-              for k, name in enumerate(KINDS)]
+    def of(kind: int):
+        # A second parameter would be taken for the place in the array.
+        return lambda s: s.kind == kind
+
+    counts = [F.size(F.filter("base", of(k))).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return rows.select("doc_id", *counts, F.sha2(_joined(F.col("base")), 256).alias("base_sha256"),
                        _joined(F.concat("base", "added")).alias("spans"),
                        F.size("added").cast("long").alias("n_added"))
