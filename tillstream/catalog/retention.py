@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from tillstream.catalog.mapping import ctes, entity
 from tillstream.catalog.registry import Catalog
-from tillstream.operators import retention
+from tillstream.operators import doomed, retention
 from tillstream.session import run_dir
 from tillstream.sources.current import purge_table
 from tillstream.sources.tables import write_partitioned
+from tillstream.specs import SPECS
 
 CATALOG = Catalog()
 
@@ -22,6 +23,10 @@ CUT = f"(timestamp '{AS_OF}' - interval 3 month)"
 TABLES = ("order_items", "orders", "products_sku", "products", "categories",
           "delivery_tracking", "shipments", "purchase_order_items", "purchase_orders",
           "suppliers", "financial_transactions", "employees", "warehouses", "inventory")
+DATED = {"order_items": "order_date", "orders": "order_date", "delivery_tracking": "shipment_date",
+         "shipments": "shipment_date", "purchase_order_items": "order_date", "purchase_orders": "order_date",
+         "financial_transactions": "transaction_date"}
+KEYS = {n: SPECS[n].key[0] for n in TABLES[:12]}
 
 
 def _split(purge: retention.Purge, *columns: str) -> DataFrame:
@@ -173,12 +178,14 @@ def run_retention(spark, sf_dir):
     return retention.run_retention(tables, AS_OF).counts
 
 
+_LEFT = (("order_items", "i3"), ("orders", "o2"), ("products_sku", "s4"), ("products", "p4"),
+         ("categories", "c5"), ("delivery_tracking", "t6"), ("shipments", "h7"),
+         ("purchase_order_items", "q8"), ("purchase_orders", "r9"), ("suppliers", "u10"),
+         ("financial_transactions", "f11"), ("employees", "e12"))
+
+
 @CATALOG.query("run_retention_remaining", _RUN + " union all ".join(
-    f"select '{t}' as table_name, count(*) as rows_left from {v}" for t, v in (
-        ("order_items", "i3"), ("orders", "o2"), ("products_sku", "s4"), ("products", "p4"),
-        ("categories", "c5"), ("delivery_tracking", "t6"), ("shipments", "h7"),
-        ("purchase_order_items", "q8"), ("purchase_orders", "r9"), ("suppliers", "u10"),
-        ("financial_transactions", "f11"), ("employees", "e12"))))
+    f"select '{t}' as table_name, count(*) as rows_left from {v}" for t, v in _LEFT))
 def run_retention_remaining(spark, sf_dir):
     """What is left, with every step's result written to a table."""
     tables = {n: entity(spark, sf_dir, n) for n in TABLES[:12]}
@@ -188,6 +195,35 @@ def run_retention_remaining(spark, sf_dir):
         for n, df in left.items()])
 
 
+@CATALOG.query("run_retention_keys", CATALOG["run_retention"].sql)
+def run_retention_keys(spark, sf_dir):
+    """The same run with marks and keys, each table read once for its rows."""
+    return doomed.run_retention_keys({n: entity(spark, sf_dir, n) for n in TABLES[:12]}, AS_OF).counts
+
+
+@CATALOG.query("run_retention_stored", _RUN + " union all ".join(
+    f"select '{t}' as table_name, count(*) as rows_left, cast(sum(hash_key) as bigint) as key_sum from (select "
+    f"cast('0x' || md5(cast({k} as varchar))[1:7] as bigint) as hash_key from {v})"
+    for (t, v), k in ((pair, KEYS[pair[0]]) for pair in _LEFT)))
+def run_retention_stored(spark, sf_dir):
+    """The run over stored tables, the dated ones by month: rows left, and a checksum of their keys."""
+    base, paths = run_dir(spark, "retention"), {}
+    for name in TABLES[:12]:
+        df, ts = entity(spark, sf_dir, name), DATED.get(name)
+        paths[name] = f"{base}/{name}"
+        if ts:
+            write_partitioned(df, paths[name], ts)
+        else:
+            df.write.parquet(paths[name])
+    doomed.purge_stored(spark, paths, AS_OF)
+    def left(name):
+        key = F.substring(F.md5(F.col(KEYS[name]).cast("string").cast("binary")), 1, 7)
+        return spark.read.parquet(paths[name]).agg(
+            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows_left"),
+            F.sum(F.conv(key, 16, 10).cast("bigint")).alias("key_sum"))
+    return reduce(DataFrame.unionByName, [left(n) for n in paths])
+
+
 @CATALOG.query("archive_split", f"""{ctes("orders")}
     select strftime(order_date, '%Y%m') as month, count(*) as archived_rows,
            cast(sum(total_amount) as decimal(28,2)) as archived_amount

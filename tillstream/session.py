@@ -86,11 +86,16 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever it is."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def discard(spark: SparkSession) -> int:
     """Delete all tables settled so far; call it when the results made of them are written."""
-    hadoop, paths = spark._jvm.org.apache.hadoop.fs.Path, _settled[:]
+    paths = _settled[:]
     for path in paths:
-        at = hadoop(path)
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        remove(spark, path)
         _settled.remove(path)
     return len(paths)
