@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tillstream.catalog.mapping import ctes, entity, entity_sql, hash_sql, table
@@ -13,10 +14,13 @@ from tillstream.catalog.registry import Catalog
 from tillstream.functions.scalars import decode_decimal, encode_decimal, line_amount, row_hash
 from tillstream.operators import decode, latest
 from tillstream.session import run_dir
+from tillstream.sources.cdc import cdc_stream
 from tillstream.sources.tables import extract_full, spread, to_drop
 from tillstream.specs import SPECS
 from tillstream.streaming.flows import (
     bronze_files, bronze_files_aside, bronze_replay, bronze_replay_from, bronze_stream, bronze_stream_aside)
+from tillstream.streaming.log import STREAM_LOG, counted, logged_streams
+from tillstream.streaming.runs import run_available_now
 
 CATALOG = Catalog()
 
@@ -180,6 +184,26 @@ def stream_rejects(spark, sf_dir):
     return spark.read.parquet(f"{base}/aside/rejects").select(_order_id(), "reason")
 
 
+@CATALOG.query("stream_run_log", f"""{ctes("orders")}
+    select 'success' as status, count(*) as rows_in, count(*) filter (where order_id % 4 = 3) as rows_out
+    from orders union all select 'failed', null, null""")
+def stream_run_log(spark, sf_dir):
+    """What the log holds of a stream in several micro-batches, and of one that fails."""
+    base = run_dir(spark, "stream-log")
+    _spoiled(spark, sf_dir).repartition(4).write.text(f"{base}/in")
+    source = cdc_stream(spark, f"{base}/in", max_files=1)
+    with logged_streams(spark, f"{base}/log"):
+        rows = decode.decode_cdc(source, SPECS["orders"])
+        run_available_now(counted(rows), f"{base}/out", f"{base}/state")
+        try:
+            run_available_now(source.filter(F.raise_error(F.lit("no more room")).isNull()), f"{base}/none",
+                              f"{base}/none-state")
+        except StreamingQueryException:
+            pass
+    return spark.read.schema(STREAM_LOG).parquet(f"{base}/log").groupBy("status").agg(
+        F.sum("rows_in").alias("rows_in"), F.sum("rows_out").alias("rows_out"))
+
+
 _DELAY = "60 days"
 _AT_SQL = "o_orderdate + (o_orderkey % 24) * interval 1 hour"
 

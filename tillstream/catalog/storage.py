@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from tillstream.catalog.mapping import ctes, entity, table
 from tillstream.catalog.registry import Catalog
 from tillstream.functions import pii
+from tillstream.functions.sequences import continue_business_id
 from tillstream.operators.audit import last_run, run_logged
 from tillstream.operators.latest import watermark_value
 from tillstream.session import run_dir, settle
 from tillstream.sources import tables
+from tillstream.sources.extracts import extract_overlap as extract_run
 from tillstream.specs import SPECS
 
 CATALOG = Catalog()
@@ -123,6 +125,59 @@ def extract_watermark(spark, sf_dir):
                                       "2000-06-30")[1]
 
 
+# Rows as the source shows them at three times: a fifth of the rows is committed ten days late.
+_LATE = "order_id % 5 = 0"
+_SHOWN = [f"(updated_at <= timestamp '{day}' - interval 10 day or (not {_LATE} and updated_at <= timestamp '{day}'))"
+          for day in ("1995-06-30", "1998-06-30", "2100-01-01")]
+
+
+@CATALOG.query("extract_overlap", f"""{ctes("orders")},
+    times as (select *, case when {_SHOWN[0]} then 0 when {_SHOWN[1]} then 1 else 2 end as run from orders),
+    marks as (select run, max(updated_at) as newest from times group by run)
+    select t.order_id, t.updated_at, t.run from times t
+    where t.run = 0 or t.updated_at > (select max(newest) from marks m where m.run < t.run) - interval 20 day""")
+def extract_overlap(spark, sf_dir):
+    """Three runs, the second one repeated; rows that appear ten days late are within twenty days' overlap."""
+    folder, orders = run_dir(spark, "extracts"), entity(spark, sf_dir, "orders")
+    made = []
+    for run in (0, 1, 1, 2):
+        made.append(extract_run(orders.filter(_SHOWN[run]), "updated_at", folder, run, "20 days"))
+    return spark.read.parquet(f"{folder}/rows").select("order_id", "updated_at", "run")
+
+
+@CATALOG.query("bucketed_join", f"""{ctes("orders", "order_items")}
+    select o.order_id, o.payment_status, count(*) as item_count,
+           cast(sum(i.quantity * i.unit_price) as decimal(28,2)) as amount
+    from orders o join order_items i on i.order_id = o.order_id group by 1, 2""")
+def bucketed_join(spark, sf_dir):
+    """Orders and items stored in equal buckets of the order: joined and summed without a shuffle."""
+    base = run_dir(spark, "bucketed")
+    names = {n: f"{n}_{base[-12:]}" for n in ("orders", "order_items")}
+    for name, stored in names.items():
+        tables.save_bucketed(entity(spark, sf_dir, name), stored, "order_id", 16, f"{base}/{name}")
+    joined = tables.bucketed_join(spark, names["orders"], names["order_items"], "order_id")
+    return joined.groupBy("order_id", "payment_status").agg(
+        F.count(F.lit(1)).alias("item_count"),
+        F.sum(F.col("quantity") * F.col("unit_price")).cast("decimal(28,2)").alias("amount"))
+
+
+@CATALOG.query("sequence_continued", """
+    select c_custkey, case when c_mktsegment in ('BUILDING', 'MACHINERY') then 0 else 1 end as run,
+           concat('CUST_', lpad(cast(41 + row_number() over (order by case when c_mktsegment in
+               ('BUILDING', 'MACHINERY') then 0 else 1 end, c_custkey) as varchar), 6, '0')) as customer_id
+    from customer""")
+def sequence_continued(spark, sf_dir):
+    """Two batches of customers numbered in runs of their own; the first run is repeated after the second."""
+    folder = run_dir(spark, "sequence")
+    c = table(spark, sf_dir, "customer").select(
+        "c_custkey", F.when(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), 0).otherwise(1).alias("run"))
+    def numbered(run):
+        return continue_business_id(c.filter(F.col("run") == run), "customer_id", "CUST_", 6, ["c_custkey"], folder,
+                                    f"run {run}", 42)
+    _, second, first = numbered(0), numbered(1), numbered(0)
+    return first.unionByName(second)
+
+
 @CATALOG.query("high_watermark", "select max(l_shipdate) as high_watermark from lineitem")
 def high_watermark(spark, sf_dir):
     return watermark_value(table(spark, sf_dir, "lineitem"), "l_shipdate")

@@ -82,9 +82,33 @@ def write_month_buckets(df: DataFrame, path: str, ts: str, col: str, buckets: in
      .partitionBy("month", "bucket").parquet(path))
 
 
-def save_bucketed(df: DataFrame, table: str, col: str, buckets: int) -> None:
-    """Catalog table bucketed and sorted by ``col``: later joins on it need no shuffle."""
-    df.write.mode("overwrite").bucketBy(buckets, col).sortBy(col).saveAsTable(table)
+def save_bucketed(df: DataFrame, table: str, col: str, buckets: int, path: str | None = None) -> None:
+    """Catalog table bucketed and sorted by ``col``: later joins on it need no shuffle.
+
+    Each bucket is written by one task, to one file. ``path`` puts the files there, else in the warehouse.
+    """
+    writer = df.repartition(buckets, col).write.mode("overwrite").bucketBy(buckets, col).sortBy(col)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
+def bucketed_join(spark: SparkSession, left: str, right: str, on: str, how: str = "inner") -> DataFrame:
+    """Join of two catalog tables that :func:`save_bucketed` wrote with equal buckets of ``on``: neither side
+    is shuffled. Tables laid out in another way are refused, as they would be shuffled silently.
+
+    A bucket is one task of the join, so the buckets must be as many as the larger table fills tasks. For a
+    key that holds more rows than a task should, use ``joins.lookup_join``.
+    """
+    layouts = [_buckets(spark, t) for t in (left, right)]
+    if layouts[0] != layouts[1] or layouts[0][1] != [on]:
+        raise ValueError(f"not bucketed alike on {on}: {left} {layouts[0]}, {right} {layouts[1]}")
+    return spark.read.table(left).join(spark.read.table(right), on, how)
+
+
+def _buckets(spark: SparkSession, table: str) -> tuple[int, list[str]]:
+    """Number of buckets and bucket columns of a catalog table; (0, []) for one without."""
+    said = {r["col_name"]: r["data_type"] for r in spark.sql(f"describe extended {table}").collect()}
+    columns = said.get("Bucket Columns", "[]").strip("[]").replace("`", "")
+    return int(said.get("Num Buckets", 0)), [c.strip() for c in columns.split(",") if c.strip()]
 
 
 def align_to(df: DataFrame, schema: T.StructType) -> DataFrame:
