@@ -103,6 +103,25 @@ def test_repeats(spark):
     assert got == sorted(brute.repeated_bytes(brute.texts(docs)), key=str)
 
 
+def test_repeats_with_hot_seeds(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "SAMPLED", 1.0)
+    monkeypatch.setattr(repeats, "HOT_FLOOR", 4)
+    monkeypatch.setattr(repeats, "TASK_ROWS", 8)
+    rng = random.Random(11)
+    passage, line = ("".join(rng.choices("abcdefghé ", k=k)) for k in (130, 55))
+    texts = []
+    for i in range(150):
+        own = ["".join(rng.choices("abc ", k=rng.randrange(0, 120))) for _ in range(3)]
+        # One passage in every document, whole or cut, another one alone on its line.
+        texts.append(f"{own[0]}{passage[rng.randrange(0, 60):]}{own[1]}\n{line}\n{own[2] if i % 3 else ''}")
+    docs = brute.awkward(spark, texts + texts[:40] + [passage] * 30).repartition(12)
+    seeds = repeats._hot_seeds(repeats._ranked(docs), repeats.LENGTH, repeats.SEED).collect()
+    assert len(seeds) > 3 and max(r["tasks"] for r in seeds) > 10
+    got = sorted(map(tuple, repeats.report(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()), key=str)
+    assert got == sorted(brute.repeated_bytes(brute.texts(docs)), key=str)
+
+
 def test_repeats_of_nothing(spark):
     assert repeats.report(brute.empty(spark)).count() == 0
 

@@ -18,6 +18,11 @@ windows mostly choose the same one; they are one suffix with a run of windows.
 A document that is there a third of a million times costs one row per piece of input and run, as
 repeats within a piece are found before anything is shuffled.
 
+A seed in very many documents is hot: its rows are dealt out to several tasks by document. Within one
+task a run that repeats an earlier one is a repeat; each task's first ones are all compared window by
+window, and the first holder of such a window is found by a grouped minimum, joined back. Which seeds
+are hot is estimated from a sample of the documents; that decides where rows go, never what is found.
+
 Null and empty texts have no bytes. Rows with a null id are neither searched nor compared with; rows
 of an equal id do not repeat each other. Other columns are kept.
 """
@@ -30,10 +35,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstream.llm import batches
-from tillstream.llm.batches import RangeHasher, list_column, map_pieces, mix, row_bytes, row_ends
+from tillstream.llm.batches import RangeHasher, list_column, map_pieces, mix, row_bytes, row_ends, sampled
 from tillstream.session import settle
 
 LENGTH, SEED = 50, 20
+# Documents in which hot seeds are looked for, and rows of a hot seed that go to one task.
+SAMPLED = 1 / 64
+TASK_ROWS = 1 << 16
+# A seed is hot from this many sampled rows on, and from this share of all of them: at most 65,536 are.
+HOT_FLOOR, HOT_SHARE = 64, 1 / (1 << 16)
 _ODD = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -146,25 +156,52 @@ def _ranked(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", tag.alias("tag"), F.col("doc_id").cast("long").alias("rank"), "text")
 
 
+def _hot_seeds(ranked: DataFrame, length: int, seed: int) -> DataFrame | None:
+    """Seeds with more rows than a task should hold, by a sample of the documents, and the ``tasks`` their
+    rows fill. None if there are none. Sampled counts are summed map-side."""
+    part = ranked.filter(sampled(SAMPLED, "doc_id"))
+    counts = settle(_candidates(part, length, seed).filter("run is not null").groupBy("seed").agg(
+        F.count("*").alias("n")).filter(F.col("n") > 1), "seed-counts")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    hot = counts.filter(F.col("n") >= max(HOT_FLOOR, total * HOT_SHARE)).select(
+        "seed", F.ceil(F.col("n") / (SAMPLED * TASK_ROWS)).alias("tasks"))
+    return None if hot.isEmpty() else hot
+
+
 def find(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """The searched rows (doc_id, tag, text), and the repeated spans: doc_id, tag, start and end in
     bytes; spans may overlap. Ids must be whole numbers."""
     ranked = _ranked(docs)
-    found = _candidates(ranked, length, seed).repartition("seed")
-    run = Window.partitionBy("seed", "run").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    bucket = Window.partitionBy("seed")
+    texts = ranked.select("doc_id", "tag", "text")
+    hot = _hot_seeds(ranked, length, seed)
+    found = _candidates(ranked, length, seed)
+    if hot is None:
+        found = found.withColumn("part", F.lit(0))
+    else:
+        found = found.join(F.broadcast(hot), "seed", "left").withColumn(
+            "part", F.coalesce(F.pmod(F.xxhash64("doc_id"), "tasks") + 1, F.lit(0)).cast("int"))
+    found = found.repartition("seed", "part")
+    run = Window.partitionBy("seed", "part", "run").orderBy("doc_id").rowsBetween(
+        Window.unboundedPreceding, 0)
+    bucket = Window.partitionBy("seed", "part")
     told = found.withColumn("first", F.min("doc_id").over(run)).withColumns({
         "least": F.min("doc_id").over(bucket), "most": F.max("doc_id").over(bucket),
         "run1": F.min("run").over(bucket), "run2": F.max("run").over(bucket)})
     whole = F.col("run").isNull() | (F.col("doc_id") > F.col("first"))
-    split = (F.col("least") < F.col("most")) & (F.col("run1") < F.col("run2"))
+    dealt = F.col("part") > 0
+    split = dealt | (F.col("least") < F.col("most")) & (F.col("run1") < F.col("run2"))
     told = settle(told.filter(whole | split).select(
-        "doc_id", "tag", "start", "end", whole.alias("whole")), "runs")
-    texts = ranked.select("doc_id", "tag", "text")
+        "doc_id", "tag", "start", "end", whole.alias("whole"), dealt.alias("dealt")), "runs")
     window = Window.partitionBy("window").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    single = settle(_windows(texts, told.filter("not whole"), length)
+    single = settle(_windows(texts, told.filter("not whole and not dealt"), length)
                     .withColumn("first", F.min("doc_id").over(window))
                     .filter("doc_id > first").select("doc_id", "tag", "start"), "windows")
+    if hot is not None:
+        # Equal windows have equal seeds, so that those of hot seeds meet no others.
+        of_hot = settle(_windows(texts, told.filter("not whole and dealt"), length), "hot-windows")
+        first = of_hot.groupBy("window").agg(F.min("doc_id").alias("first"))
+        single = single.unionByName(of_hot.join(first, "window").filter("doc_id > first")
+                                    .select("doc_id", "tag", "start"))
     spans = told.filter("whole").select("doc_id", "tag", "start", "end").unionByName(
         single.select("doc_id", "tag", "start", (F.col("start") + length).cast("int").alias("end")))
     return texts, spans
