@@ -6,6 +6,7 @@ import math
 import random
 import zlib
 from collections import Counter
+from dataclasses import replace
 from pathlib import Path
 
 import numpy as np
@@ -350,6 +351,25 @@ def test_score_is_that_of_the_model(spark):
         assert r["score"] == pytest.approx(want, rel=1e-6)
 
 
+def test_scores_do_not_depend_on_the_table_of_frequent_words(spark, monkeypatch):
+    docs = spark.read.parquet(f"{brute.SF}/documents.parquet").limit(80)
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    names = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
+    model = lattice.learn(docs.filter("doc_id % 2 = 0"), path)
+    want = {r["doc_id"]: [r[n] for n in names] for r in lattice.score(docs, "doc_id % 2 = 0", model).collect()}
+    # As many words as all counts allow, some, and none at all; and counts the model does not bring.
+    assert len(model.frequent) > 30
+    for most in (30, 0):
+        monkeypatch.setattr(lattice, "FREQUENT", most)
+        few = lattice.learn(docs.filter("doc_id % 2 = 0"), path)
+        assert len(few.frequent) <= most and (most == 0 or few.counts.max() == model.counts.max())
+        for m in (few, replace(few, words=None)):
+            got = lattice.score(docs, "doc_id % 2 = 0", m).collect()
+            assert len(got) == len(want)
+            for r in got:
+                assert [r[n] for n in names] == pytest.approx(want[r["doc_id"]], rel=1e-9)
+
+
 def test_every_round_sees_all_training_words(spark):
     # Words of 24 rare alphabets, each in few of many documents, so that a sample misses most of them.
     rng = random.Random(12)

@@ -10,7 +10,7 @@ count; every round is over all of these words.
 A text is its words and one end. A token counted c times among N training tokens has the probability
 (c + a P(word)) / (N + a); ``a``, the weight of the lattice, is the number of words seen once in
 training (the mass that new words take), counted exactly. Words of high count take a broadcast table
-of fixed size, all others one shuffle by word.
+of fixed size; all others meet their count in a join, which splits a word with very many rows.
 
 Null texts count as empty and have one token, the end. With nothing to learn from, the words have
 the lattice probability of the vocabulary's scores. Repeated rows are answered each.
@@ -19,12 +19,12 @@ the lattice probability of the vocabulary's scores. Repeated rows are answered e
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstream.llm.batches import (LOWER, PIECE_BYTES, ROWS_PER_BATCH, map_pieces, pieces, row_bytes,
@@ -252,6 +252,7 @@ class Model:
     tokens: int  # of the training documents, ends included
     ends: int
     weight: float  # of the lattice
+    words: DataFrame | None = None  # w (hash), word, n: all words of the training documents
 
 
 def _distinct(piece: pa.RecordBatch, row_times: np.ndarray | None = None):
@@ -274,13 +275,29 @@ def learn(docs: DataFrame, path: str) -> Model:
     if tokens:
         for _ in range(ROUNDS):
             model = refit(model, _uses(counts, model))
-    # At most FREQUENT rows come to the driver.
-    frequent = counts.orderBy(F.desc("n"), "w", "word").select("w", "n").limit(FREQUENT).toPandas()
+    frequent = _frequent(_by_hash(counts))
     known = frequent["w"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(known)
     ends = docs.count()
     return Model(model, known[order], frequent["n"].to_numpy(float)[order], (tokens or 0) + ends, ends,
-                 max(1.0, float(once)))
+                 max(1.0, float(once)), counts)
+
+
+def _by_hash(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("w").agg(F.sum("n").alias("n"))
+
+
+def _frequent(counts: DataFrame):
+    """The words of the highest counts, at most FREQUENT: those above a bound taken from a histogram of
+    the counts (16 bins to a doubling), so that no task sends more than is kept."""
+    bin_ = F.floor(F.log2("n") * 16).cast("int")
+    seen, least = 0, None
+    for row in sorted(counts.groupBy(bin_.alias("bin")).count().collect(), reverse=True):
+        seen += row["count"]
+        if seen > FREQUENT:
+            break
+        least = row["bin"]
+    return counts.filter(bin_ >= least if least is not None else F.lit(False)).toPandas()
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -383,16 +400,20 @@ def _probabilities(lattice: Lattice, token, data, keys, start, size) -> np.ndarr
 def score(docs: DataFrame, training: str, model: Model) -> DataFrame:
     """Per document: doc_id, n_tokens, n_known, train_tokens, base_score and score (log10).
 
-    ``training`` is an SQL condition on the rows whose words ``model`` was learned from.
+    ``training`` is an SQL condition on the rows whose words ``model`` was learned from; they are counted
+    here only if the model does not bring their counts.
     """
     spark = docs.sparkSession
     model_id = id(model)
-    shared = spark.sparkContext.broadcast(model)
+    counts = model.words if model.words is not None else settle(_counted(docs.filter(training).select(
+        F.coalesce("text", F.lit("")).alias("text"))), "word-counts")
+    # The table of counts stays where it is; tasks get the rest of the model.
+    shared = spark.sparkContext.broadcast(replace(model, words=None))
     kind = docs.schema["doc_id"].dataType.simpleString()
     read = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"),
-                       F.expr(training).alias("train"), F.hash("text").alias("tag"),
+                       F.hash("text").alias("tag"),
                        F.xxhash64("doc_id", "text").alias("spread"))
-    names = ["w", "doc_id", "tag", "times", "train", "log_p", "base", "model", "known", "tokens"]
+    names = ["w", "doc_id", "tag", "times", "log_p", "base", "model", "known", "tokens"]
 
     def work(piece):
         own = shared.value
@@ -437,19 +458,16 @@ def score(docs: DataFrame, training: str, model: Model) -> DataFrame:
         return pa.RecordBatch.from_arrays(
             [code, piece.column("doc_id").take(take),
              piece.column("tag").take(take), pa.array(times.astype(np.int64)),
-             piece.column("train").take(take), pa.array(log_p.astype(np.float32)), pa.array(base),
+             pa.array(log_p), pa.array(base),
              pa.array(value), pa.array(known.astype(np.int64)), pa.array(tokens.astype(np.int64))],
             names)
 
     spark_id = spark.sparkContext.applicationId
-    pairs = map_pieces(read, work, f"w long, doc_id {kind}, tag int, times long, train boolean, "
-                                   "log_p float, base double, model double, known long, tokens long")
-    word = Window.partitionBy("w")
-    counted = pairs.withColumns({
-        "c": F.sum(F.when(F.col("train"), F.col("times")).otherwise(0)).over(word),
-        "rows": F.sum(F.when(F.col("times") > 0, 1).otherwise(0)).over(word)})
+    pairs = map_pieces(read, work, f"w long, doc_id {kind}, tag int, times long, log_p double, "
+                                   "base double, model double, known long, tokens long")
+    counted = pairs.join(_by_hash(counts), "w", "left").withColumn("c", F.coalesce("n", F.lit(0)))
     here = F.col("times") > 0
-    log_p = F.col("log_p").cast("double")
+    log_p = F.col("log_p")
     mass = F.when(F.col("c") > 0, F.log10(F.col("c") + model.weight * F.exp(log_p))).otherwise(
         float(np.log10(model.weight)) + log_p / float(np.log(10)))
     by_doc = settle(counted.groupBy("doc_id", "tag").agg(
@@ -458,11 +476,8 @@ def score(docs: DataFrame, training: str, model: Model) -> DataFrame:
         F.sum(F.col("model") + F.when(here, F.col("times") * mass).otherwise(0.0)).alias("model"),
         F.sum(F.col("known") + F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("known"),
         F.sum("tokens").alias("tokens"),
-        # Of the rows of a word that training knows, all together count it once.
-        F.sum(F.when(here & (F.col("c") > 0), 1 / F.col("rows")).otherwise(0.0)).alias("distinct"),
         F.sum(F.when(here, 0).otherwise(1)).alias("copies")), "word-sums")
-    types = round(by_doc.agg(F.sum("distinct")).first()[0] or 0)
-    types += int((model.counts > 0).sum()) + (model.ends > 0)
+    types = counts.count() + (model.ends > 0)
     tokens = model.tokens
     end_base = float(np.log10(model.ends + SMOOTHING))
     base_total = float(np.log10(tokens + SMOOTHING * (types + 1)))
