@@ -98,6 +98,22 @@ def test_line_removal(spark):
     assert lines.remove(brute.empty(spark)).count() == 0
 
 
+def test_very_long_texts_lose_lines_and_spans(spark):
+    # 80,000 lines of which every second one goes: the square of that would not end here.
+    rows = [(s, "spread over all sites", f"site{s}") for s in range(20)]
+    own = [f"a line of its own, number {k}" for k in range(40_000)]
+    rows.append((99, "\n".join(x for line in own for x in (line, "spread over all sites")), "site1"))
+    got = {r["doc_id"]: r["text"] for r in lines.remove(
+        spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert got[99] == "\n".join(own)
+    item = "one two three four five six seven eight nine ten"
+    text = ", ".join(f"w{k}. {item}" for k in range(4_000))
+    docs = spark.createDataFrame([(1, text), (2, item.upper() + "!"), (3, "nothing"), (4, None)], "doc_id long, text string")
+    bench = spark.createDataFrame([("b", item)], "item_id string, text string")
+    got = {r["doc_id"]: r["text"] for r in contamination.remove_spans(docs, bench).collect()}
+    assert got == {1: ", ".join(f"w{k}. " for k in range(4_000)), 2: "!", 3: "nothing", 4: None}
+
+
 def test_lines_near_the_threshold_are_counted(spark):
     rows = [(100 * n + k, f"line {n}", f"site {k}") for n in range(1, 25) for k in range(n)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")

@@ -97,11 +97,14 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows = computed(mark(docs, benchmark), "hit", _hit_words())
     rows = computed(rows, "own", F.regexp_extract_all("own_text", F.lit(ANY_CASE_WORD), F.lit(0)))
     rows = computed(rows, "gaps", F.split("own_text", ANY_CASE_WORD, -1))
-    hit = lambda i: F.array_contains("hit", i)
-    piece = lambda i: F.concat(
-        F.when(hit(i - 1) & hit(i), "").otherwise(F.get("gaps", i)),
-        F.when(hit(i), "").otherwise(F.coalesce(F.get("own", i), F.lit(""))))
-    left = F.array_join(F.transform(F.sequence(F.lit(0), F.size("own")), piece), "")
+    # Gaps at even places, words at odd ones. Gone are the hit words and the gaps between two of them; taken
+    # off as a set, by hashing, so that a long text does not cost its square.
+    between = F.array_intersect("hit", F.transform("hit", lambda i: i + 1))
+    gone = F.concat(F.transform("hit", lambda i: 2 * i + 1), F.transform(between, lambda i: 2 * i))
+    rows = computed(rows, "left", F.array_except(F.sequence(F.lit(0), 2 * F.size("own")), gone))
+    half = lambda k: F.shiftright(k, 1)
+    piece = lambda k: F.when(k % 2 == 0, F.get("gaps", half(k))).otherwise(F.get("own", half(k)))
+    left = F.array_join(F.transform("left", piece), "")
     text = F.when(F.size("hit") > 0, left).otherwise(F.col("own_text"))
     return rows.select(*back(docs, text=text))
 

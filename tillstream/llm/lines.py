@@ -54,8 +54,10 @@ def back(docs: DataFrame, **new: Column) -> list[Column]:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    exploded = docs.select(*row_key("doc_id", "text"), F.col("source").cast("string").alias("site"),
-                           F.posexplode(F.split("text", "\n")).alias("at", "line"))
+    # The keys are made once per text, below the explosion: above it they would be made for each line.
+    rows = computed(docs.select(*row_key("doc_id", "text"), F.col("source").cast("string").alias("site"), "text"),
+                    "lines", F.split("text", "\n"))
+    exploded = rows.select("_row1", "_row2", "site", F.posexplode("lines").alias("at", "line"))
     line = F.trim("line", F.lit(BLANKS))
     return exploded.filter(line != "").select(
         "_row1", "_row2", "site", "at", F.xxhash64(line).alias("line1"),
@@ -94,7 +96,10 @@ def mark(docs: DataFrame, sites: int = SITES, most: float = MOST) -> DataFrame:
 
 
 def _kept() -> Column:
-    return F.array_join(F.filter("lines", lambda _, i: ~F.array_contains("drop", i)), "\n")
+    """The lines that are not dropped. A set of indexes is taken from another, by hashing, so that the
+    work grows with the lines and not with their square."""
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "drop")
+    return F.array_join(F.transform(left, lambda i: F.get("lines", i)), "\n")
 
 
 def remove(docs: DataFrame, sites: int = SITES, most: float = MOST) -> DataFrame:
