@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillstream.functions.scalars import row_hash
+from tillstream.operators import merge
 from tillstream.operators.audit import audit_rows, change_feed
 from tillstream.operators.merge import empty_silver, merge_upsert, stale_rows
 from tillstream.operators.reconcile import integrity_report, reconcile, repair
@@ -249,3 +250,11 @@ def test_a_row_without_time_does_not_win(spark):
 def test_empty_target_is_empty(spark, tmp_path):
     assert read_current(spark, str(tmp_path / "none"), spec("orders")).count() == 0
     assert read_current(spark, str(tmp_path / "none"), ACCOUNTS).select(F.count("*")).first()[0] == 0
+
+
+def test_a_large_batch_is_not_broadcast(spark, monkeypatch):
+    batch = versions_of(spark, [(1, "a", 0), (2, "c", 1)])
+    monkeypatch.setattr(merge, "is_small", lambda df: False)
+    result = merge_upsert(versions_of(spark, [(2, "b", 0), (3, "d", 0)]), batch, ACCOUNTS, NOW, way="broadcast")
+    assert "Broadcast" not in result.plan._jdf.queryExecution().executedPlan().toString()
+    assert state(result) == {1: "a", 2: "c", 3: "d"}
