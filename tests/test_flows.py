@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.test_decode import ORDER, frame, message
 from tillstream import session
+from tillstream.catalog import ingest
 from tillstream.operators.audit import run_logged
 from tillstream.sources import tables
 from tillstream.sources.cdc import cdc_batch
@@ -18,7 +19,7 @@ from tillstream.specs import spec
 from tillstream.streaming.flows import (
     bronze_files, bronze_files_aside, bronze_replay, bronze_replay_from, bronze_stream, bronze_stream_aside,
     silver_stream)
-from tillstream.streaming.runs import late_rows
+from tillstream.streaming.runs import dedup_stream, late_rows
 
 ORDERS = spec("orders")
 HOUR = 3_600_000
@@ -223,3 +224,17 @@ def test_file_drops_by_month_with_rejects(spark, tmp_path):
     assert sorted(map(tuple, got)) == [(1, 202401, 0), (1, 202402, 2), (3, 202401, 0), (3, 202402, 2)]
     bad = spark.read.parquet(f"{base}/aside/rejects").collect()
     assert [(json.loads(r.value)["price"], r.reason) for r in bad] == [("cheap", "unreadable: price")] * 3
+
+
+def test_a_stream_remembers_hashes_as_bytes(spark):
+    told = ["ab" * 32, "AB", "x", "abc", "", "ab\n", None]
+    df = spark.createDataFrame([(1, h) for h in told for _ in range(2)], "k long, hash string")
+    once = dedup_stream(df, "k", bounded_state=False)
+    assert once.columns == df.columns and sorted(r.hash or "-" for r in once.collect()) == sorted(h or "-" for h in told)
+    assert "_digest" in once._jdf.queryExecution().executedPlan().toString()
+
+
+def test_messages_are_sent_packed(spark, tmp_path):
+    ingest._send(spark.createDataFrame([("a",), (None,), ("b",)], "value string"), str(tmp_path / "in"))
+    assert {p.suffix for p in (tmp_path / "in").glob("part-*")} == {".gz"}
+    assert sorted(r.value for r in cdc_batch(spark, str(tmp_path / "in")).collect()) == ["a", "b"]
