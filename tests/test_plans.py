@@ -62,3 +62,19 @@ def test_look_back_reaches_the_scan(spark, tmp_path):
 def test_only_needed_columns_are_read(spark):
     text = plan(entity(spark, SF, "orders").groupBy("payment_status").agg(F.sum("total_amount")))
     assert "ReadSchema: struct<o_orderstatus:string,o_totalprice:double>" in text
+
+
+@pytest.mark.parametrize("name, moves", [("bronze_orders", 1), ("silver_orders", 2)])
+def test_messages_are_moved_once_and_without_their_hash(spark, name, moves):
+    """One exchange by key, the same one on both sides of the silver merge; nothing is hashed or sorted below it."""
+    text = plan(contract.queries()[name](spark, SF))
+    assert text.count("Exchange hashpartitioning(order_id") == text.count("Exchange hashpartitioning") == moves
+    below = text[text.rindex("Exchange hashpartitioning"):]
+    assert "sha2(" not in below and "Sort " not in below
+
+
+def test_no_table_is_run_to_count_its_partitions(spark):
+    df = entity(spark, SF, "inventory").repartition(3)
+    seen = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    tables.spread(df.withColumn("x", F.lit("y" * 100000)))
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == list(seen)
