@@ -6,9 +6,10 @@ import random
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from tillstream.functions import pii
-from tillstream.operators import entity_ops
+from tillstream.operators import entity_ops, unique
 from tillstream.operators.unique import UniqueKey, refuse_repeats
 
 KEYS = [UniqueKey(("mail",), ignore_case=True), UniqueKey(("a", "b"))]
@@ -56,6 +57,48 @@ def test_a_chain_of_refusals(spark):
     assert nothing.count() == 0
 
 
+def _spread_over(spark, monkeypatch, n):
+    """Requests for places of stock, and the rows that each intermediate table of their check holds."""
+    held, real = {}, unique.settle
+
+    def settle(df, label):
+        done = real(df, label)
+        held[label] = done.count()
+        return done
+    monkeypatch.setattr(unique, "settle", settle)
+    requests = spark.range(n).selectExpr("cast(id as int) as n", "cast(null as string) as mail", "cast(id as int) as a",
+                                         "if(id % 50 = 1, null, 'p') as b", "cast(null as string) as reason")
+    requests = requests.unionByName(requests.filter("n % 100 = 0").withColumn("n", F.col("n") + n))
+    stored = requests.filter("n % 100 = 2").limit(5)
+    got = refuse_repeats(requests, stored, [KEYS[1]], ["n"])
+    reasons = {r["reason"]: r["count"] for r in got.groupBy("reason").count().collect()}
+    return held, reasons
+
+
+def test_values_that_nobody_else_wants_are_moved_once(spark, monkeypatch):
+    held, reasons = _spread_over(spark, monkeypatch, 2000)
+    assert reasons == {None: 1995, "a, b: requested more than once": 20, "a, b already exists": 5}
+    assert held.pop("requests") == 2020 and sum(held.values()) <= 50
+
+
+@pytest.mark.parametrize("most", [0, 3])
+@pytest.mark.parametrize("keys", [KEYS, KEYS[:1]])
+def test_hot_values(spark, monkeypatch, most, keys):
+    """Values that many requests want are refused in the same way, though they are not gathered."""
+    rng = random.Random(most)
+    rows = [(n, rng.choice(["x", "X", "y", "z", None, f"m{n}"]), rng.randrange(60), rng.choice(["p", None]), None)
+            for n in range(120)]
+    df, stored = spark.createDataFrame(rows, ROWS), spark.createDataFrame([(-1, "Z", 1, "p", None)], ROWS)
+    want = {r["n"]: r["reason"] for r in refuse_repeats(df, stored, keys, ["n"]).collect()}
+    monkeypatch.setattr(unique, "TASK_ROWS", most)
+    labels, real = [], unique.settle
+    monkeypatch.setattr(unique, "settle", lambda d, label: labels.append(label) or real(d, label))
+    got = {r["n"]: r["reason"] for r in refuse_repeats(df, stored, keys, ["n"]).collect()}
+    assert got == want and "hot" in labels
+    if keys == KEYS:
+        assert got == one_by_one(rows, [(-1, "Z", 1, "p", None)])
+
+
 def test_encrypted_columns(spark):
     customers = spark.createDataFrame(
         [("CUST_000001", "Ann", b"ann@x.de", b"123456789", "here", NOW, NOW)],
