@@ -1,8 +1,8 @@
 """Summary tables kept current by the change feed, without reading the whole table again.
 
 A summary is stored as sums and counts per group. Each row of a feed counts as plus (insert,
-postimage) or minus (delete, preimage); the deltas are summed per group before they meet the stored
-sums, so the work grows with the changes, not with the table. The result equals a full recompute.
+postimage) or minus (delete, preimage); the rows are summed map-side per group and meet the stored sums in
+one exchange, so the work grows with the changes, not with the table. The result equals a full recompute.
 """
 
 from __future__ import annotations
@@ -28,29 +28,45 @@ class Summary:
 
     def full(self, table: DataFrame) -> DataFrame:
         """The stored form, from all rows."""
-        return self._summed(table.withColumn("_sign", F.lit(1)))
+        return self._added(self._signed(table.withColumn("_sign", F.lit(1))))
 
     def delta(self, feed: DataFrame) -> DataFrame:
         """The stored form of what a feed (``_change_type`` + columns) adds and takes away."""
+        return self._added(self._signed(self._feed(feed)))
+
+    def _feed(self, feed: DataFrame) -> DataFrame:
         sign = F.create_map(*[F.lit(x) for pair in SIGNS.items() for x in pair])[F.col("_change_type")]
-        return self._summed(feed.withColumn("_sign", sign).filter("_sign is not null"))
+        return feed.withColumn("_sign", sign).filter("_sign is not null")
+
+    def _values(self) -> list[str]:
+        return [c for n in self.measures for c in (n, f"_n_{n}")] + ["_rows"]
 
-    def _summed(self, rows: DataFrame) -> DataFrame:
+    def _signed(self, rows: DataFrame) -> DataFrame:
+        """Each row that counts, in the stored form."""
         rows = rows if self.where is None else rows.filter(self.where)
-        sign = F.col("_sign")
-        sums = [F.sum(sign * e.cast(WIDE)).cast(WIDE).alias(n) for n, e in self.measures.items()]
-        # How many values a sum is made of: a sum of none is null, not zero.
-        given = [F.sum(F.when(e.isNotNull(), sign).otherwise(0)).alias(f"_n_{n}") for n, e in self.measures.items()]
-        return rows.groupBy(*[e.alias(n) for n, e in self.groups.items()]).agg(
-            *sums, *given, F.sum(sign).alias("_rows"))
+        sign = F.col("_sign").cast("bigint")
+        parts = [e.alias(n) for n, e in self.groups.items()]
+        for n, e in self.measures.items():
+            # How many values a sum is made of: a sum of none is null, not zero.
+            wide = e.cast(WIDE)
+            parts += [F.when(sign > 0, wide).otherwise(-wide).alias(n),
+                      F.when(e.isNotNull(), sign).otherwise(0).alias(f"_n_{n}")]
+        return rows.select(*parts, sign.alias("_rows"))
+
+    def _added(self, rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*self.groups).agg(
+            *[F.sum(c).cast(WIDE if c in self.measures else "bigint").alias(c) for c in self._values()])
 
     def apply(self, stored: DataFrame, delta: DataFrame) -> DataFrame:
         """The stored form after the changes; groups without rows are gone. Both sides have one row per
         group, so no group is large; null groups are groups too."""
-        values = [c for n in self.measures for c in (n, f"_n_{n}")] + ["_rows"]
-        both = stored.select(*self.groups, *values).unionByName(delta.select(*self.groups, *values))
-        return both.groupBy(*self.groups).agg(
-            *[F.sum(c).cast(WIDE if c in self.measures else "bigint").alias(c) for c in values]).filter("_rows > 0")
+        columns = [*self.groups, *self._values()]
+        return self._added(stored.select(*columns).unionByName(delta.select(*columns))).filter("_rows > 0")
+
+    def update(self, stored: DataFrame, feed: DataFrame) -> DataFrame:
+        """The stored form after a feed: :func:`apply` of its delta, but rows that change and stored sums
+        pass one exchange together."""
+        return self.apply(stored, self._signed(self._feed(feed)))
 
     def shown(self, stored: DataFrame) -> DataFrame:
         """Groups, sums and ``row_count``."""
