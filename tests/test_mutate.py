@@ -23,6 +23,27 @@ def test_patch_modes(spark):
     assert [(r.id, r.reason) for r in keep.rejected.collect()] == [(7, "not found")]
 
 
+def test_a_large_batch_is_gathered_by_key(spark, monkeypatch):
+    """Tasks of a large batch do not grow with it: no partition is put together, no table key is aggregated."""
+    monkeypatch.setattr(mutate, "is_small", lambda df: False, raising=False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        t = spark.range(500).selectExpr("id", "'a' as p")
+        patch = spark.range(400, 600).selectExpr("id", "'b' as p").unionByName(spark.range(450, 460).selectExpr("id", "'c' as p"))
+        nulls = spark.range(2).selectExpr("cast(null as long) as id", "'d' as p")
+        done = mutate.apply_patch(t, patch.unionByName(nulls), "id", ["p"])
+        text = done.rejected._jdf.queryExecution().executedPlan().toString()
+        assert "ENSURE_REQUIREMENTS" not in text and text.count("REPARTITION_BY_NUM") == 2
+        assert "HashAggregate" not in text
+        got = {(r.id, r.reason) for r in done.rejected.collect()}
+        assert done.rejected.count() == 100 + 20 + 2
+        assert got == ({(n, "not found") for n in [None, *range(500, 600)]}
+                       | {(n, "requested more than once") for n in range(450, 460)})
+        assert {r.id for r in done.df.filter("p = 'b'").collect()} == set(range(400, 500)) - set(range(450, 460))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_soft_delete_guard(spark):
     t = stored_seed(spark)
     products = t["products"].withColumn(
