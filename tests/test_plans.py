@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from tillstream.catalog import mapping
 from tillstream.catalog.mapping import entity, table
 from tillstream.operators import decode, latest
 from tillstream.operators.joins import without_children
@@ -80,3 +81,11 @@ def test_no_table_is_run_to_count_its_partitions(spark, monkeypatch):
     ran = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
     tables.spread(df)
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == ran
+
+
+def test_grouped_rows_are_not_put_together_ahead_of_their_messages(spark, monkeypatch):
+    monkeypatch.setattr(mapping, "SPREAD_FLOOR", -1, raising=False)
+    text = plan(contract.queries()["bronze_inventory"](spark, SF))
+    assert text.count("Exchange hashpartitioning") == text.count("REPARTITION_BY_NUM") == 2
+    grouped = text[text.rindex("Exchange hashpartitioning"):]
+    assert grouped.startswith("Exchange hashpartitioning(l_suppkey") and "to_json" not in grouped
