@@ -93,6 +93,32 @@ def test_stored_run_after_a_death(spark, monkeypatch):
     assert {r.rows_deleted for r in again.collect()} == {0}
 
 
+def test_months_are_written_once_and_a_month_on_its_way_is_put_back(spark, monkeypatch):
+    """Dies between the removal of a month and the move of its new folder."""
+    base = run_dir(spark, "moved")
+    p = spark.createDataFrame([(1, OLD), (2, None)], "k int, gone timestamp")
+    c = spark.createDataFrame([(1, 202501), (2, 202501), (1, 202502), (2, 202502), (1, 202503), (2, None)],
+                              "k int, month int")
+    p.write.parquet(f"{base}/p")
+    c.write.partitionBy("month").parquet(f"{base}/c")
+    paths, real, settled = {"p": f"{base}/p", "c": f"{base}/c"}, doomed.replace_folder, []
+
+    def die(session, new, old):
+        doomed.remove(session, old)
+        raise OSError("host lost")
+
+    monkeypatch.setattr(doomed, "settle", lambda df, label, settle=doomed.settle: settled.append(label) or settle(df, label))
+    monkeypatch.setattr(doomed, "replace_folder", die)
+    with pytest.raises(OSError):
+        doomed.purge_stored(spark, paths, AS_OF, steps=STEPS[:1])
+    assert spark.read.parquet(f"{base}/c").select("k").count() == 4      # a month is missing
+    monkeypatch.setattr(doomed, "replace_folder", real)
+    done = doomed.purge_stored(spark, paths, AS_OF, steps=STEPS[:1])
+    assert rows(spark.read.parquet(f"{base}/c").select("k", "month")) == rows(c.filter("k = 2"))
+    assert {(r.table_name, r.rows_deleted) for r in done.collect()} == {("c", 2), ("p", 1)}
+    assert "c-kept" not in settled and not doomed.folders(spark, doomed.staging(paths["c"]))
+
+
 def test_children_are_read_through_a_bloom_filter_of_their_parents(spark):
     base = run_dir(spark, "bloom")
     spark.range(20_000).selectExpr("id k", f"timestamp '{OLD}' gone").write.parquet(f"{base}/p")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tillstream.operators.joins import keyed_join, lookup_join
 from tillstream.operators.retention import RETENTION_MONTHS, Tables, cutoff
-from tillstream.session import remove, settle
+from tillstream.session import folders, remove, replace_folder, settle
 
 
 @dataclass(frozen=True)
@@ -149,6 +149,7 @@ class KeyRun:
     purged: Tables                 # what goes, with ``step_no``
     counts: DataFrame              # step_no, step, table_name, rows_deleted
     failures: dict[str, str]
+    marks: dict[str, list[Mark]]   # of the tables in ``marked``
 
 
 def run_retention_keys(tables: Tables, as_of, months: int = RETENTION_MONTHS,
@@ -186,24 +187,30 @@ def run_retention_keys(tables: Tables, as_of, months: int = RETENTION_MONTHS,
         raise ValueError(f"every retention step failed: {failures}")
     left = {n: marked[n].filter("step_no is null").drop("step_no") if n in marked else df for n, df in tables.items()}
     gone = {n: df.filter("step_no is not null") for n, df in marked.items()}
-    return KeyRun(marked, left, gone, reduce(DataFrame.unionByName, counts), failures)
+    return KeyRun(marked, left, gone, reduce(DataFrame.unionByName, counts), failures,
+                  {n: run.marks[n] for n in marked})
 
 
 def purge_stored(spark: SparkSession, paths: dict[str, str], as_of, months: int = RETENTION_MONTHS,
                  steps: Sequence[tuple[str, tuple[Rule, ...]]] = KEY_STEPS, archive_to: str | None = None) -> DataFrame:
     """The run over stored tables, each a Parquet folder; returns the counts of :func:`run_retention_keys`.
 
-    Of a table laid out by ``month`` only the months that lose rows are written again; a month that loses all is
-    dropped. Other tables are written again if they lose rows. What stays is staged in the shared folder first.
+    Of a table laid out by ``month`` only the months that lose rows are written again, once: beside the table
+    (:func:`staging`), and each folder then takes the place of its month. A month that loses all is
+    dropped. Other tables are written again if they lose rows, staged in the shared folder first.
     All keys are settled before the first table changes, and rows that follow a parent go before the
-    parent, so a run that died may be run again: it finds what is left to do. ``archive_to`` first
-    copies what goes, one folder per table; a run that is repeated replaces the months it still finds.
+    parent, so a run that died may be run again: it puts back a month that was on its way and finds what is left
+    to do. ``archive_to`` first copies what goes, one folder per table; a run that is repeated replaces the months it still finds.
     """
+    for path in paths.values():
+        _put_back(spark, path)
     run = run_retention_keys({n: spark.read.parquet(p) for n, p in paths.items()}, as_of, months, steps)
-    counts = settle(run.counts, "retention-counts")
-    lost = {r["table_name"] for r in counts.groupBy("table_name").agg(F.sum("rows_deleted").alias("n"))
-            .filter("n > 0").collect()}
-    for name in [n for n in run.marked if n in lost]:
+    # One pass per table finds what goes, by month where there are months: few rows each.
+    hits = {n: _losses(df).collect() for n, df in run.marked.items()}
+    found = [(m.step_no, m.step, n, sum(r["rows"] for r in hits[n] if r["step_no"] == m.step_no))
+             for n, marks in run.marks.items() for m in marks]
+    counts = spark.createDataFrame(list(dict.fromkeys(found)), run.counts.schema)
+    for name in [n for n, rows in hits.items() if any(r["step_no"] is not None for r in rows)]:
         path, marked = paths[name], run.marked[name]
         if archive_to:
             cold = run.purged[name].write.mode("overwrite")
@@ -214,14 +221,35 @@ def purge_stored(spark: SparkSession, paths: dict[str, str], as_of, months: int
             kept = settle(run.tables[name], f"{name}-kept")
             kept.write.mode("overwrite").parquet(path)
             continue
-        hit = marked.groupBy("month").agg(F.count("step_no").alias("gone"), F.count(F.lit(1)).alias("rows"))
-        hit = hit.filter("gone > 0").collect()                         # one row per month
-        touched = [r["month"] for r in hit if r["gone"] < r["rows"]]
-        if touched:
-            kept = settle(run.tables[name].filter(F.col("month").isin(touched)), f"{name}-kept")
-            (kept.hint("rebalance", "month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("month").parquet(path))
-        for r in hit:
-            if r["gone"] == r["rows"]:
-                remove(spark, f"{path}/month={r['month']}")
+        stay = {r["month"] for r in hits[name] if r["step_no"] is None}
+        lose = {r["month"] for r in hits[name] if r["step_no"] is not None}
+        if lose & stay:
+            kept = run.tables[name].filter(reduce(Column.__or__, [F.col("month").eqNullSafe(m) for m in lose & stay]))
+            kept.hint("rebalance", "month").write.mode("overwrite").partitionBy("month").parquet(staging(path))
+            for folder in folders(spark, staging(path)):
+                if folder.startswith("month="):
+                    replace_folder(spark, f"{staging(path)}/{folder}", f"{path}/{folder}")
+            remove(spark, staging(path))
+        for month in lose - stay:
+            remove(spark, f"{path}/month={'__HIVE_DEFAULT_PARTITION__' if month is None else month}")
     return counts
+
+
+def staging(path: str) -> str:
+    """The folder beside a table where its new months are written."""
+    return path.rstrip("/") + "_purge_pending"
+
+
+def _losses(marked: DataFrame) -> DataFrame:
+    """Rows by step (null: they stay) and, where the table has months, by month."""
+    return marked.groupBy("step_no", *[c for c in ("month",) if c in marked.columns]).agg(
+        F.count(F.lit(1)).alias("rows"))
+
+
+def _put_back(spark: SparkSession, path: str) -> None:
+    """A run that died between the removal of a month and the move of its new folder left the month in the
+    staging folder only. Months that are in the table still are as they were, or done."""
+    for folder in folders(spark, staging(path)):
+        if folder.startswith("month=") and folder not in folders(spark, path):
+            replace_folder(spark, f"{staging(path)}/{folder}", f"{path}/{folder}")
+    remove(spark, staging(path))
