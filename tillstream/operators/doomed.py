@@ -200,7 +200,8 @@ def purge_stored(spark: SparkSession, paths: dict[str, str], as_of, months: int
     dropped. Other tables are written again if they lose rows, staged in the shared folder first.
     All keys are settled before the first table changes, and rows that follow a parent go before the
     parent, so a run that died may be run again: it puts back a month that was on its way and finds what is left
-    to do. ``archive_to`` first copies what goes, one folder per table; a run that is repeated replaces the months it still finds.
+    to do. ``archive_to`` first copies what goes, one folder per table; a run that is repeated replaces the months
+    it still finds.
     """
     for path in paths.values():
         _put_back(spark, path)
