@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,6 +76,18 @@ def test_messages_are_moved_once_and_without_their_hash(spark, name, moves):
     assert "sha2(" not in below and "Sort " not in below
 
 
+@pytest.mark.parametrize("name, key", [("silver_inventory", "inventory_id")])
+def test_a_replay_that_has_run_has_moved_its_messages_once(spark, name, key):
+    """One shuffle, by the key alone; the other side of a silver merge has read the same one again."""
+    df = contract.queries()[name](spark, SF)
+    df.collect()
+    text, _ = plan(df).split("== Initial Plan ==")
+    moves = [line for line in text.splitlines() if " Exchange " in line and "hashpartitioning(l_" not in line]
+    again = [line for line in moves if "ReusedExchange" in line]
+    assert len(moves) - len(again) == 1 and len(again) == name.startswith("silver")
+    assert all(re.search(rf"Exchange hashpartitioning\({key}#\d+L, \d+\)", line) for line in moves)
+
+
 def test_no_table_is_run_to_count_its_partitions(spark, monkeypatch):
     monkeypatch.setattr(tables, "SPREAD_FLOOR", -1)
     df = entity(spark, SF, "orders").groupBy("customer_id").count()
