@@ -76,7 +76,9 @@ def test_messages_are_moved_once_and_without_their_hash(spark, name, moves):
     assert "sha2(" not in below and "Sort " not in below
 
 
-@pytest.mark.parametrize("name, key", [("silver_inventory", "inventory_id"), ("silver_purchase_order_items", "po_item_id")])
+@pytest.mark.parametrize("name, key", [
+    ("silver_inventory", "inventory_id"), ("silver_purchase_order_items", "po_item_id"),
+    ("bronze_order_items", "order_item_id")])
 def test_a_replay_that_has_run_has_moved_its_messages_once(spark, name, key):
     """One shuffle, by the key alone; the other side of a silver merge has read the same one again."""
     df = contract.queries()[name](spark, SF)
