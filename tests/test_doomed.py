@@ -119,6 +119,21 @@ def test_months_are_written_once_and_a_month_on_its_way_is_put_back(spark, monke
     assert "c-kept" not in settled and not doomed.folders(spark, doomed.staging(paths["c"]))
 
 
+def test_a_stored_run_tells_of_steps_that_failed(spark):
+    """The other steps are carried out all the same."""
+    base = run_dir(spark, "failed")
+    tables = {"p": spark.createDataFrame([(1, OLD), (2, None)], "k int, gone timestamp"),
+              "c": spark.createDataFrame([(1,), (2,)], "k int"), "q": spark.createDataFrame([(1,), (3,)], "k int")}
+    for name, df in tables.items():
+        df.write.parquet(f"{base}/{name}")
+    with pytest.raises(doomed.StepsFailed, match="lonely") as told:
+        doomed.purge_stored(spark, {n: f"{base}/{n}" for n in tables}, AS_OF, steps=STEPS)
+    assert set(told.value.failures) == {"lonely"}
+    assert {(r.table_name, r.rows_deleted) for r in told.value.counts.collect()} == {("c", 1), ("p", 1)}
+    assert {n: rows(spark.read.parquet(f"{base}/{n}").select("k")) for n in tables} == {
+        "p": [(2,)], "c": [(2,)], "q": [(1,), (3,)]}
+
+
 def test_children_are_read_through_a_bloom_filter_of_their_parents(spark):
     base = run_dir(spark, "bloom")
     spark.range(20_000).selectExpr("id k", f"timestamp '{OLD}' gone").write.parquet(f"{base}/p")

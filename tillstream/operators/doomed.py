@@ -142,6 +142,15 @@ class _Run:
             marks.append(Mark(number, step, None, (rule.on, doomed), outside))
 
 
+class StepsFailed(RuntimeError):
+    """Raised when a run over stored tables is at its end, if steps of it failed: ``failures`` says why,
+    ``counts`` what the other steps deleted."""
+
+    def __init__(self, failures: dict[str, str], counts: DataFrame):
+        super().__init__("retention steps failed: " + "; ".join(f"{s}: {why}" for s, why in failures.items()))
+        self.failures, self.counts = failures, counts
+
+
 @dataclass(frozen=True)
 class KeyRun:
     marked: Tables                 # all rows of each table that a step is about, with ``step_no`` (null: stays)
@@ -201,7 +210,7 @@ def purge_stored(spark: SparkSession, paths: dict[str, str], as_of, months: int
     All keys are settled before the first table changes, and rows that follow a parent go before the
     parent, so a run that died may be run again: it puts back a month that was on its way and finds what is left
     to do. ``archive_to`` first copies what goes, one folder per table; a run that is repeated replaces the months
-    it still finds.
+    it still finds. A step that fails deletes nothing; the others are carried out, then :class:`StepsFailed` is raised.
     """
     for path in paths.values():
         _put_back(spark, path)
@@ -233,6 +242,8 @@ def purge_stored(spark: SparkSession, paths: dict[str, str], as_of, months: int
             remove(spark, staging(path))
         for month in lose - stay:
             remove(spark, f"{path}/month={'__HIVE_DEFAULT_PARTITION__' if month is None else month}")
+    if run.failures:
+        raise StepsFailed(run.failures, counts)
     return counts
 
 
