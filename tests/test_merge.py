@@ -69,6 +69,24 @@ def test_second_run_changes_nothing(spark):
     assert counts(merge_upsert(once.df, batch, ACCOUNTS, NOW)) == (0, 0, 0)
 
 
+def test_tags_that_differ_are_no_cross_join(spark):
+    """Batches of one tag each, ids alike: joined by the id, not every row with every row."""
+    def logs(tag, *ids):
+        rows = spark.createDataFrame([(i, f"u{i}", T0) for i in ids], "log_id long, user_name string, ingestion_time timestamp")
+        rows = rows.withColumns({c: F.lit("x") for c in ("action_type", "object_type", "object_name", "query")})
+        return rows.withColumns({"log_time": F.lit(T0), "hash": F.col("user_name"), "origin": F.lit(tag)})
+
+    one = merge_upsert(empty_silver(spark, AUDIT_SILVER), logs("Pos", 1, 2, None), AUDIT_SILVER, NOW).df
+    two = merge_upsert(one, logs("ERP", 2, 3, None), AUDIT_SILVER, NOW)
+    three = merge_upsert(two.df, logs("Pos", 2, 4).withColumn("hash", F.lit("new")), AUDIT_SILVER, NOW)
+    for result in (two, three):
+        assert "NestedLoop" not in result.df._jdf.queryExecution().executedPlan().toString()
+    assert counts(two) == (3, 0, 0) and counts(three) == (1, 1, 0)
+    assert sorted(((r.origin, r.log_id, r.hash) for r in three.df.collect()), key=str) == [
+        ("ERP", 2, "u2"), ("ERP", 3, "u3"), ("ERP", None, "uNone"), ("Pos", 1, "u1"), ("Pos", 2, "new"),
+        ("Pos", 4, "new"), ("Pos", None, "uNone")]
+
+
 def test_equal_times_give_one_row(spark):
     batch = versions_of(spark, [(1, "a", 0), (1, "b", 0)])
     rows = merge_upsert(empty_silver(spark, ACCOUNTS), batch, ACCOUNTS, NOW).df.collect()
