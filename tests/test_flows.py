@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from tests.test_decode import ORDER, frame, message
 from tillstream import session
 from tillstream.catalog import ingest
+from tillstream.catalog.messages import messages
+from tillstream.functions.scalars import row_hash
 from tillstream.operators.audit import run_logged
+from tillstream.operators.decode import decode_cdc
 from tillstream.sources import tables
 from tillstream.sources.cdc import cdc_batch
 from tillstream.sources.current import read_current
@@ -19,7 +22,7 @@ from tillstream.specs import spec
 from tillstream.streaming.flows import (
     bronze_files, bronze_files_aside, bronze_replay, bronze_replay_from, bronze_stream, bronze_stream_aside,
     silver_stream)
-from tillstream.streaming.runs import dedup_stream, late_rows
+from tillstream.streaming.runs import dedup_rows, dedup_stream, late_rows
 
 ORDERS = spec("orders")
 HOUR = 3_600_000
@@ -234,6 +237,47 @@ def test_a_stream_remembers_hashes_as_bytes(spark):
     assert "_digest" in once._jdf.queryExecution().executedPlan().toString()
 
 
+def test_rows_alike_are_those_with_equal_hashes(spark):
+    """Whatever is null, empty, long or holds the separator; and rows come out as they went in."""
+    texts = [None, "", "a", "|", "a|", "|a", "a|a", "a" * 80]
+    rows = [(k, a, n, b, x) for k in (None, "", "k", "k|") for a in texts for n in (None, 1) for b in texts
+            for x in (None, b"", b"a")]
+    df = spark.createDataFrame(rows * 2, "k string, a string, n long, b string, x binary")
+    columns = df.columns
+    df = df.withColumn("source", F.lit("s")).withColumn("hash", row_hash(df, columns))
+    want, got = (d.select(*df.columns) for d in (dedup_stream(df, "k", False), dedup_rows(df, "k", columns, False)))
+    both = [sorted(map(str, d.select("k", "hash").collect())) for d in (want, got)]
+    assert both[0] == both[1] and len(both[1]) < len(rows)
+    assert got.count() == got.distinct().count() == got.join(
+        df.distinct(), [got[c].eqNullSafe(df[c]) for c in df.columns], "left_semi").count()
+
+
+def test_a_stream_moves_columns_and_no_hash(spark, tmp_path):
+    """What follows from the columns is made behind the shuffle, and files are packed by an entropy coder."""
+    rows = spark.createDataFrame([(1, "a", None), (1, "a", None)], "order_id long, payment_status string, hash string")
+    text = dedup_rows(rows, "order_id", ["order_id", "payment_status"], False)._jdf.queryExecution().executedPlan().toString()
+    moved = text[text.index("Exchange"):].splitlines()[0]
+    assert "payment_status" in moved and "hash#" not in moved
+    base = str(tmp_path)
+    put(spark, f"{base}/in", order(1, START), order(1, START), order(2, START + HOUR))
+    bronze_stream(spark, ORDERS, f"{base}/in", f"{base}/bronze", f"{base}/state")
+    assert list((tmp_path / "bronze").glob("month=*/*.zstd.parquet"))
+    want = bronze_replay_from(spark, ORDERS, f"{base}/in")
+    assert sorted(map(str, spark.read.parquet(f"{base}/bronze").select(*want.columns).collect())) == sorted(
+        map(str, want.collect()))
+
+
+@pytest.mark.parametrize("name", ["order_items"])
+def test_no_hash_is_moved_by_the_streams(spark, name):
+    """Shuffle and state are by the key and the other columns; a digest is there for odd rows only."""
+    s = spec(name)
+    rows = decode_cdc(messages(spark, "/root/testdata/sf0.001", name), s)
+    text = dedup_rows(rows, s.key, s.columns, False)._jdf.queryExecution().executedPlan().toString()
+    moved = next(line for line in text.splitlines() if "Exchange hashpartitioning(" in line)
+    by = moved[moved.index("(") + 1:moved.index(")")].split(", ")[:-1]
+    assert {column.split("#")[0] for column in by} == {*s.columns, "_digest"}
+
+
 def test_messages_are_sent_packed(spark, tmp_path):
     ingest._send(spark.createDataFrame([("a",), (None,), ("b",)], "value string"), str(tmp_path / "in"))
     assert {p.suffix for p in (tmp_path / "in").glob("part-*")} == {".gz"}
