@@ -267,7 +267,7 @@ def test_a_stream_moves_columns_and_no_hash(spark, tmp_path):
         map(str, want.collect()))
 
 
-@pytest.mark.parametrize("name", ["order_items", "delivery_tracking", "inventory"])
+@pytest.mark.parametrize("name", ["order_items", "delivery_tracking", "inventory", "purchase_order_items"])
 def test_no_hash_is_moved_by_the_streams(spark, name):
     """Shuffle and state are by the key and the other columns; a digest is there for odd rows only."""
     s = spec(name)
